@@ -1,0 +1,33 @@
+"""Mining benchmark plan: vectors -> CSLS candidates -> threshold sweep -> transfer summary."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from lexalign.operators.knn import DEFAULT_BLOCK_ROWS, DEFAULT_CSLS_KNN, DEFAULT_K, mine
+from lexalign.operators.sweep import KEYS, sweep, transfer_summary
+from lexalign.sources.fixtures import bilingual_fixture
+
+
+def fixture_candidates(spark: SparkSession, sf_dir: str, k: int = DEFAULT_K, method: str = "csls",
+                       csls_knn: int = DEFAULT_CSLS_KNN, block_rows: int = DEFAULT_BLOCK_ROWS):
+    """Candidates mined from the bilingual fixture, plus its gold table."""
+    src, tgt, gold = bilingual_fixture(spark, sf_dir)
+    cands = mine(src, tgt, KEYS, k=k, method=method, csls_knn=csls_knn, block_rows=block_rows)
+    return cands, gold
+
+
+def groups_with_both(cands: DataFrame, gold: DataFrame) -> DataFrame:
+    """Groups that have a candidate set and a gold file (the reference skips the others)."""
+    return cands.select(*KEYS).distinct().join(gold.select("lang_pair", "split").distinct(), ["lang_pair", "split"])
+
+
+def fixture_sweep(spark: SparkSession, sf_dir: str, method: str = "dynamic", **mine_kw):
+    cands, gold = fixture_candidates(spark, sf_dir, **mine_kw)
+    return sweep(cands, gold, method=method, groups=groups_with_both(cands, gold)), cands, gold
+
+
+def transfer_report(spark: SparkSession, sf_dir: str, method: str = "dynamic", **mine_kw) -> DataFrame:
+    """Flagship: best train threshold per pair and model, and what it loses on test."""
+    sw, _, _ = fixture_sweep(spark, sf_dir, method=method, **mine_kw)
+    return transfer_summary(sw)
