@@ -19,6 +19,15 @@ def as_double(v) -> Column:
     return _c(v).cast("array<double>")
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` (a lambda variable).
+
+    Catalyst does not share common subexpressions inside higher-order functions, so
+    referencing a computed array twice in a lambda would recompute it per element.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def dot(a, b) -> Column:
     return F.aggregate(F.zip_with(as_double(a), as_double(b), lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
 
@@ -29,8 +38,7 @@ def l2norm(a) -> Column:
 
 def cosine(a, b) -> Column:
     """Cosine similarity; null when either side has zero norm."""
-    den = l2norm(a) * l2norm(b)
-    return F.when(den > 0, dot(a, b) / den)
+    return let(l2norm(a) * l2norm(b), lambda den: F.when(den > 0, dot(a, b) / den))
 
 
 def sq_dist(a, b) -> Column:
@@ -45,8 +53,9 @@ def add_scaled(a, b, alpha: float) -> Column:
 
 
 def normalize(a) -> Column:
-    n = l2norm(a)
-    return F.when(n > 0, F.transform(as_double(a), lambda x: x / n))
+    """Unit vector (null for a zero vector); the norm is computed once per row."""
+    return let(as_double(a), lambda v: let(F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x)),
+                                           lambda n: F.when(n > 0, F.transform(v, lambda x: x / n))))
 
 
 def quantise(v, digits: int = 6) -> Column:
