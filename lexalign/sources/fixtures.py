@@ -94,3 +94,23 @@ def bilingual_fixture(spark: SparkSession, sf_dir: str, models=None):
 
 
 __all__ = ["bilingual_fixture", "table", "PAIRS", "MODELS", "SHIFT", "KEYS", "add_scaled"]
+
+
+def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentence sets of the fixture: ``(lang_pair, split, lang, sent_id)`` — source-side rows
+    carry the pair's first language, target-side rows its second."""
+    t = _tagged(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    langs = F.split("lang_pair", "-")
+    src = t.where(F.pmod("vec_id", F.lit(5)) != 0).select("lang_pair", "split", F.element_at(langs, 1).alias("lang"),
+                                                          F.col("vec_id").alias("sent_id"))
+    tgt = t.where(F.pmod("vec_id", F.lit(5)) != 1).select("lang_pair", "split", F.element_at(langs, 2).alias("lang"),
+                                                          F.col("vec_id").alias("sent_id"))
+    return src.unionByName(tgt)
+
+
+def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(pair, fname)``: the corpus files the fixture stands for (sentence files and gold files)."""
+    s = sentences(spark, sf_dir)
+    sent = s.select(F.col("lang_pair").alias("pair"), F.concat_ws(".", "lang_pair", "split", "lang").alias("fname"))
+    gold = s.select(F.col("lang_pair").alias("pair"), F.concat_ws(".", "lang_pair", "split", F.lit("gold")).alias("fname"))
+    return sent.unionByName(gold).distinct()
