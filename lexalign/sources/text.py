@@ -29,16 +29,20 @@ FLOAT_PATTERN = (r"^\s*[+-]?(((\d(_?\d)*)(\.(\d(_?\d)*)?)?|\.\d(_?\d)*)([eE][+-]
                  r"|(?i:nan|inf|infinity))\s*$")
 
 
-def read_lines(spark: SparkSession, path) -> DataFrame:
-    """``(file string, line_no long, value string)`` for every line of the text files at ``path``."""
-    raw = (spark.read.format("text").load(path)
-           .select(F.col("_metadata.file_path").alias("file"),
-                   F.col("_metadata.file_block_start").alias("blk"),
-                   F.monotonically_increasing_id().alias("_mid"), "value"))
-    blocks = raw.groupBy("file", "blk").agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy("file").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
+def read_lines(spark: SparkSession, path, per_directory: bool = False) -> DataFrame:
+    """``(file string, line_no long, value string)`` for every line of the text files at ``path``.
+
+    With ``per_directory`` the part files of one directory (a Spark text export) form one
+    logical file, in part-file name order; ``file`` is then the directory."""
+    raw = spark.read.format("text").load(path)
+    fpath = F.col("_metadata.file_path")
+    unit = F.regexp_replace(fpath, "/[^/]*$", "") if per_directory else fpath
+    raw = raw.select(unit.alias("file"), fpath.alias("_path"), F.col("_metadata.file_block_start").alias("blk"),
+                     F.monotonically_increasing_id().alias("_mid"), "value")
+    blocks = raw.groupBy("file", "_path", "blk").agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy("file").orderBy("_path", "blk").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    return (raw.join(broadcast_if_small(blocks), ["file", "blk"])
+    return (raw.join(broadcast_if_small(blocks), ["file", "_path", "blk"])
             .select("file", (F.col("_off") + F.col("_mid") - F.col("_first")).alias("line_no"), "value"))
 
 
@@ -52,7 +56,8 @@ def _fail_or_flag(df: DataFrame, ok: Column, on_bad: str, what: str) -> DataFram
     if on_bad == "fail":
         msg = F.concat(F.lit(f"malformed {what} line "), F.col("line_no").cast("string"), F.lit(" in "),
                        F.col("file"))
-        return df.withColumn("_chk", F.when(ok, F.lit(True)).otherwise(F.raise_error(msg))).drop("_chk")
+        # a filter predicate is always evaluated (an unused column would be pruned)
+        return df.where(F.when(ok, F.lit(True)).otherwise(F.raise_error(msg)))
     return df.withColumn("bad", ~ok)
 
 
@@ -117,9 +122,10 @@ def read_candidates(spark: SparkSession, path, on_bad: str = "fail") -> DataFram
     return df.select(*cols)
 
 
-def read_vec(spark: SparkSession, path) -> DataFrame:
-    """``(file, line_no, sent_id, vec array<float>)``; the header line and blank lines are skipped."""
-    lines = read_lines(spark, path)
+def read_vec(spark: SparkSession, path, per_directory: bool = False) -> DataFrame:
+    """``(file, line_no, sent_id, vec array<float>)``; the header line and blank lines are
+    skipped.  ``per_directory`` reads a ``write_vec`` export (ordered part files) as one file."""
+    lines = read_lines(spark, path, per_directory)
     body = lines.where((F.col("line_no") > 0) & (F.trim("value") != ""))
     p = F.split(F.trim("value"), " ")
     return body.select("file", "line_no", F.element_at(p, 1).alias("sent_id"),
