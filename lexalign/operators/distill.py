@@ -72,23 +72,44 @@ def combined_score(mse: DataFrame, acc: DataFrame, keys) -> DataFrame:
                                       ((F.col("negative_mse") + F.col("accuracy")) / 2).alias("combined"))
 
 
+def _gram_fn(keys, x_col, y_col):
+    def run(batches):
+        import numpy as np
+        import pandas as pd
+
+        for pdf in batches:
+            pdf = pdf[pdf[x_col].notna() & pdf[y_col].notna()]
+            if pdf.empty:
+                continue
+            groups = pdf.groupby(list(keys), sort=False) if keys else [((), pdf)]
+            for key, g in groups:
+                key = key if isinstance(key, tuple) else (key,)
+                X = np.stack(g[x_col].to_numpy())
+                Y = np.stack(g[y_col].to_numpy())
+                xtx, xty = X.T @ X, X.T @ Y
+                rows = {k: [v] * X.shape[1] for k, v in zip(keys, key)}
+                rows.update(i=np.arange(X.shape[1], dtype=np.int32), xtx=list(xtx), xty=list(xty),
+                            n=np.full(X.shape[1], len(g), dtype=np.int64))
+                yield pd.DataFrame(rows)
+    return run
+
+
 def gram_statistics(rows: DataFrame, x_col: str, y_col: str, keys=()) -> DataFrame:
     """X5 sufficient statistics: ``(keys, i, xtx array, xty array, n)`` — row ``i`` of
-    ``X'X`` and ``X'Y``.  Each input row contributes ``d`` partial rows that are summed
-    by a partial aggregate (``Summarizer.sum``), so a task ships ``d`` rows, not its data."""
+    ``X'X`` and ``X'Y``.  Every Arrow batch contributes its own ``X'X`` and ``X'Y`` (numpy),
+    i.e. ``d`` partial rows, which a partial aggregate (``Summarizer.sum``) merges; no task
+    ships its data, only ``d`` rows per batch."""
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from pyspark.ml.stat import Summarizer
 
     keys = list(keys)
-    x = as_double(x_col)
-    y = as_double(y_col)
-    per = rows.where(F.col(x_col).isNotNull() & F.col(y_col).isNotNull()).select(
-        *keys, F.posexplode(x).alias("i", "xi"), x.alias("_x"), y.alias("_y"))
-    per = per.select(*keys, "i", array_to_vector(F.transform("_x", lambda v: v * F.col("xi"))).alias("_a"),
-                     array_to_vector(F.transform("_y", lambda v: v * F.col("xi"))).alias("_b"))
-    return (per.groupBy(*keys, "i")
-            .agg(Summarizer.sum(F.col("_a")).alias("_a"), Summarizer.sum(F.col("_b")).alias("_b"),
-                 F.count(F.lit(1)).alias("n"))
+    inp = rows.select(*keys, as_double(x_col).alias("_x"), as_double(y_col).alias("_y"))
+    key_schema = ", ".join(f"`{k}` {inp.schema[k].dataType.simpleString()}" for k in keys)
+    schema = (key_schema + ", " if keys else "") + "i int, xtx array<double>, xty array<double>, n long"
+    part = inp.mapInPandas(_gram_fn(keys, "_x", "_y"), schema)
+    return (part.groupBy(*keys, "i")
+            .agg(Summarizer.sum(array_to_vector("xtx")).alias("_a"), Summarizer.sum(array_to_vector("xty")).alias("_b"),
+                 F.sum("n").alias("n"))
             .select(*keys, "i", vector_to_array("_a").alias("xtx"), vector_to_array("_b").alias("xty"), "n"))
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexalign.functions.text import strip_unicode
-from lexalign.operators.util import broadcast_if_small
+from lexalign.operators.util import broadcast_if_small, spread
 
 DROP_MODES = ("independent", "pairwise")
 EVAL_CAP = 1000
@@ -89,6 +89,7 @@ def numbered_lines(docs: DataFrame, side_col: str = "lang", doc_col: str = "doc_
     """``(side, ord, line)``: every line of every document, numbered across documents in
     ``(doc_id, position)`` order within each side.  Blank lines are dropped before numbering
     when ``drop_blank``; otherwise they are kept (and numbered) as empty strings."""
+    docs = spread(docs, doc_col)
     per_doc = docs.select(F.col(side_col).alias("side"), F.col(doc_col).alias("doc"),
                           _doc_lines(docs, text_col, drop_blank).alias("lines"))
     per_doc = per_doc.withColumn("n", F.size("lines").cast("long"))

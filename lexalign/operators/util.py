@@ -16,3 +16,14 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Dat
     df = df.cache()
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread rows over all cores before heavy per-row work when the input arrived in fewer
+    partitions than the session runs tasks (e.g. one large Parquet row group).  On a cluster
+    with many input splits this is a no-op; otherwise a hash repartition on ``keys``
+    (deterministic on retry)."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)

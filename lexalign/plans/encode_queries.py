@@ -15,6 +15,7 @@ from lexalign.operators.distill import (combined_score, gram_statistics, label_w
 from lexalign.operators.encode import (check_dims, empty_sentences, hashed_ngram_vector, long_form, mean_pool,
                                        quantise_vectors, truncate_tokens, vec_header)
 from lexalign.operators.parallel import train_eval_split
+from lexalign.operators.util import spread
 from lexalign.plans.parallel_queries import parallel_zip
 from lexalign.sources.fixtures import KEYS, MODELS, SHIFT, bilingual_fixture, table
 
@@ -22,7 +23,8 @@ FIXTURE_DIM = 64
 
 
 def hashed_ngram_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", hashed_ngram_vector(F.col("text")).alias("vec"))
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id").select(
+        "doc_id", hashed_ngram_vector(F.col("text")).alias("vec"))
     return long_form(docs, ["doc_id"], nonzero=True)
 
 
