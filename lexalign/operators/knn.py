@@ -60,18 +60,22 @@ def _block_counts(src, tgt, keys, block_rows):
 def _pack(df, keys, id_alias, nb_col, counts, extra=()):
     """One row per (group, block): ``rows`` = array of struct(id, u, *extra)."""
     fields = [F.col(id_alias).alias("id"), F.col("u")] + [F.col(c) for c in extra]
-    return (df.join(counts, list(keys))
-            .withColumn("blk", F.pmod(F.xxhash64(F.col(id_alias)), F.col(nb_col)))
-            .groupBy(*keys, "blk", "nb_s", "nb_t")
-            .agg(F.collect_list(F.struct(*fields)).alias("rows")))
+    return (_with_block(df.join(counts, list(keys)), id_alias, nb_col)
+            .groupBy(*keys, "blk")
+            .agg(F.first("nb_s").alias("nb_s"), F.first("nb_t").alias("nb_t"),
+                 F.collect_list(F.struct(*fields)).alias("rows")))
 
 
-def _block_pairs(sp, tp, keys):
+def _with_block(df, id_alias, nb_col):
+    return df.withColumn("blk", F.pmod(F.xxhash64(F.col(id_alias)), F.col(nb_col)))
+
+
+def _block_pairs(sp, tp, keys, t_extra=()):
     """Replicate source blocks over target block ids and vice versa, then equi-join."""
     s = (sp.withColumn("tb", F.explode(F.sequence(F.lit(0), F.col("nb_t") - 1)))
          .select(*keys, F.col("blk").alias("sb"), "tb", F.col("rows").alias("s_rows")))
     t = (tp.withColumn("sb", F.explode(F.sequence(F.lit(0), F.col("nb_s") - 1)))
-         .select(*keys, "sb", F.col("blk").alias("tb"), F.col("rows").alias("t_rows")))
+         .select(*keys, "sb", F.col("blk").alias("tb"), F.col("rows").alias("t_rows"), *t_extra))
     return s.join(t, list(keys) + ["sb", "tb"])
 
 
@@ -145,8 +149,15 @@ def _score_fn(keys, k, key_types):
                 if len(s_ids) == 0 or len(t_ids) == 0:
                     continue
                 C = S @ T.T
-                if "r" in t_st.type.names:
-                    rt = t_st.field("r").to_numpy(zero_copy_only=False)
+                if "t_r" in cols and not cols["t_r"][i].is_valid:
+                    part = np.full(C.shape, np.nan)
+                elif "t_r" in cols:
+                    rr = cols["t_r"][i].values
+                    rid = rr.field("id").to_numpy(zero_copy_only=False)
+                    rv = rr.field("r").to_numpy(zero_copy_only=False)
+                    o = np.argsort(rid, kind="stable")
+                    pos = np.clip(np.searchsorted(rid[o], t_ids), 0, max(len(rid) - 1, 0))
+                    rt = np.where(rid[o][pos] == t_ids, rv[o][pos], np.nan) if len(rid) else np.full(len(t_ids), np.nan)
                     part = 2.0 * C - rt[None, :]
                 else:
                     part = C
@@ -198,6 +209,7 @@ class _Prepared:
         self.t = _prepare(tgt, self.keys, id_col, vec_col, "tid").persist(StorageLevel.MEMORY_AND_DISK)
         self.counts = _block_counts(self.s, self.t, self.keys, block_rows)
         self.sp = _pack(self.s, self.keys, "sid", "nb_s", self.counts).persist(StorageLevel.MEMORY_AND_DISK)
+        self.tp = _pack(self.t, self.keys, "tid", "nb_t", self.counts)
         self._held = [self.s, self.t, self.sp, self.counts]
 
     def hold(self, df):
@@ -216,7 +228,7 @@ def neighbourhood_means(src: DataFrame, tgt: DataFrame, keys, knn: int = DEFAULT
     ``knn`` nearest rows on the other side of its group."""
     p = _prepared or _Prepared(src, tgt, keys, id_col, vec_col, block_rows)
     keys = p.keys
-    pairs = _block_pairs(p.sp, _pack(p.t, keys, "tid", "nb_t", p.counts), keys)
+    pairs = _block_pairs(p.sp, p.tp, keys)
     r = _means_from_pairs(pairs, p.s, keys, knn)
     r_src = r.where(F.col("side") == "s").select(*keys, F.col("id").alias("sid"), "r")
     r_tgt = r.where(F.col("side") == "t").select(*keys, F.col("id").alias("tid"), "r")
@@ -239,13 +251,16 @@ def mine(src: DataFrame, tgt: DataFrame, keys=("lang_pair", "model", "split"), k
         raise ValueError("k, csls_knn and block_rows must be positive")
     keys = list(keys)
     p = _Prepared(src, tgt, keys, id_col, vec_col, block_rows)
-    t = p.t
+    tp, t_extra = p.tp, ()
     if method == "csls":
         r_src, r_tgt = neighbourhood_means(src, tgt, keys, csls_knn, _prepared=p)
         r_src = p.hold(r_src.persist(StorageLevel.MEMORY_AND_DISK))
-        t = t.join(r_tgt, keys + ["tid"])
-    tp = _pack(t, keys, "tid", "nb_t", p.counts, ("r",) if method == "csls" else ())
-    pairs = _block_pairs(p.sp, tp, keys)
+        # pass 2 reuses the packed target blocks; only (id, r) pairs are packed and joined on
+        # (group, block), the key the packed blocks are already partitioned by
+        r_blocks = (_with_block(r_tgt.join(p.counts, keys), "tid", "nb_t")
+                    .groupBy(*keys, "blk").agg(F.collect_list(F.struct(F.col("tid").alias("id"), "r")).alias("t_r")))
+        tp, t_extra = tp.join(r_blocks, keys + ["blk"], "left"), ("t_r",)
+    pairs = _block_pairs(p.sp, tp, keys, t_extra)
     id_s = p.s.schema["sid"].dataType.simpleString()
     id_t = p.t.schema["tid"].dataType.simpleString()
     partial = pairs.mapInArrow(_score_fn(keys, k, _arrow_types(p.s, keys)),
