@@ -182,6 +182,47 @@ def _score_fn(keys, k, key_types):
     return run
 
 
+def _single_fn(keys, k, knn, method, key_types):
+    """Groups held by one block pair: neighbourhood means and the final top-k in one task."""
+    def run(batches):
+        for batch in batches:
+            cols = {name: batch.column(name) for name in batch.schema.names}
+            out = {kk: [] for kk in keys}
+            out.update(src_id=[], tgt_id=[], rank=[], cos=[], score=[])
+            for i in range(batch.num_rows):
+                s_ids, S, _ = _unpack(cols["s_rows"][i])
+                t_ids, T, _ = _unpack(cols["t_rows"][i])
+                if len(s_ids) == 0 or len(t_ids) == 0:
+                    continue
+                C = S @ T.T
+                if method == "csls":
+                    rs = _topn_desc(C, knn).mean(axis=1)
+                    rt = _topn_desc(C.T, knn).mean(axis=1)
+                    score = 2.0 * C - rs[:, None] - rt[None, :]
+                else:
+                    score = C
+                m = min(k, len(t_ids))
+                tie = np.empty(len(t_ids), dtype=np.int64)
+                tie[np.argsort(t_ids, kind="stable")] = np.arange(len(t_ids))
+                order = np.lexsort((np.broadcast_to(tie, score.shape), -score), axis=1)[:, :m]
+                rows = np.repeat(np.arange(len(s_ids)), m)
+                cidx = order.reshape(-1)
+                kv = {kk: cols[kk][i].as_py() for kk in keys}
+                for kk in keys:
+                    out[kk].extend([kv[kk]] * len(rows))
+                out["src_id"].append(s_ids[rows])
+                out["tgt_id"].append(t_ids[cidx])
+                out["rank"].append(np.tile(np.arange(1, m + 1, dtype=np.int32), len(s_ids)))
+                out["cos"].append(C[rows, cidx])
+                out["score"].append(score[rows, cidx])
+            if out["src_id"]:
+                arrays = [pa.array(out[kk], type=key_types[kk]) for kk in keys]
+                arrays += [pa.array(np.concatenate(out[c])) for c in ("src_id", "tgt_id", "rank", "cos", "score")]
+                yield pa.RecordBatch.from_arrays(arrays, names=list(keys) + ["src_id", "tgt_id", "rank", "cos",
+                                                                             "score"])
+    return run
+
+
 def _arrow_types(df, keys):
     from pyspark.sql.pandas.types import to_arrow_type
     return {k: to_arrow_type(df.schema[k].dataType) for k in keys}
@@ -251,16 +292,46 @@ def mine(src: DataFrame, tgt: DataFrame, keys=("lang_pair", "model", "split"), k
         raise ValueError("k, csls_knn and block_rows must be positive")
     keys = list(keys)
     p = _Prepared(src, tgt, keys, id_col, vec_col, block_rows)
-    tp, t_extra = p.tp, ()
+    id_s = p.s.schema["sid"].dataType.simpleString()
+    id_t = p.t.schema["tid"].dataType.simpleString()
+    single = (F.col("nb_s") == 1) & (F.col("nb_t") == 1)
+    n_multi = p.counts.where(~single).count()
+    parts = []
+    # groups that fit one block on each side: their only block pair holds the whole group
+    one = _block_pairs(p.sp.where(single), p.tp.where(single), keys)
+    parts.append(one.mapInArrow(_single_fn(keys, k, csls_knn, method, _arrow_types(p.s, keys)),
+                                _schema(p.s, keys, [f"src_id {id_s}", f"tgt_id {id_t}", "rank int", "cos double",
+                                                    "score double"])))
+    if n_multi:
+        parts.append(_mine_blocked(p, keys, k, method, csls_knn, ~single))
+    top = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    top = top.select(*keys, "src_id", "tgt_id", "rank", "cos", "score")
+    if not materialize:
+        return top
+    from lexalign.session import checkpoint_dir
+    checkpoint_dir(top.sparkSession)
+    out = top.checkpoint(eager=True)
+    p.release()
+    return out
+
+
+def _mine_blocked(p, keys, k, method, csls_knn, sel):
+    """Two passes over the block grid for groups that span several blocks."""
+    sp, tp = p.sp.where(sel), p.tp.where(sel)
+    t_extra = ()
+    r_src = None
     if method == "csls":
-        r_src, r_tgt = neighbourhood_means(src, tgt, keys, csls_knn, _prepared=p)
-        r_src = p.hold(r_src.persist(StorageLevel.MEMORY_AND_DISK))
+        pairs1 = _block_pairs(sp, tp, keys)
+        r = _means_from_pairs(pairs1, p.s, keys, csls_knn)
+        r_src = p.hold(r.where(F.col("side") == "s").select(*keys, F.col("id").alias("sid"), "r")
+                       .persist(StorageLevel.MEMORY_AND_DISK))
+        r_tgt = r.where(F.col("side") == "t").select(*keys, F.col("id").alias("tid"), "r")
         # pass 2 reuses the packed target blocks; only (id, r) pairs are packed and joined on
         # (group, block), the key the packed blocks are already partitioned by
         r_blocks = (_with_block(r_tgt.join(p.counts, keys), "tid", "nb_t")
                     .groupBy(*keys, "blk").agg(F.collect_list(F.struct(F.col("tid").alias("id"), "r")).alias("t_r")))
         tp, t_extra = tp.join(r_blocks, keys + ["blk"], "left"), ("t_r",)
-    pairs = _block_pairs(p.sp, tp, keys, t_extra)
+    pairs = _block_pairs(sp, tp, keys, t_extra)
     id_s = p.s.schema["sid"].dataType.simpleString()
     id_t = p.t.schema["tid"].dataType.simpleString()
     partial = pairs.mapInArrow(_score_fn(keys, k, _arrow_types(p.s, keys)),
@@ -273,11 +344,4 @@ def mine(src: DataFrame, tgt: DataFrame, keys=("lang_pair", "model", "split"), k
                .withColumn("score", F.col("part") - F.col("r")).drop("r"))
     else:
         top = top.withColumn("score", F.col("part"))
-    top = top.select(*keys, "src_id", "tgt_id", "rank", "cos", "score")
-    if not materialize:
-        return top
-    from lexalign.session import checkpoint_dir
-    checkpoint_dir(top.sparkSession)
-    out = top.checkpoint(eager=True)
-    p.release()
-    return out
+    return top.select(*keys, "src_id", "tgt_id", "rank", "cos", "score")
