@@ -25,9 +25,13 @@ from lexalign.operators.knn import mine
 
 
 def label_with_teacher(parallel: DataFrame, teacher: "callable", anchor_col: str = "english",
-                       label_col: str = "label") -> DataFrame:
-    """``teacher`` maps a text column to a vector column (a Catalyst expression here)."""
-    return parallel.withColumn(label_col, teacher(F.col(anchor_col)))
+                       label_col: str = "label", keys=()) -> DataFrame:
+    """``teacher`` maps a text column to a vector column (a Catalyst expression here).
+
+    Rows are spread over all tasks first (``for_heavy_rows``): encoding is the costly step."""
+    from lexalign.operators.util import for_heavy_rows
+
+    return for_heavy_rows(parallel, *keys).withColumn(label_col, teacher(F.col(anchor_col)))
 
 
 def training_rows(labelled: DataFrame, keys=(), cols=("english", "non_english"), label_col: str = "label"):

@@ -62,7 +62,7 @@ def _bucket_counts(b: Column, dim: int) -> Column:
                                .cast("double"))
         return let(F.array_distinct(srt), lambda d: let(F.map_from_arrays(d, count_of(d)), lambda m: F.transform(
             F.sequence(F.lit(0), F.lit(dim - 1)), lambda j: F.coalesce(F.element_at(m, j), F.lit(0.0)))))
-    return let(F.array_sort(b), from_sorted)
+    return let(F.sort_array(b), from_sorted)  # native sort; array_sort would call a comparator lambda
 
 
 def hashed_ngram_vector(text: Column, dim: int = DEFAULT_DIM, n: int = DEFAULT_N,
@@ -173,8 +173,11 @@ def empty_sentences(tokens: DataFrame, keys, pos_col: str = "pos", drop_special:
 
 
 def long_form(df: DataFrame, keys, vec_col: str = "vec", digits: int | None = 6, nonzero: bool = False) -> DataFrame:
-    """``(keys, dim_idx, value)``: one row per vector element (for inspection and checks)."""
-    out = df.select(*keys, F.posexplode(vec_col).alias("dim_idx", "value"))
+    """``(keys, dim_idx, value)``: one row per vector element (for inspection and checks).
+
+    ``inline`` of (index, value) structs, not ``posexplode``: the filter Spark infers in front
+    of ``posexplode`` would evaluate a computed vector a second time."""
+    out = df.select(*keys, F.inline(F.transform(vec_col, lambda x, i: F.struct(i.alias("dim_idx"), x.alias("value")))))
     if nonzero:
         out = out.where(F.col("value") != 0)
     if digits is not None:

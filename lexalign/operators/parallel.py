@@ -94,7 +94,8 @@ def numbered_lines(docs: DataFrame, side_col: str = "lang", doc_col: str = "doc_
                           _doc_lines(docs, text_col, drop_blank).alias("lines"))
     per_doc = per_doc.withColumn("n", F.size("lines").cast("long"))
     off = with_ordinal(per_doc, ["side"], "doc", "n")
-    return (off.select("side", "offset", F.posexplode("lines").alias("pos", "line"))
+    pos_line = F.transform("lines", lambda x, i: F.struct(i.alias("pos"), x.alias("line")))
+    return (off.select("side", "offset", F.inline(pos_line))
             .select("side", (F.col("offset") + F.col("pos")).alias("ord"), "line"))
 
 

@@ -15,7 +15,7 @@ from lexalign.operators.distill import (combined_score, gram_statistics, label_w
 from lexalign.operators.encode import (check_dims, empty_sentences, hashed_ngram_vector, long_form, mean_pool,
                                        quantise_vectors, truncate_tokens, vec_header)
 from lexalign.operators.parallel import train_eval_split
-from lexalign.operators.util import spread
+from lexalign.operators.util import for_heavy_rows
 from lexalign.plans.parallel_queries import parallel_zip
 from lexalign.sources.fixtures import KEYS, MODELS, SHIFT, bilingual_fixture, table
 
@@ -23,13 +23,13 @@ FIXTURE_DIM = 64
 
 
 def hashed_ngram_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(table(spark, sf_dir, "documents"), "doc_id").select(
+    docs = for_heavy_rows(table(spark, sf_dir, "documents"), "doc_id").select(
         "doc_id", hashed_ngram_vector(F.col("text")).alias("vec"))
     return long_form(docs, ["doc_id"], nonzero=True)
 
 
 def teacher_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lab = label_with_teacher(parallel_zip(spark, sf_dir), hashed_ngram_vector)
+    lab = label_with_teacher(parallel_zip(spark, sf_dir), hashed_ngram_vector, keys=["pair", "ord"])
     return long_form(lab.select("pair", "ord", "label"), ["pair", "ord"], vec_col="label", nonzero=True)
 
 
@@ -109,8 +109,8 @@ def student_training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """U3 + P12: train part of the parallel corpus, both text columns towards the teacher label;
     the student sees at most 128 whitespace tokens."""
     par = train_eval_split(parallel_zip(spark, sf_dir)).where(F.col("part") == "train")
-    lab = label_with_teacher(par, hashed_ngram_vector)
-    rows = training_rows(lab, ["pair", "ord"])
+    lab = label_with_teacher(par, hashed_ngram_vector, keys=["pair", "ord"])
+    rows = for_heavy_rows(training_rows(lab, ["pair", "ord"]), "pair", "ord")
     return rows.withColumn("x", hashed_ngram_vector(truncate_tokens(F.col("text"))))
 
 
