@@ -16,6 +16,7 @@ from lexalign.operators.encode import (check_dims, empty_sentences, hashed_ngram
                                        quantise_vectors, truncate_tokens, vec_header)
 from lexalign.operators.parallel import train_eval_split
 from lexalign.operators.util import for_heavy_rows
+from lexalign.plans.memo import memo
 from lexalign.plans.parallel_queries import parallel_zip
 from lexalign.sources.fixtures import KEYS, MODELS, SHIFT, bilingual_fixture, table
 
@@ -90,10 +91,12 @@ def mse_eval_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _accuracy(spark, sf_dir):
-    ts = _teacher_student(spark, sf_dir)
-    src = ts.select("model", "sent_id", F.col("teacher").alias("vec"))
-    tgt = ts.select("model", "sent_id", F.col("student").alias("vec"))
-    return translation_accuracy(src, tgt, ["model"])
+    def build():
+        ts = _teacher_student(spark, sf_dir)
+        src = ts.select("model", "sent_id", F.col("teacher").alias("vec"))
+        tgt = ts.select("model", "sent_id", F.col("student").alias("vec"))
+        return translation_accuracy(src, tgt, ["model"])
+    return memo(spark, ("accuracy", sf_dir), build)
 
 
 def translation_accuracy_q(spark: SparkSession, sf_dir: str) -> DataFrame:

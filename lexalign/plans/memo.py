@@ -1,0 +1,15 @@
+"""Per-session reuse of intermediate tables shared by several queries (a pipeline loads
+its corpus once and reuses it for split, labels and training).  Cached DataFrames keep
+their lineage, so a lost executor only means recomputation."""
+
+from __future__ import annotations
+
+_MEMO: dict = {}
+
+
+def memo(spark, key, build, cache: bool = True):
+    k = (spark.sparkContext.applicationId,) + tuple(key)
+    if k not in _MEMO:
+        df = build()
+        _MEMO[k] = df.cache() if cache else df
+    return _MEMO[k]

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexalign.operators.parallel import corpus_report, numbered_lines, parallel_from_documents, train_eval_split
+from lexalign.plans.memo import memo
 from lexalign.sources.fixtures import table
 
 # Fixed values of the derived parallel corpus.
@@ -29,7 +30,8 @@ def parallel_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parallel_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parallel_from_documents(_docs(spark, sf_dir), ANCHOR, OTHERS)
+    return memo(spark, ("parallel_zip", sf_dir),
+                lambda: parallel_from_documents(_docs(spark, sf_dir), ANCHOR, OTHERS))
 
 
 def parallel_pairwise(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,7 +39,7 @@ class _Mined:
         if key not in cls._cache:
             src, tgt, gold = bilingual_fixture(spark, sf_dir)
             cands = mine(src, tgt, KEYS, k=k, method=method)
-            cls._cache[key] = (cands, gold)
+            cls._cache[key] = (cands, gold.cache())
         return cls._cache[key]
 
 
