@@ -128,7 +128,7 @@ def check_dims(vecs: DataFrame, dims: DataFrame, vec_col: str = "vec", model_col
 
 def vec_header(vecs: DataFrame, keys, vec_col: str = "vec") -> DataFrame:
     """``(keys, n, dim)`` — the ``.vec`` header line of every vector set."""
-    return vecs.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vec_col)).alias("dim"))
+    return vecs.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vec_col)).cast("bigint").alias("dim"))
 
 
 def quantise_vectors(vecs: DataFrame, vec_col: str = "vec", digits: int = 6) -> DataFrame:
@@ -177,7 +177,8 @@ def long_form(df: DataFrame, keys, vec_col: str = "vec", digits: int | None = 6,
 
     ``inline`` of (index, value) structs, not ``posexplode``: the filter Spark infers in front
     of ``posexplode`` would evaluate a computed vector a second time."""
-    out = df.select(*keys, F.inline(F.transform(vec_col, lambda x, i: F.struct(i.alias("dim_idx"), x.alias("value")))))
+    out = df.select(*keys, F.inline(F.transform(vec_col, lambda x, i: F.struct(i.cast("bigint").alias("dim_idx"),
+                                                                                x.alias("value")))))
     if nonzero:
         out = out.where(F.col("value") != 0)
     if digits is not None:

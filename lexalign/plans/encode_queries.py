@@ -120,4 +120,5 @@ def student_training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def linear_student_gram(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = gram_statistics(student_training_rows(spark, sf_dir), "x", "label")
     return (g.select("i", F.posexplode(F.arrays_zip("xtx", "xty")).alias("j", "v"))
-            .select("i", "j", F.round("v.xtx", 6).alias("xtx"), F.round("v.xty", 6).alias("xty")))
+            .select(F.col("i").cast("bigint").alias("i"), F.col("j").cast("bigint").alias("j"),
+                    F.round("v.xtx", 6).alias("xtx"), F.round("v.xty", 6).alias("xty")))

@@ -50,7 +50,7 @@ def _cands(spark, sf_dir, method="csls"):
 
 def cosine_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, _ = _cands(spark, sf_dir, "cosine")
-    return c.select(*KEYS, "src_id", "tgt_id", "rank", _r("cos"))
+    return c.select(*KEYS, "src_id", "tgt_id", F.col("rank").cast("bigint").alias("rank"), _r("cos"))
 
 
 def csls_means(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +63,7 @@ def csls_means(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csls_mine(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, _ = _cands(spark, sf_dir)
-    return c.select(*KEYS, "src_id", "tgt_id", "rank", _r("cos"), _r("score"))
+    return c.select(*KEYS, "src_id", "tgt_id", F.col("rank").cast("bigint").alias("rank"), _r("cos"), _r("score"))
 
 
 def filter_static(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,4 +133,5 @@ def leaderboard_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     sw, _ = _sweep(spark, sf_dir)
     s = transfer_summary(sw)
     return leaderboard(s, [m for m, _ in MODELS], sorted(PAIRS)).select(
-        "rank", "lang_pair", "model", "train_best_th", "test_best_f1", "test_f1_at_train_th", "transfer_gap")
+        F.col("rank").cast("bigint").alias("rank"), "lang_pair", "model", "train_best_th", "test_best_f1",
+        "test_f1_at_train_th", "transfer_gap")

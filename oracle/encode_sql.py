@@ -14,7 +14,7 @@ def hashed(src: str, key: str, text: str, name: str) -> str:
 {name}_t AS (SELECT {key}, lower(substr({text}, 1, 400)) AS t FROM {src}),
 {name}_g AS (SELECT {key}, t, unnest(range(1, length(t) - 1)) AS i FROM {name}_t WHERE length(t) >= 3),
 {name}_c AS (
-  SELECT {key}, (('0x' || substr(md5(substr(t, i, 3)), 1, 4))::INT % 64) AS dim_idx, count(*)::DOUBLE AS c
+  SELECT {key}, (('0x' || substr(md5(substr(t, i, 3)), 1, 4))::INT % 64)::BIGINT AS dim_idx, count(*)::DOUBLE AS c
   FROM {name}_g GROUP BY ALL),
 {name}_n AS (SELECT {key}, sqrt(sum(c * c)) AS nrm FROM {name}_c GROUP BY ALL),
 {name} AS (SELECT {key}, dim_idx, c / nrm AS value FROM {name}_c JOIN {name}_n USING ({key}))
