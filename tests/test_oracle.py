@@ -50,3 +50,16 @@ def test_every_query_has_an_oracle():
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
+
+
+_SAME = {("string", "VARCHAR"), ("bigint", "BIGINT"), ("double", "DOUBLE"), ("int", "INTEGER"),
+         ("boolean", "BOOLEAN")}
+
+
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+def test_query_types_match_oracle(spark, con, name):
+    stypes = {f.name: f.dataType.simpleString() for f in E.queries()[name](spark, SF_SMALL).schema.fields}
+    rel = con.sql(E.oracle_sql()[name])
+    dtypes = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert set(stypes) == set(dtypes)
+    assert all((stypes[c], dtypes[c]) in _SAME for c in stypes), {c: (stypes[c], dtypes[c]) for c in stypes}
