@@ -23,8 +23,12 @@ block grid of a group is formed by an equi-join on ``(keys, src_block, tgt_block
 multiplies one block pair with numpy and emits only the per-row best candidates of
 that block pair; a ``row_number() <= n`` window (planned with a map-side group limit)
 merges block pairs.  Pass 1 yields the neighbourhood means, pass 2 re-multiplies with
-the means attached and keeps the ``k`` best by CSLS.  The only per-group table that is
-broadcast is the block count per group, and only after checking its row count.
+the target means attached per packed block (only ``(id, r)`` pairs move, joined on the
+``(group, block)`` key the packed blocks are partitioned by) and keeps the ``k`` best by
+CSLS; the constant source mean is subtracted after the merge.  A group that fits one block
+on each side is finished by its single block pair in one task (means and top-k exactly),
+with no second pass.  The only per-group table that is broadcast is the block count per
+group, and only after checking its row count.
 """
 
 from __future__ import annotations
@@ -242,7 +246,8 @@ def _means_from_pairs(pairs, s, keys, knn):
 
 
 class _Prepared:
-    """Normalised sides, block counts and packed source blocks, persisted for reuse."""
+    """Normalised sides, block counts and packed blocks; sides and source blocks are
+    persisted (used by both passes), target blocks are rebuilt when needed."""
 
     def __init__(self, src, tgt, keys, id_col, vec_col, block_rows):
         self.keys = list(keys)
