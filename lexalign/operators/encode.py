@@ -1,7 +1,7 @@
 """Sentence encoders and vector-set utilities.
 
 * ``hashed_ngram_vector`` (X4) is a model-free encoder written as one Catalyst
-  expression: character n-grams of the (truncated, lower-cased) text are hashed into
+  expression: character n-grams of the whole lower-cased text are hashed into
   ``dim`` buckets by the first 16 bits of their MD5, counted and L2-normalised.  It
   stands in for transformer encoders, which cannot be installed here.
 * ``encode`` (X1/X2) runs any user-supplied batch encoder over a DataFrame with
@@ -24,7 +24,7 @@ from lexalign.functions.vectors import as_double, let, normalize, quantise
 
 DEFAULT_DIM = 64
 DEFAULT_N = 3
-DEFAULT_CHARS = 400
+DEFAULT_CHARS = None  # whole texts; a number keeps only that many leading characters
 STUDENT_MAX_TOKENS = 128
 
 # Vector dimension per encoder family (transformer / sentence-transformer
@@ -35,9 +35,9 @@ MODEL_DIMS = {
 }
 
 
-def encoder_text(text: Column, max_chars: int = DEFAULT_CHARS) -> Column:
-    """First ``max_chars`` characters, lower case."""
-    return F.lower(F.substring(text, 1, max_chars))
+def encoder_text(text: Column, max_chars: int | None = DEFAULT_CHARS) -> Column:
+    """Lower-cased text (optionally only its first ``max_chars`` characters)."""
+    return F.lower(text if max_chars is None else F.substring(text, 1, max_chars))
 
 
 def ngram_buckets(t: Column, dim: int = DEFAULT_DIM, n: int = DEFAULT_N) -> Column:
@@ -200,7 +200,7 @@ def hashed_ngram_batch(texts, dim: int = DEFAULT_DIM, n: int = DEFAULT_N, max_ch
         if t is None:
             out.append(None)
             continue
-        t = t[:max_chars].lower()
+        t = (t if max_chars is None else t[:max_chars]).lower()
         m = len(t) - n + 1
         if m <= 0:
             out.append(None)

@@ -9,9 +9,9 @@ def _with(*parts):
 
 
 def hashed(src: str, key: str, text: str, name: str) -> str:
-    """Sparse hashed 3-gram vector (64 buckets, first 400 characters, lower case) of ``text``."""
+    """Sparse hashed 3-gram vector (64 buckets, whole text, lower case) of ``text``."""
     return f"""
-{name}_t AS (SELECT {key}, lower(substr({text}, 1, 400)) AS t FROM {src}),
+{name}_t AS (SELECT {key}, lower({text}) AS t FROM {src}),
 {name}_g AS (SELECT {key}, t, unnest(range(1, length(t) - 1)) AS i FROM {name}_t WHERE length(t) >= 3),
 {name}_c AS (
   SELECT {key}, (('0x' || substr(md5(substr(t, i, 3)), 1, 4))::INT % 64)::BIGINT AS dim_idx, count(*)::DOUBLE AS c
