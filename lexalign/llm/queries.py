@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import decontaminate as DC
 from . import line_dedup as LD
+from . import packing as PK
 from .oracle import ORACLE
 
 
@@ -29,9 +30,22 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.size("spans") > 0).alias("contaminated"))
 
 
+def tokenizer_spec() -> str:
+    """Content of the public tokenizer file (about 2 MB), read where the query is declared."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        return f.read()
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return PK.pack(_read(spark, sf_dir, "documents"), tokenizer_spec(), end_id=1, seq=2048)
+
+
 QUERIES = {
     "op7_line_dedup": op7_line_dedup,
     "op8_decontamination": op8_decontamination,
+    "op10_packing": op10_packing,
 }
 
 
