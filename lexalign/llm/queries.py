@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as DC
+from . import license_scan as LS
 from . import line_dedup as LD
 from . import packing as PK
 from .oracle import ORACLE
@@ -15,6 +16,10 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return LS.scan(_read(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = LD.dedup_lines(_read(spark, sf_dir, "documents"), min_chars=10, min_docs=2)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -43,6 +48,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_license_scan": op4_license_scan,
     "op7_line_dedup": op7_line_dedup,
     "op8_decontamination": op8_decontamination,
     "op10_packing": op10_packing,
