@@ -4,6 +4,17 @@ _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwx
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLE = {
+    "op2_warc": r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+k AS (SELECT page_id, strlen(html) AS size, h, min(page_id) OVER (PARTITION BY html) AS keeper FROM p)
+SELECT page_id, size AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+         (CAST('0x' || substr(h, 1 + 5 * CAST(floor(i / 4) AS INT), 5) AS BIGINT) >> (5 * (3 - CAST(i % 4 AS INT)))) & 31 AS INT), 1)), '')
+         AS payload_digest,
+       CASE WHEN keeper = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN keeper < page_id THEN keeper END AS refers_to
+FROM k
+""",
     "op7_line_dedup": r"""
 WITH parts AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,

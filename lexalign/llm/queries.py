@@ -9,6 +9,7 @@ from . import decontaminate as DC
 from . import license_scan as LS
 from . import line_dedup as LD
 from . import packing as PK
+from . import warc as WA
 from .oracle import ORACLE
 
 
@@ -16,6 +17,13 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _read(spark, sf_dir, "pages")
+    store = WA.archive(pages, min_bytes=0)
+    found = WA.lookup(spark, pages, store)
+    return WA.read_records(found, store).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return LS.scan(_read(spark, sf_dir, "documents"))
 
@@ -48,6 +56,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_warc": op2_warc,
     "op4_license_scan": op4_license_scan,
     "op7_line_dedup": op7_line_dedup,
     "op8_decontamination": op8_decontamination,
