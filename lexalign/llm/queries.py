@@ -9,6 +9,7 @@ from . import decontaminate as DC
 from . import license_scan as LS
 from . import line_dedup as LD
 from . import packing as PK
+from . import suffix_dedup as SD
 from . import warc as WA
 from .oracle import ORACLE
 
@@ -43,6 +44,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.size("spans") > 0).alias("contaminated"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SD.remove_repeats(_read(spark, sf_dir, "documents"), size=400).drop("spans")
+
+
 def tokenizer_spec() -> str:
     """Content of the public tokenizer file (about 2 MB), read where the query is declared."""
     import public_tokenizers
@@ -60,6 +65,7 @@ QUERIES = {
     "op4_license_scan": op4_license_scan,
     "op7_line_dedup": op7_line_dedup,
     "op8_decontamination": op8_decontamination,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_packing": op10_packing,
 }
 
