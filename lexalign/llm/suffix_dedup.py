@@ -248,15 +248,16 @@ def _compare(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
 def _blocks(b: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
     """For each context and block of window starts: keys of the bytes all windows share and of all their bytes."""
     w = _Windows(b, size)
-    n = -(-w.count // BLOCK)
+    n = w.left // BLOCK + 1
     row = np.repeat(np.arange(len(w.count)), n)
     j = np.arange(len(row)) - (np.cumsum(n) - n)[row]
     # blocks are counted from the head, so that equal places are in equal blocks
-    lo = np.maximum(w.left[row] - (j + 1) * BLOCK + 1, 0)
-    hi = np.minimum(w.left[row] - j * BLOCK, w.count[row] - 1)
+    least, most = w.left[row] - (j + 1) * BLOCK + 1, w.left[row] - j * BLOCK
+    lo, hi = np.maximum(least, 0), np.minimum(most, w.count[row] - 1)
     ok = lo <= hi
-    row, j, lo, hi = row[ok], j[ok], lo[ok], hi[ok]
-    core, hull = w.keys(row, hi, lo + size), w.keys(row, lo, hi + size)
+    row, lo, hi, least, most = row[ok], lo[ok], hi[ok], least[ok], most[ok]
+    # the core is that of the block before it is clipped by the ends of a text: equal places give equal cores
+    core, hull = w.keys(row, most, least + size), w.keys(row, lo, hi + size)
     yield pa.RecordBatch.from_arrays(
         [pa.array(b.column("id").to_numpy()[row]), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)),
          pa.array(W.signed(core)), pa.array(W.signed(hull))], ["id", "lo", "hi", "core", "hull"])
