@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from . import decontaminate as DC
 from . import license_scan as LS
 from . import line_dedup as LD
+from . import near_dedup as ND
 from . import packing as PK
 from . import suffix_dedup as SD
 from . import warc as WA
+from . import words as W
 from .oracle import ORACLE
 
 
@@ -25,6 +27,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return WA.read_records(found, store).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ND.near_duplicates(_read(spark, sf_dir, "documents"), kind=W.NOT_SPACE, n=4, percent=80)
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return LS.scan(_read(spark, sf_dir, "documents"))
 
@@ -62,6 +68,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_warc": op2_warc,
+    "op3_near_dedup": op3_near_dedup,
     "op4_license_scan": op4_license_scan,
     "op7_line_dedup": op7_line_dedup,
     "op8_decontamination": op8_decontamination,
