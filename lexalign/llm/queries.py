@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as DC
+from . import katz as KZ
 from . import license_scan as LS
 from . import line_dedup as LD
 from . import near_dedup as ND
@@ -35,6 +36,10 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return LS.scan(_read(spark, sf_dir, "documents"))
 
 
+def op6_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return KZ.score(_read(spark, sf_dir, "documents"), KZ.held_out(F.col("doc_id"), 7, 2))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = LD.dedup_lines(_read(spark, sf_dir, "documents"), min_chars=10, min_docs=2)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -70,6 +75,7 @@ QUERIES = {
     "op2_warc": op2_warc,
     "op3_near_dedup": op3_near_dedup,
     "op4_license_scan": op4_license_scan,
+    "op6_katz": op6_katz,
     "op7_line_dedup": op7_line_dedup,
     "op8_decontamination": op8_decontamination,
     "op9_suffix_dedup": op9_suffix_dedup,
