@@ -12,6 +12,7 @@ from . import line_dedup as LD
 from . import near_dedup as ND
 from . import packing as PK
 from . import suffix_dedup as SD
+from . import toxicity as TX
 from . import warc as WA
 from . import words as W
 from .oracle import ORACLE
@@ -36,6 +37,14 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return LS.scan(_read(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    held = TX.held_out(F.col("doc_id"), 5, 0)
+    model = TX.train(docs, _read(spark, sf_dir, "labels"), held)
+    return TX.score(docs, model).select("doc_id", held.alias("held_out"), "score",
+                                        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return KZ.score(_read(spark, sf_dir, "documents"), KZ.held_out(F.col("doc_id"), 7, 2))
 
@@ -75,6 +84,7 @@ QUERIES = {
     "op2_warc": op2_warc,
     "op3_near_dedup": op3_near_dedup,
     "op4_license_scan": op4_license_scan,
+    "op5_toxicity": op5_toxicity,
     "op6_katz": op6_katz,
     "op7_line_dedup": op7_line_dedup,
     "op8_decontamination": op8_decontamination,
