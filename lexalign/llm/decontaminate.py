@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexalign.session import checkpoint_dir
+
 from . import words as W
 from .tables import documents, map_texts
 
@@ -74,11 +76,10 @@ class _Set:
             self.tables[m] = (h[order], bits, [gs[i] for i in order], [grams[gs[i]] for i in order])
 
 
-def _scan(b: pa.RecordBatch, block: _Set) -> Iterator[pa.RecordBatch]:
-    """Adds a block's hits to ``spans`` (word positions start, end, start, end, ...) and ``items``."""
-    for s in W.slices(b.column("text")):
+def _hits(texts: pa.Array, block: _Set) -> Iterator[tuple]:
+    """Per slice: the slice, its words, hit spans by text (word numbers inside the text), and items by text."""
+    for s in W.slices(texts):
         w = W.words(s, W.ALNUM)
-        n_words = np.diff(w.first)
         found: dict[int, list[tuple[int, int]]] = {}
         items: dict[int, set[str]] = {}
         doc = w.doc()
@@ -95,16 +96,27 @@ def _scan(b: pa.RecordBatch, block: _Set) -> Iterator[pa.RecordBatch]:
                         d = int(doc[i])
                         found.setdefault(d, []).append((i - int(w.first[d]), i - int(w.first[d]) + m))
                         items.setdefault(d, set()).update(owners[k])
+        yield s, w, found, items
+
+
+def _scan(b: pa.RecordBatch, block: _Set) -> Iterator[pa.RecordBatch]:
+    """Adds a block's hits to ``spans`` (word positions start, end, start, end, ...) and ``items``."""
+    for s, w, found, items in _hits(b.column("text"), block):
         part = b.slice(s.first, len(s))
         old_spans, old_items = part.column("spans").to_pylist(), part.column("items").to_pylist()
         spans = [merge(o, found[k]) if k in found else o for k, o in enumerate(old_spans)]
         names = [sorted(items[k].union(o)) if k in items else o for k, o in enumerate(old_items)]
         yield pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), part.column("text"), pa.array(n_words, pa.int64()),
+            [part.column("doc_id"), part.column("text"), pa.array(np.diff(w.first), pa.int64()),
              pa.array(spans, pa.list_(pa.int32())), pa.array(names, pa.list_(pa.string()))],
             ["doc_id", "text", "n_words", "spans", "items"])
 
 
+def _filter(b: pa.RecordBatch, block: _Set) -> Iterator[pa.RecordBatch]:
+    for s, _, found, _ in _hits(b.column("text"), block):
+        yield b.slice(s.first, len(s)).filter(pa.array([k not in found for k in range(len(s))], pa.bool_()))
+
+
 def merge(flat: list[int], more: list[tuple[int, int]]) -> list[int]:
     """Union of half-open spans as a flat, sorted list."""
     out: list[int] = []
@@ -116,22 +128,31 @@ def merge(flat: list[int], more: list[tuple[int, int]]) -> list[int]:
     return out
 
 
+def _each_block(df: DataFrame, benchmark: DataFrame, n: int, block: int, work, schema) -> DataFrame:
+    """Applies ``work(batch, set)`` for every block of the benchmark's windows, one after the other."""
+    windows = benchmark_windows(benchmark, n)
+    blocks = max(1, -(-windows.count() // block))
+    for i in range(blocks):
+        mine = windows if blocks == 1 else windows.where(F.pmod(F.xxhash64("gram"), F.lit(blocks)) == i)
+        sent = df.sparkSession.sparkContext.broadcast(_Set([(r.item, r.gram) for r in mine.select("item", "gram").collect()]))
+        df = map_texts(df, lambda b, sent=sent: work(b, sent.value), schema)
+        if i + 1 < blocks:
+            checkpoint_dir(df.sparkSession)
+            df = df.checkpoint()
+    return df
+
+
 def scan(docs: DataFrame, benchmark: DataFrame, n: int = 10, block: int = BLOCK) -> DataFrame:
     """``doc_id, text, n_words, spans, items`` per row: merged spans of hit words, and the items that occur."""
-    spark = docs.sparkSession
-    windows = benchmark_windows(benchmark, n)
-    total = windows.count()
-    blocks = max(1, -(-total // block))
     out = documents(docs).select("doc_id", "text", F.lit(0).cast("long").alias("n_words"),
                                  F.array().cast("array<int>").alias("spans"),
                                  F.array().cast("array<string>").alias("items"))
-    for i in range(blocks):
-        mine = windows if blocks == 1 else windows.where(F.pmod(F.xxhash64("gram"), F.lit(blocks)) == i)
-        sent = spark.sparkContext.broadcast(_Set([(r.item, r.gram) for r in mine.select("item", "gram").collect()]))
-        out = map_texts(out, lambda b, sent=sent: _scan(b, sent.value), _SCAN)
-        if i + 1 < blocks:
-            out = out.checkpoint()
-    return out
+    return _each_block(out, benchmark, n, block, _scan, _SCAN)
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, n: int = 10, block: int = BLOCK) -> DataFrame:
+    """Rows of ``docs``, with all their columns, that hold no window of the benchmark."""
+    return _each_block(docs, benchmark, n, block, _filter, docs.schema)
 
 
 def _cut(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -152,9 +173,9 @@ def _cut(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, remove: str = "documents") -> DataFrame:
     """Documents without benchmark passages: ``remove`` hit ``documents``, or only the hit ``spans``."""
-    found = scan(docs, benchmark, n)
     if remove == "documents":
-        return found.where(F.size("spans") == 0).select("doc_id", "text")
+        return keep_clean(documents(docs), benchmark, n)
     if remove != "spans":
         raise ValueError("remove is 'documents' or 'spans'")
+    found = scan(docs, benchmark, n)
     return map_texts(found.select("doc_id", "text", "spans"), _cut, "doc_id long, text string")

@@ -50,6 +50,21 @@ def repeated_lines(docs: DataFrame, scratch: Scratch, min_chars: int = 10, min_d
     return hits.groupBy("id").agg(F.collect_set("digest").alias("drop"))
 
 
+def clean(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> DataFrame:
+    """``docs`` with all their columns; repeated lines are gone from ``text``, and ``n_chars``, if there, follows it.
+
+    A text that keeps all its lines stays as it is (null too)."""
+    scratch = Scratch(docs.sparkSession, "lines")
+    drops = repeated_lines(docs, scratch, min_chars, min_docs).select(F.col("id").alias("__id"), F.col("drop").alias("__drop"))
+    d = docs.withColumn("__id", null_last(F.col("doc_id").cast("long"))).join(drops, "__id", "left")
+    kept = F.array_join(F.filter(_lines(F.col("text")), lambda x: ~F.array_contains(F.col("__drop"), _digest(x))), "\n")
+    d = d.withColumn("text", F.when(F.col("__drop").isNull(), F.col("text")).otherwise(kept))
+    if "n_chars" in docs.columns:
+        d = d.withColumn("n_chars", F.when(F.col("__drop").isNull(), F.col("n_chars")).otherwise(
+            F.length("text").cast(docs.schema["n_chars"].dataType)))
+    return d.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> DataFrame:
     """``doc_id, n_lines, n_dropped, text`` per row, with the repeated lines gone from ``text``.
 

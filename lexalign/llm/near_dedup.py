@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words as W
@@ -88,8 +88,8 @@ def _signatures(b: pa.RecordBatch, kind: np.ndarray, n: int) -> Iterator[pa.Reco
                 x = h * _MULT[v]
                 sig[full, v] = np.minimum.reduceat((x >> W.U64(32)).astype(np.uint32), at)
         yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id").slice(s.first, len(s)), pa.array(W.signed(node)), pa.array(size.astype(np.int64)),
-             pa.array([r.tobytes() for r in sig], pa.binary())], ["doc_id", "node", "n", "sig"])
+            [b.column("doc_id").slice(s.first, len(s)), b.column("h").slice(s.first, len(s)), pa.array(W.signed(node)), pa.array(size.astype(np.int64)),
+             pa.array([r.tobytes() for r in sig], pa.binary())], ["doc_id", "h", "node", "n", "sig"])
 
 
 def _values(b: pa.RecordBatch) -> np.ndarray:
@@ -242,11 +242,11 @@ def links(docs: DataFrame, reps: DataFrame, pairs: DataFrame, scratch: Scratch,
     return rows.mapInArrow(lambda bs: _confirm(bs, percent), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, kind: np.ndarray = W.ALNUM, n: int = 5, percent: int = 80) -> DataFrame:
-    """Per row: ``doc_id, n_shingles, component_id`` (smallest id that links reach), ``kept``."""
-    scratch = Scratch(docs.sparkSession, "near")
-    every = scratch.save(map_texts(documents(docs), lambda b: _signatures(b, kind, n),
-                                   "doc_id long, node long, n long, sig binary").withColumn("id", null_last("doc_id")), "docs")
+def linked(docs: DataFrame, scratch: Scratch, kind: np.ndarray, n: int, percent: int) -> DataFrame:
+    """Per row: ``doc_id, id`` (null: the largest), ``h`` (hash of the text), ``n`` and ``first``, the smallest id reached."""
+    every = documents(docs).withColumn("h", F.xxhash64("text"))
+    every = scratch.save(map_texts(every, lambda b: _signatures(b, kind, n), "doc_id long, h long, node long, n long, sig binary")
+                         .withColumn("id", null_last("doc_id")), "docs")
     reps = scratch.save(every.where("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.min("n").alias("n"),
                                                                 F.min("sig").alias("sig")), "reps")
     pairs = scratch.save(candidates(reps, scratch, percent), "pairs")
@@ -255,8 +255,29 @@ def near_duplicates(docs: DataFrame, kind: np.ndarray = W.ALNUM, n: int = 5, per
     member = reps.select("node", "id").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = member.groupBy("comp").agg(F.min("id").alias("component_id"))
     where = scratch.save(salted_join(member, least, ["comp"], "node").select("node", "component_id"), "where")
-    out = salted_join(every.select("doc_id", "id", "node", "n"), where, ["node"], "id")
-    first = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
+    out = salted_join(every.select("doc_id", "id", "h", "node", "n"), where, ["node"], "id")
+    return out.select("doc_id", "id", "h", "n", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("first"))
+
+
+def near_duplicates(docs: DataFrame, kind: np.ndarray = W.ALNUM, n: int = 5, percent: int = 80) -> DataFrame:
+    """Per row: ``doc_id, n_shingles, component_id`` (smallest id that links reach), ``kept``."""
+    out = linked(docs, Scratch(docs.sparkSession, "near"), kind, n, percent)
     return out.select("doc_id", F.col("n").alias("n_shingles"),
-                      F.when(F.col("doc_id").isNull() & (first == F.col("id")), F.lit(None)).otherwise(first).alias("component_id"),
-                      (first == F.col("id")).alias("kept"))
+                      F.when(F.col("doc_id").isNull() & (F.col("first") == F.col("id")), F.lit(None)).otherwise(
+                          F.col("first")).alias("component_id"), (F.col("first") == F.col("id")).alias("kept"))
+
+
+def keep_one(docs: DataFrame, kind: np.ndarray = W.ALNUM, n: int = 5, percent: int = 80) -> DataFrame:
+    """Rows of ``docs``, with all their columns: one of each group of linked rows, and every row without words.
+
+    The smallest id stays; of several rows of that id the one with the smallest text hash, and one of equal rows."""
+    scratch = Scratch(docs.sparkSession, "near")
+    out = linked(docs, scratch, kind, n, percent)
+    one = out.where("n > 0 and first = id").groupBy("first").agg(F.min("h").alias("__h")).select(
+        F.col("first").alias("__id"), "__h", F.lit(True).alias("__single"))
+    empty = out.where("n = 0").select(F.col("id").alias("__id"), F.col("h").alias("__h"), F.lit(False).alias("__single"))
+    keep = scratch.save(one.unionByName(empty).distinct(), "keep")
+    rows = docs.withColumn("__id", null_last(F.col("doc_id").cast("long"))).withColumn("__h", F.xxhash64(F.col("text").cast("string")))
+    rows = rows.join(keep, ["__id", "__h"]).withColumn(
+        "__k", F.row_number().over(Window.partitionBy("__id", "__h").orderBy("__single")))
+    return rows.where("not __single or __k = 1").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -11,6 +11,7 @@ from . import license_scan as LS
 from . import line_dedup as LD
 from . import near_dedup as ND
 from . import packing as PK
+from . import spotsigs as SP
 from . import suffix_dedup as SD
 from . import toxicity as TX
 from . import warc as WA
@@ -22,6 +23,10 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SP.compare_next(_read(spark, sf_dir, "documents"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _read(spark, sf_dir, "pages")
     store = WA.archive(pages, min_bytes=0)
@@ -81,6 +86,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_spotsigs": op1_spotsigs,
     "op2_warc": op2_warc,
     "op3_near_dedup": op3_near_dedup,
     "op4_license_scan": op4_license_scan,

@@ -290,5 +290,15 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return map_texts(documents(docs), work, "doc_id long, text string, score double")
 
 
+def keep(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """Rows of ``docs``, with all their columns, whose text scores less than ``threshold``."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def work(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        yield b.filter(pa.array(sent.value.score(b.column("text")) < threshold))
+
+    return map_texts(docs, work, docs.schema)
+
+
 def held_out(doc_id: Column, parts: int = 5, part: int = 0) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % parts == part, F.lit(False))
