@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexalign.functions.vectors import as_double, let, sq_dist
-from lexalign.operators.knn import mine
+from lexalign.operators.knn import nearest_both
 
 
 def label_with_teacher(parallel: DataFrame, teacher: "callable", anchor_col: str = "english",
@@ -53,20 +53,20 @@ def mse_eval(pairs: DataFrame, keys, teacher_col: str = "teacher", student_col:
 
 
 def translation_accuracy(src: DataFrame, tgt: DataFrame, keys, id_col: str = "sent_id", vec_col: str = "vec",
-                         block_rows: int = 2048) -> DataFrame:
+                         block_rows: int = 8192) -> DataFrame:
     """``(keys, src2trg, trg2src, accuracy)``; a row is a hit when its nearest
     counterpart (cosine) carries its own id."""
     keys = list(keys)
-    fw = mine(src, tgt, keys, k=1, method="cosine", id_col=id_col, vec_col=vec_col, block_rows=block_rows)
-    bw = mine(tgt, src, keys, k=1, method="cosine", id_col=id_col, vec_col=vec_col, block_rows=block_rows)
-
-    def acc(nn, name):
-        return nn.groupBy(*keys).agg(F.avg((F.col("src_id") == F.col("tgt_id")).cast("double")).alias(name))
-
-    n_src = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    out = acc(fw, "src2trg").join(acc(bw, "trg2src"), keys)
-    return out.join(n_src, keys).select(*keys, "src2trg", "trg2src",
-                                        ((F.col("src2trg") + F.col("trg2src")) / 2).alias("accuracy"))
+    near = nearest_both(src, tgt, keys, id_col=id_col, vec_col=vec_col, block_rows=block_rows)
+    hits = near.groupBy(*keys, "side").agg(F.sum((F.col("id") == F.col("near")).cast("double")).alias("h"))
+    rows = (src.select(*keys, F.lit("s").alias("side")).unionByName(tgt.select(*keys, F.lit("t").alias("side")))
+            .groupBy(*keys, "side").agg(F.count(F.lit(1)).alias("n")))
+    # a row without a similarity (zero vector) is a miss: it counts below but not above
+    share = rows.join(hits, keys + ["side"], "left").select(*keys, "side", (F.coalesce("h", F.lit(0.0)) / F.col("n")).alias("a"))
+    both = share.groupBy(*keys).agg(F.max(F.when(F.col("side") == "s", F.col("a"))).alias("src2trg"),
+                                    F.max(F.when(F.col("side") == "t", F.col("a"))).alias("trg2src"))
+    return both.where("src2trg is not null and trg2src is not null").select(
+        *keys, "src2trg", "trg2src", ((F.col("src2trg") + F.col("trg2src")) / 2).alias("accuracy"))
 
 
 def combined_score(mse: DataFrame, acc: DataFrame, keys) -> DataFrame:

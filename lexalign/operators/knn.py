@@ -13,65 +13,65 @@ the mean cosine of ``t``'s ``knn`` nearest sources.  ``method='cosine'`` scores
 plain cosine.  Each source keeps its ``k`` best targets (score descending, target id
 ascending on ties).  Zero vectors have no cosine and are dropped.
 
+Rules
+-----
+* Rows are ranked one by one: rows that repeat an id (or are equal) each get their own ``k`` targets.
+* Scores are compared after rounding to ``DIGITS`` decimals, then by target id, so repeated
+  vectors tie however the work is cut.
+* A vector with a NaN or infinite component fails the query; it is never ranked.
+
 Plan
 ----
-No pair of rows ever becomes a DataFrame row.  Each side is hashed into blocks of at
-most about ``block_rows`` vectors (block count per group follows the group's size, so
-a hot group is spread over many tasks), every block is packed into one row, and the
-block grid of a group is formed by an equi-join on ``(keys, src_block, tgt_block)``
-(each block is replicated once per block of the other side).  One Arrow task then
-multiplies one block pair with numpy and emits only the per-row best candidates of
-that block pair; a ``row_number() <= n`` window (planned with a map-side group limit)
-merges block pairs.  Pass 1 yields the neighbourhood means, pass 2 re-multiplies with
-the target means attached per packed block (only ``(id, r)`` pairs move, joined on the
-``(group, block)`` key the packed blocks are partitioned by) and keeps the ``k`` best by
-CSLS; the constant source mean is subtracted after the merge.  A group that fits one block
-on each side is finished by its single block pair in one task (means and top-k exactly),
-with no second pass.  The only per-group table that is broadcast is the block count per
-group, and only after checking its row count.
+One path for groups of every size.  No pair of rows ever becomes a DataFrame row.  Each side
+is dealt into blocks of about ``block_rows`` vectors by a hash of id and vector, every block is
+packed into one row, and the block grid of a group is formed by an equi-join on
+``(keys, src_block, tgt_block)``.  One Arrow task multiplies one block pair tile by tile (the
+score matrix never holds more than ``TILE`` source rows) and emits one row per vector with its
+best candidates; an aggregate merges block pairs.  Pass 1 yields the neighbourhood means, pass 2
+multiplies again with the target means packed beside their block.  A vector is copied once per
+block of the other side, so ``block_rows`` trades memory of a task against copies.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexalign.functions.vectors import normalize
-from lexalign.operators.util import broadcast_if_small
+from lexalign.functions.vectors import as_double, normalize
 
 METHODS = ("csls", "cosine")
 DEFAULT_K = 10
 DEFAULT_CSLS_KNN = 20
-DEFAULT_BLOCK_ROWS = 2048
+DEFAULT_BLOCK_ROWS = 8192
+#: source rows multiplied at a time, and decimals that scores are compared on
+TILE = 1024
+DIGITS = 10
 
 
-def _prepare(df: DataFrame, keys, id_col, vec_col, id_alias) -> DataFrame:
-    out = (df.select(*keys, F.col(id_col).alias(id_alias), normalize(vec_col).alias("u"))
-           .where(F.col("u").isNotNull()))
-    return out
+def _prepare(df: DataFrame, keys, id_col, vec_col) -> DataFrame:
+    v = as_double(vec_col)
+    finite = F.forall(v, lambda x: ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    checked = F.when(finite, v).when(v.isNotNull(), F.raise_error(F.lit("vector with a non-finite component")).cast("array<double>"))
+    return (df.select(*keys, F.col(id_col).alias("id"), normalize(checked).alias("u"))
+            .where(F.col("u").isNotNull()))
 
 
 def _block_counts(src, tgt, keys, block_rows):
     def nb(df, name):
         return df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(float(block_rows))).cast("int").alias(name))
-    counts = nb(src, "nb_s").join(nb(tgt, "nb_t"), list(keys))
-    return broadcast_if_small(counts)
+    return nb(src, "nb_s").join(nb(tgt, "nb_t"), list(keys))
 
 
-def _pack(df, keys, id_alias, nb_col, counts, extra=()):
-    """One row per (group, block): ``rows`` = array of struct(id, u, *extra)."""
-    fields = [F.col(id_alias).alias("id"), F.col("u")] + [F.col(c) for c in extra]
-    return (_with_block(df.join(counts, list(keys)), id_alias, nb_col)
+def _pack(df, keys, nb_col, counts):
+    """One row per (group, block): ``rows`` = struct(id, u) in order, so that a row's place in its block is fixed."""
+    return (df.join(counts, list(keys))
+            .withColumn("blk", F.pmod(F.xxhash64("id", "u"), F.col(nb_col)))
             .groupBy(*keys, "blk")
             .agg(F.first("nb_s").alias("nb_s"), F.first("nb_t").alias("nb_t"),
-                 F.collect_list(F.struct(*fields)).alias("rows")))
-
-
-def _with_block(df, id_alias, nb_col):
-    return df.withColumn("blk", F.pmod(F.xxhash64(F.col(id_alias)), F.col(nb_col)))
+                 F.sort_array(F.collect_list(F.struct("id", "u"))).alias("rows")))
 
 
 def _block_pairs(sp, tp, keys, t_extra=()):
@@ -83,147 +83,104 @@ def _block_pairs(sp, tp, keys, t_extra=()):
     return s.join(t, list(keys) + ["sb", "tb"])
 
 
-def _unpack(rows: pa.Array):
-    """rows: list<struct<id, u: list<double>, ...>> scalar's values -> (ids, matrix, struct array)."""
-    st = rows.values if isinstance(rows, pa.ListScalar) else rows
-    ids = st.field("id").to_numpy(zero_copy_only=False)
+def _unpack(rows: pa.ListScalar):
+    """list<struct<id, u: list<double>>> -> (ids as an Arrow array, matrix)."""
+    st = rows.values
     u = st.field("u")
-    n = len(u)
-    if n == 0:
-        return ids, np.zeros((0, 0)), st
     flat = u.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
-    return ids, flat.reshape(n, len(flat) // n), st
+    return st.field("id"), flat.reshape(len(u), -1)
 
 
-def _topn_desc(m: np.ndarray, n: int):
+def _largest(m: np.ndarray, n: int) -> np.ndarray:
     """Per row, the n largest values (unordered) of matrix m."""
     n = min(n, m.shape[1])
-    if n <= 0:
-        return m[:, :0]
-    if n == m.shape[1]:
-        return m
-    return np.partition(m, m.shape[1] - n, axis=1)[:, m.shape[1] - n:]
+    return m if n == m.shape[1] else np.partition(m, m.shape[1] - n, axis=1)[:, m.shape[1] - n:]
 
 
-def _neighbourhood_fn(keys, knn, key_types):
-    def run(batches):
-        for batch in batches:
-            cols = {name: batch.column(name) for name in batch.schema.names}
-            out = {k: [] for k in keys}
-            out.update(side=[], id=[], cos=[])
-            for i in range(batch.num_rows):
-                s_ids, S, _ = _unpack(cols["s_rows"][i])
-                t_ids, T, _ = _unpack(cols["t_rows"][i])
-                if len(s_ids) == 0 or len(t_ids) == 0:
-                    continue
-                C = S @ T.T
-                top_s = _topn_desc(C, knn)            # per source row, best targets in this block
-                top_t = _topn_desc(C.T, knn)          # per target row, best sources in this block
-                kv = {k: cols[k][i].as_py() for k in keys}
-                for side, ids, top in (("s", s_ids, top_s), ("t", t_ids, top_t)):
-                    m = top.shape[1]
-                    cnt = len(ids) * m
-                    for k in keys:
-                        out[k].extend([kv[k]] * cnt)
-                    out["side"].extend([side] * cnt)
-                    out["id"].append(np.repeat(ids, m))
-                    out["cos"].append(top.reshape(-1))
-            if out["side"]:
-                arrays = [pa.array(out[k], type=key_types[k]) for k in keys]
-                arrays += [pa.array(out["side"], pa.string()),
-                           pa.array(np.concatenate(out["id"])), pa.array(np.concatenate(out["cos"]))]
-                yield pa.RecordBatch.from_arrays(arrays, names=list(keys) + ["side", "id", "cos"])
-    return run
+def _best(score: np.ndarray, place: np.ndarray, n: int) -> np.ndarray:
+    """Per row, the columns of the n best scores; ``place`` (rank of each column's id) decides ties.
 
+    Only the columns that reach the n-th largest score are ordered, not whole rows."""
+    n = min(n, score.shape[1])
+    least = np.partition(score, score.shape[1] - n, axis=1)[:, score.shape[1] - n]
+    row, col = np.nonzero(score >= least[:, None])
+    order = np.lexsort((place[col], -score[row, col], row))
+    row, col = row[order], col[order]
+    first = np.searchsorted(row, np.arange(len(score)))
+    return col[first[:, None] + np.arange(n)]
 
-def _score_fn(keys, k, key_types):
-    """Per block pair: each source row's ``k`` best targets by ``2 cos - r_tgt`` (or cos).
 
-    ``r_src`` is constant for a source row, so it cannot change that row's ranking; it is
-    subtracted after the merge.  Ties go to the smaller target id.
-    """
+def _lists(m: np.ndarray, kind) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1, dtype=np.int32) * m.shape[1]), kind(m.reshape(-1)))
+
+
+def _group_columns(cols, keys, key_types, i, n):
+    return [pa.array([cols[k][i].as_py()] * n, type=key_types[k]) for k in keys]
+
+
+def _neighbourhood_fn(keys, knn, key_types):
+    """Per block pair and vector of either side: the ``knn`` largest cosines."""
+    names = list(keys) + ["side", "blk", "pos", "top"]
+
     def run(batches):
         for batch in batches:
             cols = {name: batch.column(name) for name in batch.schema.names}
-            out = {kk: [] for kk in keys}
-            out.update(src_id=[], tgt_id=[], cos=[], part=[])
             for i in range(batch.num_rows):
-                s_ids, S, _ = _unpack(cols["s_rows"][i])
-                t_ids, T, t_st = _unpack(cols["t_rows"][i])
-                if len(s_ids) == 0 or len(t_ids) == 0:
-                    continue
-                C = S @ T.T
-                if "t_r" in cols and not cols["t_r"][i].is_valid:
-                    part = np.full(C.shape, np.nan)
-                elif "t_r" in cols:
-                    rr = cols["t_r"][i].values
-                    rid = rr.field("id").to_numpy(zero_copy_only=False)
-                    rv = rr.field("r").to_numpy(zero_copy_only=False)
-                    o = np.argsort(rid, kind="stable")
-                    pos = np.clip(np.searchsorted(rid[o], t_ids), 0, max(len(rid) - 1, 0))
-                    rt = np.where(rid[o][pos] == t_ids, rv[o][pos], np.nan) if len(rid) else np.full(len(t_ids), np.nan)
-                    part = 2.0 * C - rt[None, :]
-                else:
-                    part = C
-                m = min(k, len(t_ids))
-                tie = np.empty(len(t_ids), dtype=np.int64)
-                tie[np.argsort(t_ids, kind="stable")] = np.arange(len(t_ids))
-                order = np.lexsort((np.broadcast_to(tie, part.shape), -part), axis=1)[:, :m]
-                rows = np.repeat(np.arange(len(s_ids)), m)
-                cidx = order.reshape(-1)
-                kv = {kk: cols[kk][i].as_py() for kk in keys}
-                cnt = len(rows)
-                for kk in keys:
-                    out[kk].extend([kv[kk]] * cnt)
-                out["src_id"].append(s_ids[rows])
-                out["tgt_id"].append(t_ids[cidx])
-                out["cos"].append(C[rows, cidx])
-                out["part"].append(part[rows, cidx])
-            if out["src_id"]:
-                arrays = [pa.array(out[kk], type=key_types[kk]) for kk in keys]
-                arrays += [pa.array(np.concatenate(out[c])) for c in ("src_id", "tgt_id", "cos", "part")]
-                yield pa.RecordBatch.from_arrays(arrays, names=list(keys) + ["src_id", "tgt_id", "cos", "part"])
+                _, S = _unpack(cols["s_rows"][i])
+                _, T = _unpack(cols["t_rows"][i])
+                best_t = None
+                for a in range(0, len(S), TILE):
+                    C = S[a:a + TILE] @ T.T
+                    yield side(cols, i, "s", cols["sb"][i].as_py(), a, _largest(C, knn))
+                    more = _largest(C.T, knn)
+                    best_t = more if best_t is None else _largest(np.hstack([best_t, more]), knn)
+                yield side(cols, i, "t", cols["tb"][i].as_py(), 0, best_t)
+
+    def side(cols, i, name, blk, start, top):
+        n = len(top)
+        return pa.RecordBatch.from_arrays(
+            _group_columns(cols, keys, key_types, i, n) + [pa.array([name] * n), pa.array(np.full(n, blk, np.int64)),
+                                                        pa.array(np.arange(start, start + n, dtype=np.int32)),
+                                                        _lists(top, pa.array)], names=names)
     return run
 
 
-def _single_fn(keys, k, knn, method, key_types):
-    """Groups held by one block pair: neighbourhood means and the final top-k in one task."""
+def _score_fn(keys, k, key_types, both: bool):
+    """Per block pair and source row: the ``k`` best targets by ``2 cos - r_tgt`` (or cos), as sortable structs.
+
+    ``r_src`` is constant for a source row, so it cannot change that row's ranking; it is subtracted after the
+    merge.  With ``both``, the best sources of every target row come out as well (side ``t``)."""
+    names = list(keys) + ["side", "blk", "pos", "id", "best"]
+
     def run(batches):
         for batch in batches:
             cols = {name: batch.column(name) for name in batch.schema.names}
-            out = {kk: [] for kk in keys}
-            out.update(src_id=[], tgt_id=[], rank=[], cos=[], score=[])
             for i in range(batch.num_rows):
-                s_ids, S, _ = _unpack(cols["s_rows"][i])
-                t_ids, T, _ = _unpack(cols["t_rows"][i])
-                if len(s_ids) == 0 or len(t_ids) == 0:
-                    continue
-                C = S @ T.T
-                if method == "csls":
-                    rs = _topn_desc(C, knn).mean(axis=1)
-                    rt = _topn_desc(C.T, knn).mean(axis=1)
-                    score = 2.0 * C - rs[:, None] - rt[None, :]
-                else:
-                    score = C
-                m = min(k, len(t_ids))
-                tie = np.empty(len(t_ids), dtype=np.int64)
-                tie[np.argsort(t_ids, kind="stable")] = np.arange(len(t_ids))
-                order = np.lexsort((np.broadcast_to(tie, score.shape), -score), axis=1)[:, :m]
-                rows = np.repeat(np.arange(len(s_ids)), m)
-                cidx = order.reshape(-1)
-                kv = {kk: cols[kk][i].as_py() for kk in keys}
-                for kk in keys:
-                    out[kk].extend([kv[kk]] * len(rows))
-                out["src_id"].append(s_ids[rows])
-                out["tgt_id"].append(t_ids[cidx])
-                out["rank"].append(np.tile(np.arange(1, m + 1, dtype=np.int32), len(s_ids)))
-                out["cos"].append(C[rows, cidx])
-                out["score"].append(score[rows, cidx])
-            if out["src_id"]:
-                arrays = [pa.array(out[kk], type=key_types[kk]) for kk in keys]
-                arrays += [pa.array(np.concatenate(out[c])) for c in ("src_id", "tgt_id", "rank", "cos", "score")]
-                yield pa.RecordBatch.from_arrays(arrays, names=list(keys) + ["src_id", "tgt_id", "rank", "cos",
-                                                                             "score"])
+                s_ids, S = _unpack(cols["s_rows"][i])
+                t_ids, T = _unpack(cols["t_rows"][i])
+                rt = cols["t_r"][i].values.to_numpy() if "t_r" in cols else None
+                for a in range(0, len(S), TILE):
+                    C = S[a:a + TILE] @ T.T
+                    part = C if rt is None else 2.0 * C - rt[None, :]
+                    yield side(cols, i, "s", cols["sb"][i].as_py(), a, s_ids.slice(a, len(C)), t_ids, C, part)
+                    if both:
+                        yield side(cols, i, "t", cols["tb"][i].as_py(), 0, t_ids, s_ids.slice(a, len(C)), C.T, part.T)
+
+    def side(cols, i, name, blk, start, ids, others, C, part):
+        n = len(ids)
+        place = np.empty(len(others), dtype=np.int64)
+        place[pc.array_sort_indices(others).to_numpy()] = np.arange(len(others))
+        order = np.round(part, DIGITS)
+        col = _best(order, place, k)
+        row = np.repeat(np.arange(n), col.shape[1])
+        flat = col.reshape(-1)
+        best = pa.StructArray.from_arrays([pa.array(-order[row, flat]), others.take(pa.array(flat)), pa.array(C[row, flat]),
+                                           pa.array(part[row, flat])], names=["neg", "id", "cos", "part"])
+        best = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * col.shape[1]), best)
+        return pa.RecordBatch.from_arrays(
+            _group_columns(cols, keys, key_types, i, n) + [pa.array([name] * n), pa.array(np.full(n, blk, np.int64)),
+                                                        pa.array(np.arange(start, start + n, dtype=np.int32)), ids, best],
+            names=names)
     return run
 
 
@@ -232,121 +189,85 @@ def _arrow_types(df, keys):
     return {k: to_arrow_type(df.schema[k].dataType) for k in keys}
 
 
-def _schema(df, keys, cols):
-    return ", ".join([f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys] + cols)
-
-
-def _means_from_pairs(pairs, s, keys, knn):
-    id_type = s.schema["sid"].dataType.simpleString()
-    partial = pairs.mapInArrow(_neighbourhood_fn(keys, knn, _arrow_types(s, keys)),
-                               _schema(s, keys, ["side string", f"id {id_type}", "cos double"]))
-    w = Window.partitionBy(*keys, "side", "id").orderBy(F.col("cos").desc())
-    return (partial.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= knn)
-            .groupBy(*keys, "side", "id").agg(F.avg("cos").alias("r")))
-
-
-class _Prepared:
-    """Normalised sides, block counts and packed blocks; sides and source blocks are
-    persisted (used by both passes), target blocks are rebuilt when needed."""
+class _Grid:
+    """Normalised sides, packed once into the shared checkpoint folder, and the plans over their block grid."""
 
     def __init__(self, src, tgt, keys, id_col, vec_col, block_rows):
-        self.keys = list(keys)
-        self.s = _prepare(src, self.keys, id_col, vec_col, "sid").persist(StorageLevel.MEMORY_AND_DISK)
-        self.t = _prepare(tgt, self.keys, id_col, vec_col, "tid").persist(StorageLevel.MEMORY_AND_DISK)
-        self.counts = _block_counts(self.s, self.t, self.keys, block_rows)
-        self.sp = _pack(self.s, self.keys, "sid", "nb_s", self.counts).persist(StorageLevel.MEMORY_AND_DISK)
-        self.tp = _pack(self.t, self.keys, "tid", "nb_t", self.counts)
-        self._held = [self.s, self.t, self.sp, self.counts]
-
-    def hold(self, df):
-        self._held.append(df)
-        return df
+        from lexalign.session import checkpoint_dir
 
-    def release(self):
-        for df in self._held:
-            df.unpersist()
+        self.keys = list(keys)
+        s, t = (_prepare(x, self.keys, id_col, vec_col) for x in (src, tgt))
+        counts = _block_counts(s, t, self.keys, block_rows)
+        checkpoint_dir(s.sparkSession)
+        self.s = _pack(s, self.keys, "nb_s", counts).checkpoint()
+        self.t = _pack(t, self.keys, "nb_t", counts).checkpoint()
+        self.types = _arrow_types(s, self.keys)
+        self.key_schema = ", ".join(f"`{k}` {s.schema[k].dataType.simpleString()}" for k in self.keys)
+        self.id_type = s.schema["id"].dataType.simpleString()
+
+    def means(self, knn: int) -> DataFrame:
+        """``keys, side, blk, pos, r``: mean of the ``knn`` largest cosines of every vector."""
+        schema = f"{self.key_schema}, side string, blk long, pos int, top array<double>"
+        part = _block_pairs(self.s, self.t, self.keys).mapInArrow(_neighbourhood_fn(self.keys, knn, self.types), schema)
+        top = F.slice(F.sort_array(F.flatten(F.collect_list("top")), asc=False), 1, knn)
+        mean = F.aggregate("top", F.lit(0.0), lambda acc, x: acc + x) / F.size("top")
+        return part.groupBy(*self.keys, "side", "blk", "pos").agg(top.alias("top")).withColumn("r", mean).drop("top")
+
+    def best(self, k: int, means: DataFrame | None = None, both: bool = False) -> DataFrame:
+        """``keys, side, blk, pos, id, best``: the ``k`` best of the other side, best first."""
+        t, extra = self.t, ()
+        if means is not None:
+            packed = means.where("side = 't'").groupBy(*self.keys, "blk").agg(
+                F.transform(F.sort_array(F.collect_list(F.struct("pos", "r"))), lambda x: x["r"]).alias("t_r"))
+            t, extra = t.join(packed, self.keys + ["blk"]), ("t_r",)
+        schema = (f"{self.key_schema}, side string, blk long, pos int, id {self.id_type}, "
+                  f"best array<struct<neg: double, id: {self.id_type}, cos: double, part: double>>")
+        part = _block_pairs(self.s, t, self.keys, extra).mapInArrow(_score_fn(self.keys, k, self.types, both), schema)
+        merged = F.slice(F.sort_array(F.flatten(F.collect_list("best"))), 1, k)
+        return part.groupBy(*self.keys, "side", "blk", "pos").agg(F.first("id").alias("id"), merged.alias("best"))
+
+    def ids(self, side: DataFrame) -> DataFrame:
+        rows = F.transform("rows", lambda x, i: F.struct(i.alias("pos"), x["id"].alias("id")))
+        return side.select(*self.keys, "blk", F.inline(rows))
 
 
 def neighbourhood_means(src: DataFrame, tgt: DataFrame, keys, knn: int = DEFAULT_CSLS_KNN,
-                        id_col: str = "sent_id", vec_col: str = "vec", block_rows: int = DEFAULT_BLOCK_ROWS,
-                        _prepared: "_Prepared | None" = None):
+                        id_col: str = "sent_id", vec_col: str = "vec", block_rows: int = DEFAULT_BLOCK_ROWS):
     """A5: ``(r_src, r_tgt)`` DataFrames ``(keys, sid|tid, r)``: mean cosine of each row's
     ``knn`` nearest rows on the other side of its group."""
-    p = _prepared or _Prepared(src, tgt, keys, id_col, vec_col, block_rows)
-    keys = p.keys
-    pairs = _block_pairs(p.sp, p.tp, keys)
-    r = _means_from_pairs(pairs, p.s, keys, knn)
-    r_src = r.where(F.col("side") == "s").select(*keys, F.col("id").alias("sid"), "r")
-    r_tgt = r.where(F.col("side") == "t").select(*keys, F.col("id").alias("tid"), "r")
+    g = _Grid(src, tgt, keys, id_col, vec_col, block_rows)
+    r = g.means(knn)
+    on = g.keys + ["blk", "pos"]
+    r_src = r.where("side = 's'").join(g.ids(g.s), on).select(*g.keys, F.col("id").alias("sid"), "r")
+    r_tgt = r.where("side = 't'").join(g.ids(g.t), on).select(*g.keys, F.col("id").alias("tid"), "r")
     return r_src, r_tgt
 
 
+def nearest_both(src: DataFrame, tgt: DataFrame, keys, id_col: str = "sent_id", vec_col: str = "vec",
+                 block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """``keys, side, id, near``: the most cosine-similar row of the other side for every row, from one product."""
+    g = _Grid(src, tgt, keys, id_col, vec_col, block_rows)
+    return g.best(1, both=True).select(*g.keys, "side", "id", F.col("best")[0]["id"].alias("near"))
+
+
 def mine(src: DataFrame, tgt: DataFrame, keys=("lang_pair", "model", "split"), k: int = DEFAULT_K,
          method: str = "csls", csls_knn: int = DEFAULT_CSLS_KNN, id_col: str = "sent_id", vec_col: str = "vec",
-         block_rows: int = DEFAULT_BLOCK_ROWS, materialize: bool = True) -> DataFrame:
+         block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """J5 + A6 + W1: the ``k`` best targets of every source row.
 
-    Returns ``(keys..., src_id, tgt_id, rank, cos, score)``; ``score`` is CSLS or cosine.
-    With ``materialize`` (default) the candidates are checkpointed to the shared
-    checkpoint folder (the ``.sim`` stage of the pipeline) and intermediates released;
-    otherwise a lazy plan is returned and intermediates stay persisted.
+    Returns ``(keys..., src_id, tgt_id, rank, cos, score)``; ``score`` is CSLS or cosine.  The candidates are
+    checkpointed to the shared checkpoint folder (the ``.sim`` stage of the pipeline).
     """
     if method not in METHODS:
         raise ValueError(f"unknown mining method {method!r}; expected one of {METHODS}")
     if k < 1 or csls_knn < 1 or block_rows < 1:
         raise ValueError("k, csls_knn and block_rows must be positive")
-    keys = list(keys)
-    p = _Prepared(src, tgt, keys, id_col, vec_col, block_rows)
-    id_s = p.s.schema["sid"].dataType.simpleString()
-    id_t = p.t.schema["tid"].dataType.simpleString()
-    single = (F.col("nb_s") == 1) & (F.col("nb_t") == 1)
-    n_multi = p.counts.where(~single).count()
-    parts = []
-    # groups that fit one block on each side: their only block pair holds the whole group
-    one = _block_pairs(p.sp.where(single), p.tp.where(single), keys)
-    parts.append(one.mapInArrow(_single_fn(keys, k, csls_knn, method, _arrow_types(p.s, keys)),
-                                _schema(p.s, keys, [f"src_id {id_s}", f"tgt_id {id_t}", "rank int", "cos double",
-                                                    "score double"])))
-    if n_multi:
-        parts.append(_mine_blocked(p, keys, k, method, csls_knn, ~single))
-    top = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    top = top.select(*keys, "src_id", "tgt_id", "rank", "cos", "score")
-    if not materialize:
-        return top
-    from lexalign.session import checkpoint_dir
-    checkpoint_dir(top.sparkSession)
-    out = top.checkpoint(eager=True)
-    p.release()
-    return out
-
-
-def _mine_blocked(p, keys, k, method, csls_knn, sel):
-    """Two passes over the block grid for groups that span several blocks."""
-    sp, tp = p.sp.where(sel), p.tp.where(sel)
-    t_extra = ()
-    r_src = None
-    if method == "csls":
-        pairs1 = _block_pairs(sp, tp, keys)
-        r = _means_from_pairs(pairs1, p.s, keys, csls_knn)
-        r_src = p.hold(r.where(F.col("side") == "s").select(*keys, F.col("id").alias("sid"), "r")
-                       .persist(StorageLevel.MEMORY_AND_DISK))
-        r_tgt = r.where(F.col("side") == "t").select(*keys, F.col("id").alias("tid"), "r")
-        # pass 2 reuses the packed target blocks; only (id, r) pairs are packed and joined on
-        # (group, block), the key the packed blocks are already partitioned by
-        r_blocks = (_with_block(r_tgt.join(p.counts, keys), "tid", "nb_t")
-                    .groupBy(*keys, "blk").agg(F.collect_list(F.struct(F.col("tid").alias("id"), "r")).alias("t_r")))
-        tp, t_extra = tp.join(r_blocks, keys + ["blk"], "left"), ("t_r",)
-    pairs = _block_pairs(sp, tp, keys, t_extra)
-    id_s = p.s.schema["sid"].dataType.simpleString()
-    id_t = p.t.schema["tid"].dataType.simpleString()
-    partial = pairs.mapInArrow(_score_fn(keys, k, _arrow_types(p.s, keys)),
-                               _schema(p.s, keys, [f"src_id {id_s}", f"tgt_id {id_t}", "cos double",
-                                                   "part double"]))
-    w = Window.partitionBy(*keys, "src_id").orderBy(F.col("part").desc(), F.col("tgt_id").asc())
-    top = partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    if method == "csls":
-        top = (top.join(r_src.withColumnRenamed("sid", "src_id"), keys + ["src_id"])
-               .withColumn("score", F.col("part") - F.col("r")).drop("r"))
+    g = _Grid(src, tgt, list(keys), id_col, vec_col, block_rows)
+    if method == "cosine":
+        top = g.best(k).withColumn("r", F.lit(0.0))
     else:
-        top = top.withColumn("score", F.col("part"))
-    return top.select(*keys, "src_id", "tgt_id", "rank", "cos", "score")
+        means = g.means(csls_knn).checkpoint()
+        top = g.best(k, means).join(means.where("side = 's'"), g.keys + ["side", "blk", "pos"])
+    rows = top.select(*g.keys, F.col("id").alias("src_id"), "r", F.posexplode("best").alias("p", "b"))
+    return rows.select(*g.keys, "src_id", F.col("b.id").alias("tgt_id"), (F.col("p") + 1).alias("rank"), F.col("b.cos").alias("cos"),
+                       (F.col("b.part") - F.col("r")).alias("score")).checkpoint()

@@ -1,5 +1,4 @@
-"""Mining and sweep against brute force (numpy all-pairs and a plain-Python replay of the
-reference's per-threshold filter + scorer)."""
+"""Mining against numpy all-pairs, and the sweep against its definition (``sweep_oracle``)."""
 
 import numpy as np
 import pytest
@@ -11,6 +10,7 @@ from lexalign.operators.sweep import sweep
 from lexalign.sources.fixtures import KEYS, bilingual_fixture
 
 from conftest import SF_SMALL
+from sweep_oracle import sweep_table
 
 
 @pytest.fixture(scope="module")
@@ -64,28 +64,30 @@ def test_zero_vectors_dropped(spark):
         mine(src, src, KEYS, method="nope")
 
 
-def _replay(cands, gold, grid, method):
-    """The reference's sweep, restated row by row (filter file, then score it)."""
-    gd = {}
-    for g in sorted(gold, key=lambda r: r.line_no):
-        gd[g.src_id] = g.tgt_id
-    scores = np.array([c.score for c in cands])
-    out = []
-    for _, raw, th in grid:
-        t = scores.mean() + raw * scores.std() if method == "dynamic" else raw
-        tp = fp = 0
-        for c in cands:
-            if c.score > t:
-                if c.src_id in gd and c.tgt_id == gd[c.src_id]:
-                    tp += 1
-                else:
-                    fp += 1
-        fn = len(gd) - tp
-        p = tp / (tp + fp) if tp + fp > 0 else 0.0
-        r = tp / (tp + fn) if tp + fn > 0 else 0.0
-        f = 2 * p * r / (p + r) if p + r > 0 else 0.0
-        out.append((th, p, r, f))
-    return out
+def test_repeats_and_ties_do_not_depend_on_blocks(spark):
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(6, 8))
+    rows = [("p", "m", "s", i // 2, base[i % 6].tolist()) for i in range(40)]  # repeated ids and repeated vectors
+    df = spark.createDataFrame(rows, "lang_pair string, model string, split string, sent_id long, vec array<double>")
+    got = [sorted((r.src_id, r.tgt_id, r.rank, round(r.score, 9)) for r in mine(df, df, KEYS, k=3, csls_knn=4, block_rows=b).collect())
+           for b in (3, 17, 2048)]
+    assert got[0] == got[1] == got[2] and len(got[0]) == 120
+
+
+def test_non_finite_vectors_fail(spark):
+    df = spark.createDataFrame([("p", "m", "s", 1, [float("nan"), 1.0])],
+                               "lang_pair string, model string, split string, sent_id long, vec array<double>")
+    with pytest.raises(Exception, match="non-finite"):
+        mine(df, df, KEYS, k=1).collect()
+
+
+def test_zero_vector_is_a_miss(spark):
+    from lexalign.operators.distill import translation_accuracy
+
+    df = spark.createDataFrame([("m", 1, [1.0, 0.0]), ("m", 2, [0.0, 1.0]), ("m", 3, [0.0, 0.0])],
+                               "model string, sent_id long, vec array<double>")
+    r = translation_accuracy(df, df, ["model"]).first()
+    assert r.src2trg == r.trg2src == r.accuracy == pytest.approx(2 / 3)
 
 
 @pytest.mark.parametrize("method", ["dynamic", "static"])
@@ -102,12 +104,13 @@ def test_sweep_matches_replay(spark, fixture, method):
     for key, rows in by_group.items():
         cg = [x for x in cands if (x.lang_pair, x.model, x.split) == key]
         gg = [x for x in golds if (x.lang_pair, x.split) == (key[0], key[2])]
-        want = _replay(cg, gg, grid, method)
+        want = sweep_table([(x.src_id, x.tgt_id, x.score) for x in cg],
+                           [(x.src_id, x.tgt_id) for x in sorted(gg, key=lambda x: x.line_no)], grid, method)
         rows.sort(key=lambda r: r.idx)
         assert len(rows) == len(want)
         for r, w in zip(rows, want):
             assert r.threshold == w[0]
-            assert (r.precision, r.recall, r.f1) == pytest.approx(w[1:], abs=1e-12)
+            assert (r.precision, r.recall, r.f1) == pytest.approx(w[2:], abs=1e-12)
 
 
 def test_predicted_non_increasing(spark, fixture):

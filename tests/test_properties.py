@@ -4,7 +4,6 @@ duplicate gold lines; predicted counts never grow with the threshold."""
 
 import math
 
-import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -12,6 +11,8 @@ from hypothesis import strategies as st
 from lexalign.functions.grid import threshold_grid
 from lexalign.operators.sweep import sweep
 
+from sweep_oracle import sweep_table
+
 GRID = threshold_grid(0.1, 1.0, 0.1)
 
 score = st.one_of(st.sampled_from([0.0, 0.5, 1.0, float("nan")]), st.floats(-2, 2, allow_nan=False))
@@ -19,32 +20,6 @@ cand = st.tuples(st.sampled_from("abcd"), st.sampled_from("wxyz"), score)
 gold_line = st.tuples(st.sampled_from("abcde"), st.sampled_from("wxyz"))
 
 
-def _replay(cands, gold, method):
-    gd = {}
-    for s, t in gold:
-        gd[s] = t
-    scores = np.array([c[2] for c in cands], dtype=float)
-    out = []
-    for _, raw, th in GRID:
-        if method == "dynamic":
-            cut = scores.mean() + raw * scores.std() if len(scores) else float("nan")
-        else:
-            cut = raw
-        tp = fp = 0
-        for s, t, sc in cands:
-            if sc > cut:
-                if s in gd and t == gd[s]:
-                    tp += 1
-                else:
-                    fp += 1
-        fn = len(gd) - tp
-        p = tp / (tp + fp) if tp + fp > 0 else 0.0
-        r = tp / (tp + fn) if tp + fn > 0 else 0.0
-        f = 2 * p * r / (p + r) if p + r > 0 else 0.0
-        out.append((th, tp + fp, p, r, f))
-    return out
-
-
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(cands=st.lists(cand, min_size=1, max_size=12), gold=st.lists(gold_line, max_size=6),
        method=st.sampled_from(["dynamic", "static"]))
@@ -55,7 +30,7 @@ def test_sweep_equals_replay(spark, cands, gold, method):
     g = spark.createDataFrame([("p", "s", i, a, b) for i, (a, b) in enumerate(gold)],
                               "lang_pair string, split string, line_no long, src_id string, tgt_id string")
     got = sorted(sweep(c, g, method=method, grid=GRID).collect(), key=lambda r: r.idx)
-    want = _replay(cands, gold, method)
+    want = sweep_table(cands, gold, GRID, method)
     assert len(got) == len(want)
     prev = math.inf
     for r, w in zip(got, want):
