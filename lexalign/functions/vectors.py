@@ -47,11 +47,6 @@ def sq_dist(a, b) -> Column:
                        lambda acc, x: acc + x)
 
 
-def add_scaled(a, b, alpha: float) -> Column:
-    """a + alpha * b, element-wise, as array<double>."""
-    return F.zip_with(as_double(a), as_double(b), lambda x, y: x + F.lit(float(alpha)) * y)
-
-
 def normalize(a) -> Column:
     """Unit vector (null for a zero vector); the norm is computed once per row."""
     return let(as_double(a), lambda v: let(F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x)),

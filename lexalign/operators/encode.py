@@ -14,9 +14,12 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections import Counter
 from collections.abc import Callable
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,22 +27,8 @@ from lexalign.functions.vectors import as_double, let, normalize, quantise
 
 DEFAULT_DIM = 64
 DEFAULT_N = 3
-DEFAULT_CHARS = None  # whole texts; a number keeps only that many leading characters
 STUDENT_MAX_TOKENS = 128
 
-# Vector dimension per encoder family (transformer / sentence-transformer
-# models 768, LASER-2 and SONAR 1024).
-MODEL_DIMS = {
-    "xlmr": 768, "glot500": 768, "mmbert": 768, "pretrained": 768, "labse": 768, "mpnet": 768,
-    "multi-qa-mpnet": 768, "laser2": 1024, "sonar": 1024,
-}
-
-
-def encoder_text(text: Column, max_chars: int | None = DEFAULT_CHARS) -> Column:
-    """Lower-cased text (optionally only its first ``max_chars`` characters)."""
-    return F.lower(text if max_chars is None else F.substring(text, 1, max_chars))
-
-
 def ngram_buckets(t: Column, dim: int = DEFAULT_DIM, n: int = DEFAULT_N) -> Column:
     """Array of bucket ids, one per character n-gram of ``t``."""
     ln = F.length(t)
@@ -65,10 +54,9 @@ def _bucket_counts(b: Column, dim: int) -> Column:
     return let(F.sort_array(b), from_sorted)  # native sort; array_sort would call a comparator lambda
 
 
-def hashed_ngram_vector(text: Column, dim: int = DEFAULT_DIM, n: int = DEFAULT_N,
-                        max_chars: int = DEFAULT_CHARS) -> Column:
+def hashed_ngram_vector(text: Column, dim: int = DEFAULT_DIM, n: int = DEFAULT_N) -> Column:
     """L2-normalised bucket counts as ``array<double>`` (null for texts shorter than ``n``)."""
-    b = let(encoder_text(text, max_chars), lambda t: ngram_buckets(t, dim, n))
+    b = let(F.lower(text), lambda t: ngram_buckets(t, dim, n))
     return normalize(_bucket_counts(b, dim))
 
 
@@ -85,7 +73,8 @@ def encode(df: DataFrame, text_col: str, encoder_factory: Callable, dim: int, ou
     """
     schema = df.schema.simpleString()[len("struct<"):-1]
     out_schema = f"{schema}, {out_col} array<float>"
-    key = f"enc_{id(encoder_factory)}_{dim}"
+    # the factory's content, not its address, names the encoder: addresses are used again
+    key = f"enc_{hashlib.sha256(cloudpickle.dumps(encoder_factory)).hexdigest()}_{dim}"
 
     def run(batches):
         import sys
@@ -122,7 +111,7 @@ def encode(df: DataFrame, text_col: str, encoder_factory: Callable, dim: int, ou
 
 def check_dims(vecs: DataFrame, dims: DataFrame, vec_col: str = "vec", model_col: str = "model") -> DataFrame:
     """Flags rows whose vector length differs from the registry dimension of their model."""
-    return vecs.join(F.broadcast(dims), model_col, "left").withColumn(
+    return vecs.join(dims, model_col, "left").withColumn(
         "dim_ok", F.coalesce(F.size(vec_col) == F.col("dim"), F.lit(False)))
 
 
@@ -186,34 +175,30 @@ def long_form(df: DataFrame, keys, vec_col: str = "vec", digits: int | None = 6,
     return out
 
 
-def hashed_ngram_batch(texts, dim: int = DEFAULT_DIM, n: int = DEFAULT_N, max_chars: int = DEFAULT_CHARS):
+def hashed_ngram_batch(texts, dim: int = DEFAULT_DIM, n: int = DEFAULT_N):
     """X4 on a batch of Python strings -> list of unit vectors (None where no n-gram exists).
 
-    Same definition as ``hashed_ngram_vector``: bucket = first two MD5 bytes mod ``dim``."""
-    import hashlib
-
+    Same definition as ``hashed_ngram_vector``: bucket = first two MD5 bytes mod ``dim``.  A gram is hashed once a
+    batch and counted once a text."""
     import numpy as np
 
+    bucket: dict[str, int] = {}
     out = []
-    md5 = hashlib.md5
     for t in texts:
-        if t is None:
-            out.append(None)
-            continue
-        t = (t if max_chars is None else t[:max_chars]).lower()
-        m = len(t) - n + 1
-        if m <= 0:
+        t = (t or "").lower()
+        if len(t) < n:
             out.append(None)
             continue
-        v = np.zeros(dim)
-        for i in range(m):
-            h = md5(t[i:i + n].encode("utf-8")).digest()
-            v[((h[0] << 8) | h[1]) % dim] += 1.0
+        counts = Counter(map("".join, zip(*(t[k:] for k in range(n)))))
+        for g in counts.keys() - bucket.keys():
+            bucket[g] = int.from_bytes(hashlib.md5(g.encode("utf-8")).digest()[:2], "big") % dim
+        v = np.bincount(np.fromiter((bucket[g] for g in counts), np.int64, len(counts)),
+                        np.fromiter(counts.values(), float, len(counts)), dim)
         out.append(v / np.sqrt(v @ v))
     return out
 
 
-def hashed_ngram_udf(dim: int = DEFAULT_DIM, n: int = DEFAULT_N, max_chars: int = DEFAULT_CHARS):
+def hashed_ngram_udf(dim: int = DEFAULT_DIM, n: int = DEFAULT_N):
     """X4 as a vectorised (Arrow-batched) pandas UDF: ``udf(col) -> array<double>``.
 
     The encoder stage is model inference in the pipeline; this batch form runs it the way a
@@ -222,6 +207,6 @@ def hashed_ngram_udf(dim: int = DEFAULT_DIM, n: int = DEFAULT_N, max_chars: int
 
     @F.pandas_udf("array<double>")
     def enc(s: pd.Series) -> pd.Series:
-        return pd.Series(hashed_ngram_batch(s.tolist(), dim, n, max_chars))
+        return pd.Series(hashed_ngram_batch(s.tolist(), dim, n))
 
     return enc

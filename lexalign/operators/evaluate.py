@@ -17,7 +17,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexalign.operators.util import broadcast_if_small
 
 FILTER_METHODS = ("dynamic", "static")
 GOLD_KEYS = ("lang_pair", "split")
@@ -46,7 +45,7 @@ def filter_static(cands: DataFrame, threshold) -> DataFrame:
 
 
 def with_stats(cands: DataFrame, keys) -> DataFrame:
-    return cands.join(broadcast_if_small(score_stats(cands, keys)), list(keys))
+    return cands.join(score_stats(cands, keys), list(keys))
 
 
 def filter_dynamic(cands: DataFrame, threshold, keys) -> DataFrame:
@@ -105,7 +104,7 @@ def evaluate(preds: DataFrame, gold: DataFrame, keys, groups: DataFrame | None =
     if groups is None:
         groups = preds.select(*keys).distinct()
     out = (groups.join(counts, keys, "left")
-           .join(broadcast_if_small(gold_sizes(gc, gold_keys)), list(gold_keys), "left")
+           .join(gold_sizes(gc, gold_keys), list(gold_keys), "left")
            .select(*keys, F.coalesce("predicted", F.lit(0)).alias("predicted"),
                    F.coalesce("tp", F.lit(0)).alias("tp"), F.coalesce("gold_n", F.lit(0)).alias("gold_n")))
     p, r = prf(F.col("tp"), F.col("predicted"), F.col("gold_n"))

@@ -1,10 +1,10 @@
 """Parallel corpus preparation.
 
-* ``clean_lines``: Python ``str.strip`` semantics (all Unicode whitespace and U+001C..U+001F).
+* Lines are stripped like Python ``str.strip`` (all Unicode whitespace and U+001C..U+001F).
 * ``with_ordinal``: global line number of every kept line in ``(doc, position)`` order,
   computed with two-level prefix sums (bucket totals, then offsets inside a bucket); no
   window ever spans the whole table.
-* ``zip_by_ordinal``: inner equi-join on the ordinal, so the result has the length of
+* ``parallel_from_documents``: inner equi-join on the ordinal, so the result has the length of
   the shorter side.  ``drop_blank='independent'`` drops blank lines on each side before
   numbering (the reference's behaviour: one stray blank shifts every later pair);
   ``'pairwise'`` numbers raw lines and drops a pair if either side is blank.
@@ -19,18 +19,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexalign.functions.text import strip_unicode
-from lexalign.operators.util import broadcast_if_small, spread
 
 DROP_MODES = ("independent", "pairwise")
 EVAL_CAP = 1000
 EVAL_SHARE = 0.1
 SEED = 42
-N_BUCKETS = 64
-
-
-def clean_lines(df: DataFrame, col: str) -> DataFrame:
-    """Strip Unicode whitespace, drop lines that end up empty."""
-    return df.withColumn(col, strip_unicode(col)).where(F.col(col) != "")
+RUN = 4096
 
 
 def _doc_lines(docs: DataFrame, text_col: str, drop_blank: bool) -> Column:
@@ -38,50 +32,32 @@ def _doc_lines(docs: DataFrame, text_col: str, drop_blank: bool) -> Column:
     return F.filter(stripped, lambda x: x != "") if drop_blank else stripped
 
 
-def _bucket_count(df: DataFrame, floor: int) -> int:
-    # bucket count follows the input size: a few buckets per input partition
-    return max(floor, 4 * df.rdd.getNumPartitions())
-
-
-def _bucket_bounds(df: DataFrame, order_col: str, n_buckets: int):
-    """Approximate quantiles of the order column (a list of ``n_buckets`` numbers on the driver)."""
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    qs = df.approxQuantile(order_col, probs, 0.5 / n_buckets)
-    return sorted(set(float(q) for q in qs if q is not None))
-
-
-def _with_bucket(df: DataFrame, order_col: str, bounds, out: str) -> DataFrame:
-    """Range bucket of ``order_col`` by binary search (JVM-side ``Bucketizer``)."""
-    if not bounds:
-        return df.withColumn(out, F.lit(0))
-    from pyspark.ml.feature import Bucketizer
-
-    tmp = "_ord_d"
-    b = Bucketizer(splits=[float("-inf")] + bounds + [float("inf")], inputCol=tmp, outputCol=out)
-    return b.transform(df.withColumn(tmp, F.col(order_col).cast("double"))).drop(tmp).withColumn(
-        out, F.col(out).cast("int"))
-
-
-def with_ordinal(units: DataFrame, part_cols, order_col: str, count_col: str, out_col: str = "offset",
-                 n_buckets: int = N_BUCKETS) -> DataFrame:
+def with_ordinal(units: DataFrame, part_cols, order_col: str, count_col: str, out_col: str = "offset") -> DataFrame:
     """W7 core: exclusive prefix sum of ``count_col`` in ``order_col`` order within ``part_cols``.
 
-    Level 1: units fall into ``n_buckets`` range buckets of ``order_col`` (approximate
-    quantiles; deterministic once computed).  Bucket totals (``part x n_buckets`` rows)
-    get their prefix sum by a window per part; each bucket's own units get theirs by a
-    window per (part, bucket).  No window holds more than one bucket.
+    ``order_col`` holds integers that were handed out in order (line numbers, document ids).  Units fall into runs of
+    ``RUN`` numbers and runs into runs of runs; each level's prefix sums come from a window over one run, so no window
+    holds more than ``RUN`` rows below the last level, and that one has a row per ``RUN * RUN`` numbers.  The plan is
+    lazy: no quantiles, no collect.
     """
     part_cols = list(part_cols)
-    bounds = _bucket_bounds(units, order_col, _bucket_count(units, n_buckets))
-    b = _with_bucket(units, order_col, bounds, "_bkt")
-    totals = b.groupBy(*part_cols, "_bkt").agg(F.sum(count_col).alias("_tot"))
-    wt = Window.partitionBy(*part_cols).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.withColumn("_boff", F.coalesce(F.sum("_tot").over(wt), F.lit(0))).drop("_tot")
-    wi = Window.partitionBy(*part_cols, "_bkt").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-    inner = b.withColumn("_ioff", F.coalesce(F.sum(count_col).over(wi), F.lit(0)))
-    return (inner.join(broadcast_if_small(totals), part_cols + ["_bkt"])
-            .withColumn(out_col, (F.col("_boff") + F.col("_ioff")).cast("long"))
-            .drop("_bkt", "_boff", "_ioff"))
+
+    def before(partition, order, value):
+        w = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(value).over(w), F.lit(0))
+
+    def run(col, size):
+        return F.floor(F.col(col).cast("long") / F.lit(size))
+
+    b = units.withColumn("_r1", run(order_col, RUN))
+    t1 = b.groupBy(*part_cols, "_r1").agg(F.sum(count_col).alias("_t1")).withColumn("_r2", run("_r1", RUN))
+    t2 = t1.groupBy(*part_cols, "_r2").agg(F.sum("_t1").alias("_t2"))
+    t2 = t2.withColumn("_o2", before(part_cols, "_r2", "_t2")).drop("_t2")
+    t1 = t1.withColumn("_o1", before([*part_cols, "_r2"], "_r1", "_t1")).drop("_t1")
+    offsets = t1.join(t2, part_cols + ["_r2"]).select(*part_cols, "_r1", (F.col("_o1") + F.col("_o2")).alias("_before"))
+    inner = b.withColumn("_own", before([*part_cols, "_r1"], order_col, count_col))
+    return (inner.join(offsets, part_cols + ["_r1"]).withColumn(out_col, (F.col("_before") + F.col("_own")).cast("long"))
+            .drop("_r1", "_before", "_own"))
 
 
 def numbered_lines(docs: DataFrame, side_col: str = "lang", doc_col: str = "doc_id", text_col: str = "text",
@@ -89,7 +65,6 @@ def numbered_lines(docs: DataFrame, side_col: str = "lang", doc_col: str = "doc_
     """``(side, ord, line)``: every line of every document, numbered across documents in
     ``(doc_id, position)`` order within each side.  Blank lines are dropped before numbering
     when ``drop_blank``; otherwise they are kept (and numbered) as empty strings."""
-    docs = spread(docs, doc_col)
     per_doc = docs.select(F.col(side_col).alias("side"), F.col(doc_col).alias("doc"),
                           _doc_lines(docs, text_col, drop_blank).alias("lines"))
     per_doc = per_doc.withColumn("n", F.size("lines").cast("long"))
@@ -99,29 +74,19 @@ def numbered_lines(docs: DataFrame, side_col: str = "lang", doc_col: str = "doc_
             .select("side", (F.col("offset") + F.col("pos")).alias("ord"), "line"))
 
 
-def zip_by_ordinal(anchor: DataFrame, other: DataFrame, drop_blank: str = "independent") -> DataFrame:
-    """``(ord, english, non_english)`` — the anchor side is the teacher's language."""
-    if drop_blank not in DROP_MODES:
-        raise ValueError(f"unknown drop_blank mode {drop_blank!r}; expected one of {DROP_MODES}")
-    z = anchor.select("ord", F.col("line").alias("english")).join(
-        other.select("ord", F.col("line").alias("non_english")), "ord")
-    if drop_blank == "pairwise":
-        z = z.where((F.col("english") != "") & (F.col("non_english") != ""))
-    return z
-
-
 def cap(df: DataFrame, n: int | None, ord_col: str = "ord") -> DataFrame:
     """L1: keep the first ``n`` pairs; ``None`` or 0 keeps all."""
     return df if not n else df.where(F.col(ord_col) < n)
 
 
-def parallel_from_documents(docs: DataFrame, anchor_lang: str, other_langs, drop_blank: str = "independent",
+def parallel_from_documents(docs: DataFrame, anchor_lang: str, other_langs=None, drop_blank: str = "independent",
                             max_sentences: int | None = None) -> DataFrame:
-    """S7 over a document table: ``(pair, ord, english, non_english)`` for every other language."""
+    """S7 over a document table: ``(pair, ord, english, non_english)`` for every other language
+    (``other_langs``: only these)."""
     if drop_blank not in DROP_MODES:
         raise ValueError(f"unknown drop_blank mode {drop_blank!r}; expected one of {DROP_MODES}")
-    langs = [anchor_lang] + list(other_langs)
-    lines = numbered_lines(docs.where(F.col("lang").isin(langs)), drop_blank=(drop_blank == "independent"))
+    wanted = F.col("lang").isNotNull() if other_langs is None else F.col("lang").isin([anchor_lang, *other_langs])
+    lines = numbered_lines(docs.where(wanted), drop_blank=(drop_blank == "independent"))
     anchor = lines.where(F.col("side") == anchor_lang)
     other = lines.where(F.col("side") != anchor_lang)
     z = (anchor.select("ord", F.col("line").alias("english"))
@@ -147,8 +112,7 @@ def train_eval_split(parallel: DataFrame, seed: int = SEED, cap_n: int = EVAL_CA
     sizes = sizes.withColumn("_eval", F.least(F.lit(cap_n), F.floor(F.col("_n") * F.lit(share))).cast("long"))
     ev = (top.join(sizes, part_col).where(F.col("_rn") <= F.col("_eval"))
           .select(part_col, "ord", F.lit("eval").alias("part")))
-    # the eval set holds at most cap_n rows per pair: a proven bound for the broadcast
-    return (keyed.drop("_h").join(broadcast_if_small(ev), [part_col, "ord"], "left")
+    return (keyed.drop("_h").join(ev, [part_col, "ord"], "left")
             .withColumn("part", F.coalesce(F.col("part"), F.lit("train"))))
 
 

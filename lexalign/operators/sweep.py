@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexalign.functions.grid import grid_literal, threshold_grid
-from lexalign.operators.evaluate import (GOLD_KEYS, apply_filter, broadcast_if_small, check_method, f1_of,
+from lexalign.operators.evaluate import (GOLD_KEYS, apply_filter, check_method, f1_of,
                                          gold_last_wins, gold_sizes, mark_hits, passes, prf, score_stats)
 
 KEYS = ("lang_pair", "model", "split")
@@ -40,7 +40,7 @@ def sweep(cands: DataFrame, gold: DataFrame, method: str = "dynamic", grid=None,
     grid = grid or threshold_grid()
     g = grid_literal(grid)
     if method == "dynamic":
-        rows = cands.join(broadcast_if_small(score_stats(cands, keys)), keys)
+        rows = cands.join(score_stats(cands, keys), keys)
         passed = F.size(F.filter(g, lambda e: passes(F.col("score"), F.col("mu") + e["raw"] * F.col("sd"))))
     else:
         rows = cands
@@ -61,7 +61,7 @@ def sweep(cands: DataFrame, gold: DataFrame, method: str = "dynamic", grid=None,
            .withColumn("predicted", F.sum(F.coalesce("c", F.lit(0))).over(w))
            .withColumn("tp", F.sum(F.coalesce("h", F.lit(0))).over(w))
            .drop("c", "h")
-           .join(broadcast_if_small(gold_sizes(gc, gold_keys)), list(gold_keys), "left")
+           .join(gold_sizes(gc, gold_keys), list(gold_keys), "left")
            .withColumn("gold_n", F.coalesce("gold_n", F.lit(0))))
     p, r = prf(F.col("tp"), F.col("predicted"), F.col("gold_n"))
     out = out.withColumn("precision", p).withColumn("recall", r)
@@ -80,7 +80,7 @@ def best_threshold(sweep_df: DataFrame, keys=KEYS) -> DataFrame:
 def best_predictions(cands: DataFrame, sweep_df: DataFrame, method: str = "dynamic", keys=KEYS) -> DataFrame:
     """Every group's candidates cut at that group's best (reported) threshold."""
     keys = list(keys)
-    best = broadcast_if_small(best_threshold(sweep_df, keys).select(*keys, F.col("threshold").alias("best_th")))
+    best = best_threshold(sweep_df, keys).select(*keys, F.col("threshold").alias("best_th"))
     kept = apply_filter(cands.join(best, keys), F.col("best_th"), method, keys)
     return kept.select(*keys, "src_id", "tgt_id")
 
@@ -92,7 +92,7 @@ def transfer_predictions(cands: DataFrame, sweep_df: DataFrame, method: str = "d
     keys = pair_keys + ["split"]
     tb = best_threshold(sweep_df.where(F.col("split") == train), keys).select(
         *pair_keys, F.col("threshold").alias("train_th"))
-    test_c = cands.where(F.col("split") == test).join(broadcast_if_small(tb), pair_keys)
+    test_c = cands.where(F.col("split") == test).join(tb, pair_keys)
     kept = apply_filter(test_c, F.col("train_th"), method, keys)
     return kept.select(*keys, "src_id", "tgt_id")
 

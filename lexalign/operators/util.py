@@ -5,30 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A per-group side table (one row per lang_pair x model x split, say) is broadcast only
-# when its row count is proven below this bound; otherwise the join stays a shuffle
-# join and AQE may still pick a broadcast from runtime sizes.
-MAX_BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Cache a small side table and mark it for broadcast if its size is checked below ``max_rows``."""
-    df = df.cache()
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread rows over all cores before heavy per-row work when the input arrived in fewer
-    partitions than the session runs tasks (e.g. one large Parquet row group).  On a cluster
-    with many input splits this is a no-op; otherwise a hash repartition on ``keys``
-    (deterministic on retry)."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)
-
-
 def for_heavy_rows(df: DataFrame, *keys: str) -> DataFrame:
     """Hash-repartition (explicit count, which AQE does not coalesce) ahead of expensive
     per-row work such as an encoder: after a shuffle of a small table AQE may merge

@@ -1,6 +1,6 @@
 """Distillation data-prep queries over the ``documents`` table.
 
-The anchor (teacher) side is German, the other sides French and Spanish: each language's
+The anchor (teacher) side is German, the other sides are all other languages: each language's
 documents, read in ``doc_id`` order and split into lines, stand for one line-aligned file.
 """
 
@@ -10,12 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexalign.operators.parallel import corpus_report, numbered_lines, parallel_from_documents, train_eval_split
-from lexalign.plans.memo import memo
 from lexalign.sources.fixtures import table
 
 # Fixed values of the derived parallel corpus.
 ANCHOR = "de"
-OTHERS = ["fr", "es"]
 CAP = 250
 
 
@@ -24,22 +22,21 @@ def _docs(spark, sf_dir):
 
 
 def parallel_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every kept line of the three languages with its ordinal."""
-    d = _docs(spark, sf_dir).where(F.col("lang").isin([ANCHOR] + OTHERS))
+    """Every kept line of every language with its ordinal."""
+    d = _docs(spark, sf_dir).where(F.col("lang").isNotNull())
     return numbered_lines(d).select(F.col("side").alias("lang"), "ord", "line")
 
 
 def parallel_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return memo(spark, ("parallel_zip", sf_dir),
-                lambda: parallel_from_documents(_docs(spark, sf_dir), ANCHOR, OTHERS))
+    return parallel_from_documents(_docs(spark, sf_dir), ANCHOR)
 
 
 def parallel_pairwise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parallel_from_documents(_docs(spark, sf_dir), ANCHOR, OTHERS, drop_blank="pairwise")
+    return parallel_from_documents(_docs(spark, sf_dir), ANCHOR, drop_blank="pairwise")
 
 
 def parallel_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parallel_from_documents(_docs(spark, sf_dir), ANCHOR, OTHERS, max_sentences=CAP)
+    return parallel_from_documents(_docs(spark, sf_dir), ANCHOR, max_sentences=CAP)
 
 
 def train_eval(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ def _r(c: str, digits: int = R6):
 
 
 class _Mined:
-    """Caches the mined candidates of one (spark, sf_dir, method) within a process."""
+    """The candidate tables of this session in the shared checkpoint folder (the ``.sim`` stage), by input and method."""
 
     _cache: dict = {}
 
@@ -39,7 +39,7 @@ class _Mined:
         if key not in cls._cache:
             src, tgt, gold = bilingual_fixture(spark, sf_dir)
             cands = mine(src, tgt, KEYS, k=k, method=method)
-            cls._cache[key] = (cands, gold.cache())
+            cls._cache[key] = (cands, gold)
         return cls._cache[key]
 
 
@@ -87,16 +87,11 @@ def evaluate_prf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate(preds, gold, KEYS, groups=c.select(*KEYS).distinct())
 
 
-_SWEEPS: dict = {}
-
-
 def _sweep(spark, sf_dir, method="dynamic"):
-    """The sweep table (50 rows per group) is reused by several reports; keep it cached."""
+    """Sweep of the groups that have candidates and gold; groups without gold are skipped."""
     c, gold = _cands(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, sf_dir, method)
-    if key not in _SWEEPS:
-        _SWEEPS[key] = sweep(c, gold, method=method, groups=c.select(*KEYS).distinct()).cache()
-    return _SWEEPS[key], c
+    groups = c.select(*KEYS).distinct().join(gold.select("lang_pair", "split").distinct(), ["lang_pair", "split"])
+    return sweep(c, gold, method=method, groups=groups.select(*KEYS)), c
 
 
 def threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexalign.functions.vectors import add_scaled, as_double
+from lexalign.functions.vectors import as_double
 
 # Fixed values of the derived bilingual fixture.
 PAIRS = ["chv-ru", "dsb-de", "hsb-de", "oci-es"]
@@ -93,7 +93,7 @@ def bilingual_fixture(spark: SparkSession, sf_dir: str, models=None):
     return src, tgt, gold
 
 
-__all__ = ["bilingual_fixture", "table", "PAIRS", "MODELS", "SHIFT", "KEYS", "add_scaled"]
+__all__ = ["bilingual_fixture", "table", "PAIRS", "MODELS", "SHIFT", "KEYS"]
 
 
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:

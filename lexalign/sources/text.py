@@ -19,7 +19,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexalign.operators.util import broadcast_if_small
 
 ON_BAD = ("fail", "quarantine")
 
@@ -42,7 +41,7 @@ def read_lines(spark: SparkSession, path, per_directory: bool = False) -> DataFr
     blocks = raw.groupBy("file", "_path", "blk").agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy("file").orderBy("_path", "blk").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    return (raw.join(broadcast_if_small(blocks), ["file", "_path", "blk"])
+    return (raw.join(blocks, ["file", "_path", "blk"])
             .select("file", (F.col("_off") + F.col("_mid") - F.col("_first")).alias("line_no"), "value"))
 
 
@@ -50,6 +49,12 @@ def _name_parts(file_col: Column) -> Column:
     return F.split(F.element_at(F.split(file_col, "/"), -1), r"\.")
 
 
+def _key(name: str, place: int) -> Column:
+    """A group key: from a ``name=value`` directory of our own exports, else from that part of the file name."""
+    own = F.regexp_extract(F.col("file"), f"/{name}=([^/]+)(?:/|$)", 1)
+    return F.when(own != "", own).otherwise(F.try_element_at(F.col("_n"), F.lit(place))).alias(name)
+
+
 def _fail_or_flag(df: DataFrame, ok: Column, on_bad: str, what: str) -> DataFrame:
     if on_bad not in ON_BAD:
         raise ValueError(f"unknown on_bad {on_bad!r}; expected one of {ON_BAD}")
@@ -68,9 +73,9 @@ def read_sentences(spark: SparkSession, path, on_bad: str = "fail") -> DataFrame
     parts = F.split("value", "\t")
     df = lines.withColumn("_p", parts).withColumn("_n", _name_parts(F.col("file")))
     df = _fail_or_flag(df, F.size("_p") == 2, on_bad, "sentence")
-    cols = [F.element_at("_n", 1).alias("lang_pair"), F.element_at("_n", 2).alias("split"),
-            F.element_at("_n", 3).alias("lang"), "line_no",
-            F.element_at("_p", 1).alias("sent_id"), F.element_at("_p", 2).alias("text")]
+    cols = [_key("lang_pair", 1), _key("split", 2),
+            _key("lang", 3), "line_no",
+            F.try_element_at("_p", F.lit(1)).alias("sent_id"), F.try_element_at("_p", F.lit(2)).alias("text")]
     if on_bad == "quarantine":
         cols.append("bad")
     return df.select(*cols)
@@ -80,8 +85,8 @@ def _two_fields(spark, path, what, a, b, on_bad):
     lines = read_lines(spark, path)
     df = lines.withColumn("_p", F.split("value", "\t")).withColumn("_n", _name_parts(F.col("file")))
     df = _fail_or_flag(df, F.size("_p") == 2, on_bad, what)
-    cols = [F.element_at("_n", 1).alias("lang_pair"), F.element_at("_n", 2).alias("split"), "file", "line_no",
-            F.element_at("_p", 1).alias(a), F.element_at("_p", 2).alias(b)]
+    cols = [_key("lang_pair", 1), _key("split", 2), "file", "line_no",
+            F.try_element_at("_p", F.lit(1)).alias(a), F.try_element_at("_p", F.lit(2)).alias(b)]
     if on_bad == "quarantine":
         cols.append("bad")
     return df.select(*cols)
@@ -111,24 +116,26 @@ def read_candidates(spark: SparkSession, path, on_bad: str = "fail") -> DataFram
     lines = read_lines(spark, path)
     p = F.split("value", "\t")
     df = (lines.withColumn("_p", p).withColumn("_n", _name_parts(F.col("file")))
-          .withColumn("score", parse_float(F.element_at("_p", 3))))
+          .withColumn("score", parse_float(F.try_element_at("_p", F.lit(3)))))
     ok = (F.size("_p") >= 3) & F.col("score").isNotNull()
     df = _fail_or_flag(df, ok, on_bad, "candidate")
-    cols = [F.element_at("_n", 1).alias("lang_pair"), F.element_at("_n", 2).alias("split"),
-            F.element_at("_n", 3).alias("model"), "file", "line_no",
-            F.element_at("_p", 1).alias("src_id"), F.element_at("_p", 2).alias("tgt_id"), "score"]
+    cols = [_key("lang_pair", 1), _key("split", 2),
+            _key("model", 3), "file", "line_no",
+            F.try_element_at("_p", F.lit(1)).alias("src_id"), F.try_element_at("_p", F.lit(2)).alias("tgt_id"), "score"]
     if on_bad == "quarantine":
         cols.append("bad")
     return df.select(*cols)
 
 
 def read_vec(spark: SparkSession, path, per_directory: bool = False) -> DataFrame:
-    """``(file, line_no, sent_id, vec array<float>)``; the header line and blank lines are
+    """``(lang_pair, split, lang, model, file, line_no, sent_id, vec array<float>)``; the header line and blank lines are
     skipped.  ``per_directory`` reads a ``write_vec`` export (ordered part files) as one file."""
     lines = read_lines(spark, path, per_directory)
     body = lines.where((F.col("line_no") > 0) & (F.trim("value") != ""))
     p = F.split(F.trim("value"), " ")
-    return body.select("file", "line_no", F.element_at(p, 1).alias("sent_id"),
+    body = body.withColumn("_n", _name_parts(F.col("file")))
+    return body.select(_key("lang_pair", 1), _key("split", 2), _key("lang", 3), _key("model", 4), "file", "line_no",
+                       F.element_at(p, 1).alias("sent_id"),
                        F.slice(p, 2, F.size(p) - 1).cast("array<float>").alias("vec"))
 
 

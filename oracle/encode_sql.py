@@ -59,10 +59,10 @@ train AS (SELECT z.pair, z.ord, z.english, z.non_english FROM zipped z JOIN spli
           WHERE s.part = 'train'),
 rows_u AS (
   SELECT pair || ':' || ord::VARCHAR || ':e' AS rid, pair || ':' || ord::VARCHAR AS lid,
-         array_to_string(string_split_regex(english, '[\\t\\n\\f\\r ]+')[1:128], ' ') AS text FROM train
+         english AS text FROM train
   UNION ALL
   SELECT pair || ':' || ord::VARCHAR || ':o' AS rid, pair || ':' || ord::VARCHAR AS lid,
-         array_to_string(string_split_regex(non_english, '[\\t\\n\\f\\r ]+')[1:128], ' ') AS text FROM train),
+         non_english AS text FROM train),
 labsrc AS (SELECT pair || ':' || ord::VARCHAR AS lid, english FROM train),
 """ + hashed("rows_u", "rid", "text", "xs").strip() + ",\n" + hashed("labsrc", "lid", "english", "ys").strip() + """,
 xr AS (SELECT x.rid, u.lid, x.dim_idx, x.value FROM xs x JOIN rows_u u USING (rid)),
@@ -82,14 +82,16 @@ nt AS (SELECT label, count(*) AS n_tokens FROM t GROUP BY ALL)
 SELECT label, n_tokens, dim_idx, round(avg(v), 6) AS value FROM x JOIN nt USING (label) GROUP BY ALL""",
     "drop_empty": _with(TOKEN_BOUNDS) + """
 SELECT label, greatest(n - 2, 0) AS n_tokens, greatest(n - 2, 0) > 0 AS kept FROM b""",
-    "quantise": _with(FIXTURE) + """
-SELECT model, sent_id, dim_idx, round(v, 6) AS value FROM (
-  SELECT model, sent_id, unnest(vec) AS v, generate_subscripts(vec, 1) - 1 AS dim_idx FROM tgt)""",
+    "quantise": _with(FIXTURE, FIX_SIDES) + """
+SELECT model, side, sent_id, dim_idx, round(v, 6) AS value FROM (
+  SELECT model, side, sent_id, unnest(vec) AS v, generate_subscripts(vec, 1) - 1 AS dim_idx FROM sides)""",
+    "truncate_tokens": """
+SELECT doc_id, array_to_string(string_split_regex(trim(text, ' '), '[\\t\\n\\x0b\\f\\r ]+')[1:128], ' ') AS text FROM documents""",
     "vec_header": _with(FIXTURE, FIX_SIDES) + """
 SELECT lang_pair, model, split, side, count(*) AS n, max(len(vec)) AS dim FROM sides GROUP BY ALL""",
     "check_dims": _with(FIXTURE, FIX_SIDES) + """
-SELECT model, side, sum(CASE WHEN len(vec) = 64 THEN 1 ELSE 0 END)::BIGINT AS n_ok,
-       sum(CASE WHEN len(vec) = 64 THEN 0 ELSE 1 END)::BIGINT AS n_bad
+SELECT model, side, sum(CASE WHEN len(vec) = CASE model WHEN 'm05' THEN 64 WHEN 'm10' THEN 768 END THEN 1 ELSE 0 END)::BIGINT AS n_ok,
+       sum(CASE WHEN len(vec) = CASE model WHEN 'm05' THEN 64 WHEN 'm10' THEN 768 END THEN 0 ELSE 1 END)::BIGINT AS n_bad
 FROM sides GROUP BY ALL""",
     "mse_eval": _with(TEACHER_STUDENT) + """
 SELECT model, round(mse, 9) AS mse, round(-mse, 9) AS negative_mse FROM mse""",

@@ -5,7 +5,7 @@ brute-force form of the distributed ordinals)."""
 WS = r"[\t\n\x0b\x0c\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 RAW = f"""
-docs AS (SELECT doc_id, lang, string_split(text, chr(10)) AS ls FROM documents WHERE lang IN ('de', 'fr', 'es')),
+docs AS (SELECT doc_id, lang, string_split(text, chr(10)) AS ls FROM documents WHERE lang IS NOT NULL),
 raw AS (
   SELECT lang, doc_id, pos, regexp_replace(line, '^{WS}+|{WS}+$', '', 'g') AS line FROM (
     SELECT lang, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM docs))
@@ -17,7 +17,7 @@ kept AS (
   FROM raw WHERE line <> ''),
 zipped AS (
   SELECT o.lang || '-de' AS pair, a.ord, a.line AS english, o.line AS non_english
-  FROM kept a JOIN kept o ON a.ord = o.ord WHERE a.lang = 'de' AND o.lang IN ('fr', 'es'))
+  FROM kept a JOIN kept o ON a.ord = o.ord WHERE a.lang = 'de' AND o.lang <> 'de')
 """
 
 PAIRWISE = """
@@ -26,7 +26,7 @@ numbered AS (
 z0 AS (
   SELECT o.lang || '-de' AS pair, a.raw_ord, a.line AS english, o.line AS non_english
   FROM numbered a JOIN numbered o ON a.raw_ord = o.raw_ord
-  WHERE a.lang = 'de' AND o.lang IN ('fr', 'es') AND a.line <> '' AND o.line <> ''),
+  WHERE a.lang = 'de' AND o.lang <> 'de' AND a.line <> '' AND o.line <> ''),
 zipped AS (
   SELECT pair, row_number() OVER (PARTITION BY pair ORDER BY raw_ord) - 1 AS ord, english, non_english FROM z0)
 """
