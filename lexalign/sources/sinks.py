@@ -43,10 +43,14 @@ def write_vec(vecs: DataFrame, path: str, set_cols, order_col: str, id_col: str
      .drop("_o").write.mode(mode).partitionBy(*set_cols).text(path))
 
 
+def prediction_lines(preds: DataFrame, keys=("lang_pair", "model", "split")) -> DataFrame:
+    """``(keys, value)``: ``src<TAB>tgt`` lines."""
+    return preds.select(*keys, F.concat_ws("\t", F.col("src_id").cast("string"), F.col("tgt_id").cast("string")).alias("value"))
+
+
 def write_predictions(preds: DataFrame, path: str, keys=("lang_pair", "model", "split"), mode: str = "overwrite"):
     keys = list(keys)
-    (preds.select(*keys, F.concat_ws("\t", F.col("src_id").cast("string"), F.col("tgt_id").cast("string"))
-                  .alias("value"))
+    (prediction_lines(preds, keys)
      .write.mode(mode).partitionBy(*keys).text(path))
 
 

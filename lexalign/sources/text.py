@@ -69,7 +69,11 @@ def _fail_or_flag(df: DataFrame, ok: Column, on_bad: str, what: str) -> DataFram
 def read_sentences(spark: SparkSession, path, on_bad: str = "fail") -> DataFrame:
     """``(lang_pair, split, lang, line_no, sent_id, text)``.  A line without exactly two
     tab-separated fields fails the read (or, with ``on_bad='quarantine'``, is flagged ``bad``)."""
-    lines = read_lines(spark, path)
+    return parse_sentences(read_lines(spark, path), on_bad)
+
+
+def parse_sentences(lines: DataFrame, on_bad: str = "fail") -> DataFrame:
+    """S1 over ``(file, line_no, value)`` lines; a missing field is null."""
     parts = F.split("value", "\t")
     df = lines.withColumn("_p", parts).withColumn("_n", _name_parts(F.col("file")))
     df = _fail_or_flag(df, F.size("_p") == 2, on_bad, "sentence")
@@ -81,8 +85,8 @@ def read_sentences(spark: SparkSession, path, on_bad: str = "fail") -> DataFrame
     return df.select(*cols)
 
 
-def _two_fields(spark, path, what, a, b, on_bad):
-    lines = read_lines(spark, path)
+def parse_pairs(lines: DataFrame, what: str = "gold", a: str = "src_id", b: str = "tgt_id", on_bad: str = "fail") -> DataFrame:
+    """S3, S5 over ``(file, line_no, value)`` lines of two fields."""
     df = lines.withColumn("_p", F.split("value", "\t")).withColumn("_n", _name_parts(F.col("file")))
     df = _fail_or_flag(df, F.size("_p") == 2, on_bad, what)
     cols = [_key("lang_pair", 1), _key("split", 2), "file", "line_no",
@@ -95,25 +99,29 @@ def _two_fields(spark, path, what, a, b, on_bad):
 def read_gold(spark: SparkSession, path, on_bad: str = "fail") -> DataFrame:
     """S3: ``(lang_pair, split, file, line_no, src_id, tgt_id)``; resolve duplicates with
     ``gold_last_wins``."""
-    return _two_fields(spark, path, "gold", "src_id", "tgt_id", on_bad)
+    return parse_pairs(read_lines(spark, path), "gold", on_bad=on_bad)
 
 
 def read_predictions(spark: SparkSession, path, on_bad: str = "fail") -> DataFrame:
     """``(lang_pair, split, file, line_no, src_id, tgt_id)``, duplicates kept."""
-    return _two_fields(spark, path, "prediction", "src_id", "tgt_id", on_bad)
+    return parse_pairs(read_lines(spark, path), "prediction", on_bad=on_bad)
 
 
 def parse_float(s: Column) -> Column:
     """Python ``float`` parsing: null when the text is not a float literal."""
     clean = F.regexp_replace(F.trim(s), "_", "")
-    return F.when(s.rlike(FLOAT_PATTERN), clean.cast("double"))
+    return F.when(s.rlike(FLOAT_PATTERN), clean.try_cast("double"))
 
 
 def read_candidates(spark: SparkSession, path, on_bad: str = "fail") -> DataFrame:
     """``(lang_pair, split, model, file, line_no, src_id, tgt_id, score)``: columns 0-2 of
     each line, extra columns ignored; a score Python's ``float`` would reject fails the read.
-    ``model`` comes from a ``{pair}.{split}.{model}.sim`` file name."""
-    lines = read_lines(spark, path)
+    Group keys come from ``name=value`` directories, else from a ``{pair}.{split}.{model}.sim`` file name."""
+    return parse_candidates(read_lines(spark, path), on_bad)
+
+
+def parse_candidates(lines: DataFrame, on_bad: str = "fail") -> DataFrame:
+    """S4 over ``(file, line_no, value)`` lines."""
     p = F.split("value", "\t")
     df = (lines.withColumn("_p", p).withColumn("_n", _name_parts(F.col("file")))
           .withColumn("score", parse_float(F.try_element_at("_p", F.lit(3)))))
@@ -130,7 +138,11 @@ def read_candidates(spark: SparkSession, path, on_bad: str = "fail") -> DataFram
 def read_vec(spark: SparkSession, path, per_directory: bool = False) -> DataFrame:
     """``(lang_pair, split, lang, model, file, line_no, sent_id, vec array<float>)``; the header line and blank lines are
     skipped.  ``per_directory`` reads a ``write_vec`` export (ordered part files) as one file."""
-    lines = read_lines(spark, path, per_directory)
+    return parse_vec(read_lines(spark, path, per_directory))
+
+
+def parse_vec(lines: DataFrame) -> DataFrame:
+    """S6 over ``(file, line_no, value)`` lines."""
     body = lines.where((F.col("line_no") > 0) & (F.trim("value") != ""))
     p = F.split(F.trim("value"), " ")
     body = body.withColumn("_n", _name_parts(F.col("file")))

@@ -95,3 +95,16 @@ def test_incremental_pending_units(spark, tmpdir_path):
     spark.range(1).write.parquet(done)
     work = spark.createDataFrame([("u1", done), ("u2", f"{tmpdir_path}/u2")], "unit string, output_path string")
     assert [r.unit for r in pending_units(spark, work, ["unit"]).collect()] == ["u2"]
+
+
+def _constant(value):
+    def factory():
+        def encode_batch(texts, lang):
+            return np.full((len(texts), 2), float(value))
+        return encode_batch
+    return factory
+
+
+def test_each_factory_is_its_own_encoder(spark):
+    df = spark.createDataFrame([(1, "a")], "id long, text string")
+    assert [encode(df, "text", _constant(k), dim=2).first().vec[0] for k in range(6)] == [0, 1, 2, 3, 4, 5]

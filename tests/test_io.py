@@ -123,6 +123,28 @@ def test_predictions_and_candidates_writers(spark, tmpdir_path):
     assert spark.read.parquet(f"{tmpdir_path}/candp").count() == 1
 
 
+def test_quarantine_flags_short_lines(spark, tmpdir_path):
+    p = f"{tmpdir_path}/q/hsb-de.test.gold"
+    _write(p, "a\nb\ty\n")
+    assert [(r.src_id, r.tgt_id, r.bad) for r in text.read_gold(spark, p, "quarantine").orderBy("line_no").collect()] == [
+        ("a", None, True), ("b", "y", False)]
+    p = f"{tmpdir_path}/q/hsb-de.test.m1.sim"
+    _write(p, "a\tx\nb\ty\t0.5d\nc\tz\t2\n")
+    got = text.read_candidates(spark, p, "quarantine").orderBy("line_no").collect()
+    assert [(r.src_id, r.score, r.bad) for r in got] == [("a", None, True), ("b", None, True), ("c", 2.0, False)]
+
+
+def test_exports_read_back_with_their_keys(spark, tmpdir_path):
+    c = spark.createDataFrame([("hsb-de", "m1", "test", "a", "x", 0.5), ("oci-es", "m2", "train", "b", "y", 1.0)],
+                              "lang_pair string, model string, split string, src_id string, tgt_id string, score double")
+    sinks.write_candidates(c, f"{tmpdir_path}/cand", fmt="tsv")
+    back = text.read_candidates(spark, f"{tmpdir_path}/cand/*/*/*")
+    assert sorted(tuple(r) for r in back.select(*c.columns).collect()) == sorted(tuple(r) for r in c.collect())
+    sinks.write_predictions(c, f"{tmpdir_path}/pred")
+    back = text.read_predictions(spark, f"{tmpdir_path}/pred/*/*/*").select("lang_pair", "split", "src_id", "tgt_id")
+    assert sorted(map(tuple, back.collect())) == [("hsb-de", "test", "a", "x"), ("oci-es", "train", "b", "y")]
+
+
 def test_corpus_catalog_from_tree(spark, tmpdir_path):
     from lexalign.operators.catalog import corpus_catalog
 

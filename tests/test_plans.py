@@ -1,9 +1,6 @@
-"""Plan shape: the sweep stays in the JVM, top-k windows get a map-side group limit, scans prune."""
-
-from pyspark.sql import functions as F
+"""Plan shape of the package's own queries: JVM-side sweep, group limits, windows over runs, pruned scans, lazy building."""
 
 from lexalign.operators.sweep import sweep
-from lexalign.sources.fixtures import KEYS, table
 
 from conftest import SF_SMALL
 
@@ -21,17 +18,37 @@ def test_sweep_has_no_python(spark):
     assert "Python" not in plan and "ArrowEval" not in plan
 
 
-def test_topk_window_uses_group_limit(spark):
-    from pyspark.sql import Window
+def test_split_keeps_a_group_limit_and_no_python(spark):
+    from lexalign.plans.parallel_queries import train_eval
+
+    plan = _plan(train_eval(spark, SF_SMALL))
+    assert "WindowGroupLimit" in plan and "Python" not in plan
+
+
+def test_ordinals_window_over_runs(spark):
+    from lexalign.operators.parallel import with_ordinal
+
+    df = spark.range(0, 20000).selectExpr("id", "1 as one", "id % 2 as side")
+    out = with_ordinal(df, ["side"], "id", "one")
+    assert "_r1" in _plan(out)
+    got = {r.id: r.offset for r in out.where("id in (0, 1, 8191, 8192, 19999)").collect()}
+    assert got == {0: 0, 1: 0, 8191: 4095, 8192: 4096, 19999: 9999}
+
+
+def test_lines_prune_columns(spark):
+    from lexalign.plans.parallel_queries import parallel_lines
+
+    plan = _plan(parallel_lines(spark, SF_SMALL))
+    assert "IsNotNull(lang)" in plan and "source:string" not in plan and "n_chars" not in plan
 
-    df = table(spark, SF_SMALL, "embeddings")
-    w = Window.partitionBy("label").orderBy(F.col("vec_id").desc())
-    plan = _plan(df.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= 10))
-    assert "WindowGroupLimit" in plan
 
+def test_building_queries_starts_no_job(spark):
+    import __spark_entry__ as E
 
-def test_scan_prunes_columns(spark):
-    df = table(spark, SF_SMALL, "documents").select("doc_id", "lang").where(F.col("lang") == "de")
-    plan = _plan(df)
-    assert "PushedFilters: [IsNotNull(lang), EqualTo(lang,de)]" in plan
-    assert "ReadSchema: struct<doc_id:bigint,lang:string>" in plan
+    tracker = spark.sparkContext.statusTracker()
+    for name in ("parallel_zip", "parallel_pairwise", "train_eval_split", "corpus_report", "teacher_labels", "quantise", "mean_pool",
+                 "hashed_ngram_encode", "work_list", "gold_last_wins", "parse_sentences"):
+        spark.sparkContext.setJobGroup(f"build-{name}", "plan building")
+        E.queries()[name](spark, SF_SMALL)
+        assert not [j for j in tracker.getJobIdsForGroup(f"build-{name}")], name
+    spark.sparkContext.setJobGroup("", "")
