@@ -66,13 +66,14 @@ def truncate_tokens(text: Column, n: int = STUDENT_MAX_TOKENS) -> Column:
 
 
 def encode(df: DataFrame, text_col: str, encoder_factory: Callable, dim: int, out_col: str = "vec",
-           lang_col: str | None = None, batch_size: int = 256) -> DataFrame:
+           lang_col: str | None = None, batch_size: int = 256, element: str = "float") -> DataFrame:
     """Apply a batch encoder.  ``encoder_factory()`` returns ``f(texts, lang) -> 2-D array``.
 
-    Rows keep their other columns.  The factory runs once per Python worker process.
+    Rows keep their other columns; ``element`` is the type of the vector's elements.  The factory runs once per Python worker process.
     """
     schema = df.schema.simpleString()[len("struct<"):-1]
-    out_schema = f"{schema}, {out_col} array<float>"
+    out_schema = f"{schema}, {out_col} array<{element}>"
+    kind = {"float": "float32", "double": "float64"}[element]
     # the factory's content, not its address, names the encoder: addresses are used again
     key = f"enc_{hashlib.sha256(cloudpickle.dumps(encoder_factory)).hexdigest()}_{dim}"
 
@@ -92,13 +93,13 @@ def encode(df: DataFrame, text_col: str, encoder_factory: Callable, dim: int, ou
             if lang_col is None:
                 groups = [(None, pdf.index)]
             else:
-                groups = list(pdf.groupby(lang_col, sort=False).groups.items())
+                groups = list(pdf.groupby(lang_col, sort=False, dropna=False).groups.items())
             out = [None] * len(pdf)
             pos = {ix: k for k, ix in enumerate(pdf.index)}
             for lang, ix in groups:
                 texts = pdf.loc[ix, text_col].tolist()
                 for s in range(0, len(texts), batch_size):
-                    m = np.asarray(enc(texts[s:s + batch_size], lang), dtype=np.float32)
+                    m = np.asarray(enc(texts[s:s + batch_size], lang), dtype=kind)
                     if m.ndim != 2 or m.shape[1] != dim:
                         raise ValueError(f"encoder returned shape {m.shape}, expected (*, {dim})")
                     for r, ixv in enumerate(ix[s:s + batch_size]):

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lexalign.functions.vectors import as_double
 from lexalign.operators.distill import (combined_score, gram_statistics, label_with_teacher, mse_eval,
                                         training_rows, translation_accuracy)
-from lexalign.operators.encode import (check_dims, empty_sentences, hashed_ngram_udf, long_form, mean_pool,
+from lexalign.operators.encode import (check_dims, empty_sentences, encode, hashed_ngram_udf, long_form, mean_pool,
                                        quantise_vectors, truncate_tokens, vec_header)
 from lexalign.operators.catalog import model_registry
 from lexalign.operators.parallel import train_eval_split
@@ -35,6 +35,32 @@ def hashed_ngram_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return long_form(docs, ["doc_id"], nonzero=True)
 
 
+def _ngram_factory():
+    """The stand-in encoder as a factory; a language code, if given, conditions the text."""
+    import numpy as np
+
+    from lexalign.operators.encode import hashed_ngram_batch
+
+    def encode_batch(texts, lang):
+        if lang is not None:
+            texts = [f"{lang}:{t}" for t in texts]
+        return np.array([np.zeros(FIXTURE_DIM) if v is None else v for v in hashed_ngram_batch(texts)])
+    return encode_batch
+
+
+def encode_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document through the batch encoder."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return long_form(encode(docs, "text", _ngram_factory, FIXTURE_DIM, element="double"), ["doc_id"], nonzero=True)
+
+
+def encode_lang_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a language code per row."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    vecs = encode(docs, "text", _ngram_factory, FIXTURE_DIM, lang_col="lang", element="double")
+    return long_form(vecs, ["doc_id", "lang"], nonzero=True)
+
+
 def teacher_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     lab = label_with_teacher(parallel_zip(spark, sf_dir), _encoder(), keys=["pair", "ord"])
     return long_form(lab.select("pair", "ord", "label"), ["pair", "ord"], vec_col="label", nonzero=True)

@@ -72,6 +72,10 @@ usable AS (SELECT DISTINCT x.rid FROM xr x JOIN ys y ON y.lid = x.lid)
 ORACLE = {
     "hashed_ngram_encode": _with(hashed("documents", "doc_id", "text", "h")) + """
 SELECT doc_id, dim_idx, round(value, 6) AS value FROM h""",
+    "encode": _with(hashed("documents", "doc_id", "text", "h")) + """
+SELECT doc_id, dim_idx, round(value, 6) AS value FROM h""",
+    "encode_lang": _with(hashed("(SELECT doc_id, lang || ':' || text AS text FROM documents)", "doc_id", "text", "h")) + """
+SELECT h.doc_id, d.lang, dim_idx, round(value, 6) AS value FROM h JOIN documents d USING (doc_id)""",
     "teacher_labels": _with(RAW, INDEP, hashed("(SELECT pair || '|' || ord::VARCHAR AS k, pair, ord, english FROM zipped)",
                                                 "k", "english", "h")) + """
 SELECT split_part(k, '|', 1) AS pair, split_part(k, '|', 2)::BIGINT AS ord, dim_idx, round(value, 6) AS value FROM h""",
