@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from . import words as W
 from .components import Union, components
-from .tables import Scratch, documents, map_texts, null_last, partitions, salted_join
+from .tables import Scratch, documents, map_texts, maybe_in, null_last, partitions, salted_join
 
 TREES = 24
 VALUES = 2 * TREES
@@ -225,7 +225,7 @@ def links(docs: DataFrame, reps: DataFrame, pairs: DataFrame, scratch: Scratch,
             own = [part.column(c).take(pa.array(ok)) for c in ("fam", "g", "k", "node")]
             yield pa.RecordBatch.from_arrays([*own, pa.array(raw, pa.binary())], ["fam", "g", "k", "node", "bytes"])
 
-    texts = documents(docs).withColumn("id", null_last("doc_id")).join(
+    texts = maybe_in(documents(docs).withColumn("id", null_last("doc_id")), member, "id").join(
         member.select("id", "fam", "g", "k", "node"), "id").select("fam", "g", "k", "node", "text")
     own = map_texts(texts, sets, "fam long, g int, k int, node long, bytes binary").distinct()
     own = own.select("fam", "k", "node", "bytes", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("other"))

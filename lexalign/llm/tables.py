@@ -68,6 +68,22 @@ def salted_join(rows: DataFrame, groups: DataFrame, on: list[str], by: str, salt
     return r.join(g, [*on, "__salt"], how).drop("__salt")
 
 
+def maybe_in(rows: DataFrame, keys: DataFrame, col: str, bits: int = 25) -> DataFrame:
+    """Rows whose ``col`` may be among ``keys`` (a column of that name): a bitmap of hashes, ahead of a join on ``col``.
+
+    Long texts that the join would drop anyway do not move.  The bitmap has ``2 ** bits`` bits whatever the number of
+    keys (4 MB, at most 1024 rows), so it can be broadcast; if it fills up, rows pass that the join then drops.
+    """
+    place = F.pmod(F.xxhash64(col), F.lit(1 << bits))
+    marks = keys.select(place.alias("__p")).groupBy(F.bitmap_bucket_number("__p").alias("__bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("__p")).alias("__bits"))
+    r = rows.withColumn("__p", place).withColumn("__bucket", F.bitmap_bucket_number("__p"))
+    at = F.bitmap_bit_position("__p")
+    byte = F.conv(F.hex(F.substring("__bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    bit = F.get(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.floor(byte / F.pow(F.lit(2), i)) % 2), at % 8)
+    return r.join(F.broadcast(marks), "__bucket").where(bit == 1).drop("__p", "__bucket", "__bits")
+
+
 def map_texts(df: DataFrame, work, schema: str) -> DataFrame:
     """Run ``work(batch) -> iterator of batches`` on the Arrow batches of ``df``."""
 
