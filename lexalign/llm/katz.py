@@ -35,7 +35,9 @@ HOT_PAIRS = 4096
 #: counts up to this are discounted
 K = 5
 #: tokens that a task deals out at a time
-FLUSH = 2_000_000
+FLUSH = 800_000
+#: tokens that are scored at a time
+STEP = 200_000
 END = W.U64(0xE4D0F7E47E7EE4D1)
 #: number of the start-of-text history; 0 is none, words follow from 2
 START = 1
@@ -77,16 +79,30 @@ class _Index:
         return out
 
 
-def _counts(keys: list[np.ndarray], names: tuple[str, str]) -> pa.RecordBatch:
-    k, c = np.unique(np.concatenate(keys) if keys else np.empty(0, W.U64), return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(c.astype(np.int64))], list(names))
+def _counts(keys: Iterator[np.ndarray], names: tuple[str, str]) -> Iterator[pa.RecordBatch]:
+    """Counts of the keys, at most ``FLUSH`` at a time."""
+    held: list[np.ndarray] = []
+    size = 0
+
+    def flush() -> pa.RecordBatch:
+        k, c = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(c.astype(np.int64))], list(names))
+
+    for k in keys:
+        held.append(k)
+        size += len(k)
+        if size >= FLUSH:
+            yield flush()
+            held, size = [], 0
+    if held:
+        yield flush()
 
 
 def unigrams(train: DataFrame) -> DataFrame:
     """``tok, c`` of training texts."""
 
     def work(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        yield _counts([_tokens(s)[0] for s in W.slices(b.column("text"))], ("tok", "c"))
+        yield from _counts((_tokens(s)[0] for s in W.slices(b.column("text"))), ("tok", "c"))
 
     return map_texts(train, work, "tok long, c long").groupBy("tok").agg(F.sum("c").alias("c"))
 
@@ -150,12 +166,13 @@ def hot_pairs(train: DataFrame, model: Model) -> DataFrame:
     """``pair, c`` of the pairs whose word and history are both in the history table."""
 
     def work(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        keys = []
-        for s in W.slices(b.column("text")):
-            h, bounds = _tokens(s)
-            pair = _pair(model.index.find(h), _history(h, bounds, model.index))
-            keys.append(pair[pair >= 0])
-        yield _counts(keys, ("pair", "c"))
+        def pairs() -> Iterator[np.ndarray]:
+            for s in W.slices(b.column("text")):
+                h, bounds = _tokens(s)
+                pair = _pair(model.index.find(h), _history(h, bounds, model.index))
+                yield pair[pair >= 0]
+
+        yield from _counts(pairs(), ("pair", "c"))
 
     return map_texts(train, work, "pair long, c long").groupBy("pair").agg(F.sum("c").alias("c"))
 
@@ -250,9 +267,9 @@ def _deal(batches: Iterator[pa.RecordBatch], model: Model, parts: int) -> Iterat
         keys, outs = b.column("key").to_numpy(), b.column("held").to_numpy(zero_copy_only=False)
         for s in W.slices(b.column("text")):
             h, bounds = _tokens(s)
-            doc = np.repeat(np.arange(len(s)), np.diff(bounds)) + docs
+            doc = np.repeat(np.arange(docs, docs + len(s), dtype=np.int32), np.diff(bounds))
             held.append((keys[s.first : s.first + len(s)], outs[s.first : s.first + len(s)], doc, h,
-                         _history(h, bounds, model.index)))
+                         _history(h, bounds, model.index).astype(np.int32)))
             size, docs = size + len(h), docs + len(s)
             if size >= FLUSH or docs >= 50_000:
                 yield from flush()
@@ -261,7 +278,7 @@ def _deal(batches: Iterator[pa.RecordBatch], model: Model, parts: int) -> Iterat
         yield from flush()
 
 
-def _read(blob: bytes) -> tuple[np.ndarray, ...]:
+def _read(blob: pa.Buffer) -> tuple[np.ndarray, ...]:
     n, m, t = np.frombuffer(blob, np.int64, 3).tolist()
     out, at = [], 24
     for kind, k in ((np.int64, n), (np.uint8, n), (W.U64, m), (np.uint32, m), (np.uint16, t), (np.uint16, t)):
@@ -270,25 +287,29 @@ def _read(blob: bytes) -> tuple[np.ndarray, ...]:
     return tuple(out)
 
 
-def _score_part(part: int, blobs: list[bytes], model: Model) -> Iterator[pa.RecordBatch]:
+def _score_part(part: int, blobs: list[pa.Buffer], model: Model) -> Iterator[pa.RecordBatch]:
     """Counts and scores all tokens of one partition."""
     got = [_read(x) for x in blobs]
     first = np.cumsum([0] + [len(g[0]) for g in got])
     key, out = np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got]) > 0
     word, many = np.concatenate([g[2] for g in got]), np.concatenate([g[3] for g in got])
-    history = np.concatenate([g[4] for g in got]).astype(np.int64)
-    doc = np.concatenate([g[5] + first[i] for i, g in enumerate(got)])
+    history = np.concatenate([g[4] for g in got])
+    doc = np.concatenate([g[5] + np.int32(first[i]) for i, g in enumerate(got)])
     del got
     train = ~out[doc]
     kinds, kind = np.unique(word, return_inverse=True)
-    kind = np.repeat(kind, many)
+    kind = np.repeat(kind.astype(np.int32), many)
     c = np.bincount(kind[train], minlength=len(kinds))
     listed = model.index.find(kinds)
     c[listed >= 0] = model.count[listed[listed >= 0] + 2]  # these words are dealt over several partitions
-    pairs, pair = np.unique(kind * 65536 + history, return_inverse=True)
+    pairs, pair = np.unique(kind.astype(np.int64) * 65536 + history, return_inverse=True)
+    pair = pair.astype(np.int32)
     n = np.bincount(pair[train], minlength=len(pairs))
     sums = _Sums(len(key))
-    back = sums.add(doc, c[kind], n[pair], history, model)
+    back = np.zeros(len(doc), bool)
+    for a in range(0, len(doc), STEP):
+        at = slice(a, a + STEP)
+        back[at] = sums.add(doc[at], c[kind[at]], n[pair[at]], history[at], model)
     yield _doc_rows(key, part, np.zeros(len(key), np.int64), sums, doc[back], history[back], np.arange(len(key)))
     seen = (n > 0) & (pairs % 65536 > 0)
     h, n, p = pairs[seen] % 65536, n[seen], 10 ** model.log_p(c[pairs[seen] // 65536])
@@ -303,7 +324,8 @@ def _score_part(part: int, blobs: list[bytes], model: Model) -> Iterator[pa.Reco
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     now, blobs = None, []
     for b in batches:
-        for part, place, blob in zip(*(b.column(c).to_pylist() for c in ("part", "place", "blob")), strict=True):
+        cells = (x.as_buffer() for x in b.column("blob"))  # views of the batch, not copies
+        for part, place, blob in zip(b.column("part").to_pylist(), b.column("place").to_pylist(), cells, strict=True):
             if place:
                 yield from pa.ipc.open_stream(blob)
                 continue
