@@ -1,8 +1,8 @@
 """SpotSigs document fingerprints.
 
 A spot signature is a chain of content words after a common word (the anchor): in "the quick brown fox" the anchor
-"the" gives "the:quick:brown".  A text's fingerprint is the set of its signatures, written as sorted 8-digit hashes.
-Documents are compared by the Jaccard similarity of these sets.  The join partitions the sets by length, so that only
+"the" gives "the:quick:brown".  A text's fingerprint is the set of its signatures, written as sorted 24-bit hashes in
+base64, four characters each.  Documents are compared by the Jaccard similarity of these sets.  The join partitions the sets by length, so that only
 lengths whose ratio allows the threshold meet, indexes the rarest signatures of each set, and prunes before it counts.
 
 Texts whose words hold no anchor followed by a whole chain use their words as signatures, so short texts can be
@@ -15,6 +15,7 @@ unlike every other (0); equal texts have equal fingerprints; rows of one ``doc_i
 
 from __future__ import annotations
 
+import base64
 import hashlib
 from collections.abc import Iterator
 
@@ -74,9 +75,14 @@ def text_signatures(texts: list[bytes]) -> list[np.ndarray]:
     return out
 
 
+def short(sig: np.ndarray) -> np.ndarray:
+    """The 24 leading bits of the signatures, distinct and sorted: what a written fingerprint holds."""
+    return np.unique(sig >> np.uint32(8))
+
+
 def fingerprint(sig: np.ndarray) -> str:
-    """Eight hex digits for each signature, in order."""
-    return sig.astype(">u4").tobytes().hex()
+    """Three bytes for each short signature, in order, as base64."""
+    return base64.b64encode(sig.astype(">u4").view(np.uint8).reshape(-1, 4)[:, 1:].tobytes()).decode()
 
 
 def likeness(a: np.ndarray, b: np.ndarray, least: float = 0.0) -> float:
@@ -146,8 +152,8 @@ def _emit(pairs: list[tuple]) -> Iterator[pa.RecordBatch]:
     texts = [x[3] or "" for x, _ in pairs]
     others = [y[3] or "" for _, y in pairs]
     edited = [_edited(t, o).encode() for t, o in zip(texts, others, strict=True)]
-    own = text_signatures([t.encode() for t in texts])
-    changed, after = text_signatures(edited), text_signatures([o.encode() for o in others])
+    own, changed, after = ([short(s) for s in text_signatures(x)] for x in (
+        [t.encode() for t in texts], edited, [o.encode() for o in others]))
     yield pa.RecordBatch.from_arrays(
         [pa.array([x[2] for x, _ in pairs], pa.int64()), pa.array([len(t) for t in texts], pa.int64()),
          pa.array([hashlib.sha256(e).hexdigest() for e in edited]), pa.array([fingerprint(s) for s in own]),
