@@ -27,13 +27,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .tables import Scratch, documents, map_texts, partitions, salted_join
+from .tables import Scratch, documents, map_texts, maybe_in, partitions, salted_join
 
 SIZE = 400
 HEAD = 50
 BATCHES = 4
 #: rows of a head that one task compares; the windows of larger heads are counted by a shuffle
-TOGETHER = 2000
+TOGETHER = 4000
 #: window starts of a block, for larger heads
 BLOCK = 24
 _SUFFIX = "head long, ctx long, tk long, n int, pos int"
@@ -76,7 +76,7 @@ def suffixes(docs: DataFrame, size: int = SIZE) -> DataFrame:
 
     def work(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         tk, n = b.column("tk").to_numpy(), b.column("n").to_numpy()
-        for s in W.slices(b.column("text")):
+        for s in W.slices(b.column("text"), W.SLICE // 2):
             if len(s.data) < size:
                 continue
             prefix = W.prefix_hash(s.data)
@@ -104,7 +104,8 @@ class IndexFamily:
 
     def _sorted(self, rows: DataFrame, name: str) -> DataFrame:
         n = max(1, partitions(self.scratch.spark))
-        return self.scratch.save(rows.repartition(n, "head").sortWithinPartitions("head", "ctx"), name)
+        order = ["head", "ctx", "tk", "pos"]  # ranges, so that a frequent head is cut over several files
+        return self.scratch.save(rows.repartitionByRange(n, *order).sortWithinPartitions(*order), name)
 
     def insert(self, batch: DataFrame) -> None:
         """Builds the batch's array, scans it against itself and every level, then merges equal levels.
@@ -142,9 +143,15 @@ class IndexFamily:
         return salted_join(every, heads.distinct(), ["head"], "pos", how="inner")
 
 
+def _few(b: pa.RecordBatch, rows: int = 200) -> Iterator[pa.RecordBatch]:
+    """Small pieces of a batch, so that what a piece becomes as Python objects stays small."""
+    for k in range(0, b.num_rows, rows):
+        yield b.slice(k, rows)
+
+
 def _contexts(b: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
     """Cuts the context of every wanted suffix out of its text."""
-    out: dict[str, list] = {c: [] for c in ("head", "c", "many", "tk", "n", "start", "left", "bytes")}
+    out: dict[str, list] = {c: [] for c in ("head", "c", "deals", "tk", "n", "start", "left", "bytes")}
     cols = [b.column(c).to_pylist() for c in ("tk", "n", "want", "text")]
     for tk, n, want, text in zip(*cols, strict=True):
         raw = (text or "").encode()
@@ -152,19 +159,19 @@ def _contexts(b: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
             a = max(0, x["pos"] - (size - HEAD))
             out["head"].append(x["head"])
             out["c"].append(x["c"])
-            out["many"].append(x["many"])
+            out["deals"].append(x["deals"])
             out["tk"].append(tk)
             out["n"].append(n)
             out["start"].append(a)
             out["left"].append(x["pos"] - a)
             out["bytes"].append(raw[a : x["pos"] + size])
     yield pa.RecordBatch.from_arrays(
-        [pa.array(out["head"], pa.int64()), pa.array(out["c"], pa.int64()), pa.array(out["many"], pa.bool_()),
+        [pa.array(out["head"], pa.int64()), pa.array(out["c"], pa.int64()), pa.array(out["deals"], pa.int32()),
          pa.array(out["tk"], pa.int64()), pa.array(out["n"], pa.int32()), pa.array(out["start"], pa.int32()),
          pa.array(out["left"], pa.int32()), pa.array(out["bytes"], pa.binary())], list(out))
 
 
-_CONTEXT = "head long, c long, many boolean, tk long, n int, start int, left int, bytes binary"
+_CONTEXT = "head long, c long, deals int, tk long, n int, start int, left int, bytes binary"
 _SPAN = "tk long, n int, start int, end int"
 
 
@@ -245,59 +252,129 @@ def _compare(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
         yield from flush(pa.Table.from_batches(held))
 
 
-def _blocks(b: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
-    """For each context and block of window starts: keys of the bytes all windows share and of all their bytes."""
-    w = _Windows(b, size)
+def _block_keys(w: _Windows, size: int) -> tuple[np.ndarray, ...]:
+    """Blocks of ``BLOCK`` window starts: row, first and last start, key of the bytes that all windows of the block
+    share (its core) and of all their bytes (its hull).
+
+    Blocks are counted from the head and the core is that of the block before the ends of the text clip it, so equal
+    places give equal cores."""
     n = w.left // BLOCK + 1
     row = np.repeat(np.arange(len(w.count)), n)
     j = np.arange(len(row)) - (np.cumsum(n) - n)[row]
-    # blocks are counted from the head, so that equal places are in equal blocks
     least, most = w.left[row] - (j + 1) * BLOCK + 1, w.left[row] - j * BLOCK
     lo, hi = np.maximum(least, 0), np.minimum(most, w.count[row] - 1)
     ok = lo <= hi
     row, lo, hi, least, most = row[ok], lo[ok], hi[ok], least[ok], most[ok]
-    # the core is that of the block before it is clipped by the ends of a text: equal places give equal cores
-    core, hull = w.keys(row, most, least + size), w.keys(row, lo, hi + size)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(b.column("id").to_numpy()[row]), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)),
-         pa.array(W.signed(core)), pa.array(W.signed(hull))], ["id", "lo", "hi", "core", "hull"])
+    return row, lo, hi, w.keys(row, most, least + size), w.keys(row, lo, hi + size)
 
 
-def _shared(keys: DataFrame, key: str) -> DataFrame:
-    return keys.groupBy(key).agg(F.count(F.lit(1)).alias("k")).where("k > 1").select(key, F.lit(True).alias(f"{key}_met"))
+def _key_rows(head: np.ndarray, key: np.ndarray, weight: np.ndarray) -> pa.RecordBatch:
+    """One row for each key of the batch, with its weights summed: frequent keys shrink before they move."""
+    k, first, back = np.unique(key, return_index=True, return_inverse=True)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(head[first]), pa.array(W.signed(k)), pa.array(np.bincount(back, weight, len(k)).astype(np.int64))],
+        ["head", "key", "k"])
+
+
+def _again(keys: DataFrame) -> DataFrame:
+    return keys.groupBy("head", "key").agg(F.sum("k").alias("k")).where("k > 1").select("head", "key")
+
+
+def _beside(rows: DataFrame, keys: DataFrame, work, schema: str) -> DataFrame:
+    """Runs ``work(batch, sorted keys of its head)`` on the rows of each (head, deal), the head's keys before them.
+
+    A head's rows are dealt over ``deals`` tasks and its keys, packed into arrays, go to each of them: no row is
+    joined, and the keys of a head (windows that occur again, not rows) are what a task holds."""
+    packed = keys.groupBy("head", F.pmod(F.xxhash64("key"), F.lit(64)).alias("g")).agg(F.collect_list("key").alias("keys"))
+    deals = rows.groupBy("head").agg(F.max("deals").alias("deals"))
+    packed = packed.join(deals, "head").select(
+        "head", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)).alias("deal"), F.lit(0).alias("kind"), "keys",
+        *[F.lit(None).cast(t).alias(c) for c, t in (("c", "long"), ("tk", "long"), ("n", "int"), ("start", "int"),
+                                                    ("left", "int"), ("bytes", "binary"))])
+    mine = rows.select("head", F.pmod(F.xxhash64("tk", "start"), F.col("deals")).cast("int").alias("deal"), F.lit(1).alias("kind"),
+                       F.lit(None).cast("array<long>").alias("keys"), "c", "tk", "n", "start", "left", "bytes")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, parts, table = None, [], None
+        for b in batches:
+            group = list(zip(b.column("head").to_pylist(), b.column("deal").to_pylist(), b.column("kind").to_pylist(), strict=True))
+            i = 0
+            while i < len(group):
+                j = i
+                while j < len(group) and group[j] == group[i] and j - i < 1000:
+                    j += 1
+                part = b.slice(i, j - i)
+                if group[i][:2] != now:
+                    now, parts, table = group[i][:2], [], None
+                if group[i][2] == 0:
+                    parts.append(part.column("keys").flatten().to_numpy())
+                else:
+                    if table is None:
+                        table = np.sort(np.concatenate(parts) if parts else np.empty(0, np.int64))
+                    yield from work(part, table)
+                i = j
+
+    n = max(1, partitions(rows.sparkSession))
+    both = packed.unionByName(mine).repartition(n, "head", "deal").sortWithinPartitions("head", "deal", "kind")
+    return both.mapInArrow(run, schema)
+
+
+def _in(key: np.ndarray, table: np.ndarray) -> np.ndarray:
+    if not len(table):
+        return np.zeros(len(key), bool)
+    key = W.signed(key)
+    return table[np.minimum(np.searchsorted(table, key), len(table) - 1)] == key
 
 
 def _compare_large(rows: DataFrame, scratch: Scratch, size: int) -> DataFrame:
-    """The same for heads of many suffixes, by counts of keys: blocks whose common bytes occur once are out, blocks
-    whose bytes all occur again are in, and only the windows of the others (at the edges) are counted one by one."""
-    rows = scratch.save(rows.withColumn("id", F.xxhash64("tk", "n", "start", "left", "head")), "large")
-    blocks = scratch.save(map_texts(rows, lambda b: _blocks(b, size), "id long, lo int, hi int, core long, hull long"),
-                          "blocks")
-    state = salted_join(blocks, _shared(blocks, "core"), ["core"], "id", how="inner")
-    state = salted_join(state, _shared(blocks, "hull"), ["hull"], "id")
-    per_row = state.groupBy("id").agg(F.collect_list(F.struct("lo", "hi", F.col("hull_met").isNotNull().alias("all"))).alias("bl"))
-
-    def windows(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The same for heads of many suffixes, by counts of keys.
+
+    First come the blocks: one whose core occurs once is out, one whose hull occurs again is in.  Then come windows:
+    those of the blocks in between, and one row's windows of each hull that is in, since they can be partners."""
+    rows = scratch.save(rows, "large")
+
+    def blocks(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         w = _Windows(b, size)
-        row, a, sure = [], [], []
-        for i, bl in enumerate(b.column("bl").to_pylist()):
-            for x in bl:
-                for s in range(x["lo"], x["hi"] + 1):
-                    row.append(i)
-                    a.append(s)
-                    sure.append(x["all"])
-        row, a = np.array(row, np.int64), np.array(a, np.int64)
-        key = W.signed(w.keys(row, a, a + size)) if len(row) else np.empty(0, np.int64)
-        start = b.column("start").to_numpy()[row] + a
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(key), pa.array(np.array(sure, bool)), pa.array(b.column("tk").to_numpy()[row]),
-             pa.array(b.column("n").to_numpy()[row]), pa.array(start.astype(np.int32))], ["key", "sure", "tk", "n", "start"])
-
-    todo = scratch.save(map_texts(rows.join(per_row, "id"), windows, "key long, sure boolean, tk long, n int, start int"),
-                        "windows")
-    again = salted_join(todo.where("not sure"), _shared(todo, "key"), ["key"], "start", how="inner")
-    return todo.where("sure").select("tk", "n", "start").unionByName(again.select("tk", "n", "start")).select(
-        "tk", "n", "start", (F.col("start") + size).cast("int").alias("end"))
+        row, _, _, core, hull = _block_keys(w, size)
+        head = np.concatenate([w.head[row], w.head[row]])
+        yield _key_rows(head, np.concatenate([core, hull]), np.ones(len(head)))
+
+    def parts(w: _Windows, table: np.ndarray) -> tuple[np.ndarray, ...]:
+        row, lo, hi, core, hull = _block_keys(w, size)
+        met = _in(core, table)
+        row, lo, hi, hull = row[met], lo[met], hi[met], hull[met]
+        return row, lo, hi, hull, _in(hull, table)
+
+    def starts(row: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = hi - lo + 1
+        return np.repeat(row, n), np.repeat(lo, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+
+    def windows(b: pa.RecordBatch, table: np.ndarray) -> Iterator[pa.RecordBatch]:
+        w = _Windows(b, size)
+        row, lo, hi, hull, sure = parts(w, table)
+        one = np.zeros(len(row), bool)
+        at = np.flatnonzero(sure)
+        one[at[np.unique(hull[at], return_index=True)[1]]] = True  # equal hulls hold equal windows
+        r1, a1 = starts(row[~sure], lo[~sure], hi[~sure])
+        r2, a2 = starts(row[one], lo[one], hi[one])
+        r, a = np.concatenate([r1, r2]), np.concatenate([a1, a2])
+        yield _key_rows(w.head[r], w.keys(r, a, a + size), np.repeat([1.0, 2.0], [len(r1), len(r2)]))
+
+    def spans(b: pa.RecordBatch, table: np.ndarray) -> Iterator[pa.RecordBatch]:
+        w = _Windows(b, size)
+        row, lo, hi, _, sure = parts(w, table)
+        r, a = starts(row[~sure], lo[~sure], hi[~sure])
+        hit = _in(w.keys(r, a, a + size), table)
+        row = np.concatenate([row[sure], r[hit]])
+        lo, hi = np.concatenate([lo[sure], a[hit]]), np.concatenate([hi[sure], a[hit]]) + size
+        own = (b.column("c").to_numpy() == 1)[row]  # others are repeated as a whole already
+        order = np.lexsort((lo[own], row[own]))
+        yield _span_batch(b, *_runs(lo[own][order], hi[own][order], row[own][order]))
+
+    keys = "head long, key long, k long"
+    some = scratch.save(_again(map_texts(rows, blocks, keys)), "blocks")
+    every = scratch.save(some.unionByName(_again(_beside(rows, some, windows, keys))).distinct(), "windows")
+    return _beside(rows, every, spans, _SPAN)
 
 
 def repeated_spans(docs: DataFrame, scratch: Scratch, size: int = SIZE, batches: int = BATCHES,
@@ -310,25 +387,28 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, size: int = SIZE, batches:
         family.insert(scratch.load("suffixes").where(F.col("batch") == k).drop("batch"))
     scratch.drop("suffixes")
     met = scratch.save(family.met(), "met")
+    scratch.drop(*family.levels.values(), *family.hits)
     classes = met.groupBy("head", "ctx").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("tk", "n", "pos")).alias("r"))
     whole = salted_join(met, classes.where("c > 1").select("head", "ctx"), ["head", "ctx"], "tk", how="inner").select(
         "tk", "n", F.greatest(F.col("pos") - (size - HEAD), F.lit(0)).alias("start"),
         F.least(F.col("pos") + size, F.col("n")).alias("end"))
     per_head = classes.groupBy("head").agg(F.count(F.lit(1)).alias("m"), F.min("c").alias("least")).where("m > 1 and least = 1")
-    per_head = per_head.select("head", (F.col("m") > together).alias("many"))
+    per_head = per_head.select("head", F.ceil(F.col("m") / together).cast("int").alias("deals"))
     want = salted_join(classes, per_head, ["head"], "ctx", how="inner").groupBy("r.tk", "r.n").agg(
-        F.collect_list(F.struct("head", "c", "many", "r.pos")).alias("want"))
+        F.collect_list(F.struct("head", "c", "deals", "r.pos")).alias("want"))
+    want = scratch.save(want, "want")
     texts = documents(docs).select("doc_id", "text", *_text_key())
+    texts = maybe_in(texts, want, "tk")
     one = texts.groupBy("tk", "n").agg(F.min("doc_id").alias("doc_id"))  # one row of each text
     cut = map_texts(texts.join(want.join(one, ["tk", "n"]).withColumnRenamed("doc_id", "__one"), ["tk", "n"])
                     .where(F.col("doc_id").eqNullSafe(F.col("__one"))).select("tk", "n", "want", "text"),
-                    lambda b: _contexts(b, size), _CONTEXT)
+                    lambda b: (x for p in _few(b) for x in _contexts(p, size)), _CONTEXT)
     cut = scratch.save(cut, "contexts").distinct()
-    few = cut.where("not many").repartition(max(1, partitions(docs.sparkSession)), "head").sortWithinPartitions("head")
+    few = cut.where("deals = 1").repartition(max(1, partitions(docs.sparkSession)), "head").sortWithinPartitions("head")
     near = few.mapInArrow(lambda bs: _compare(bs, size), _SPAN)
     spans = whole.unionByName(near)
-    if cut.where("many").limit(1).count():
-        spans = spans.unionByName(_compare_large(cut.where("many"), scratch, size))
+    if cut.where("deals > 1").limit(1).count():
+        spans = spans.unionByName(_compare_large(cut.where("deals > 1"), scratch, size))
     return spans.groupBy("tk", "n").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 
@@ -362,8 +442,11 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, batches: int = BATCHES, to
     rows = documents(docs).select("doc_id", *_text_key(), F.sha2(text, 256).alias("own"))
     copies = rows.groupBy("tk", "n").agg(F.count(F.lit(1)).alias("c")).where(f"c > 1 and n >= {size}")
     copies = scratch.save(copies.select("tk", "n", F.lit(True).alias("copied")), "copies")
-    spans = repeated_spans(docs, scratch, size, batches, together).join(copies, ["tk", "n"], "left_anti")
-    done = map_texts(documents(docs).select("text", *_text_key()).join(spans, ["tk", "n"]), _apply,
+    spans = scratch.save(repeated_spans(docs, scratch, size, batches, together).join(copies, ["tk", "n"], "left_anti"), "spans")
+    scratch.drop("met", "want", "contexts")
+    texts = maybe_in(documents(docs).select("text", *_text_key()), spans, "tk")
+    done = map_texts(texts.join(spans, ["tk", "n"]),
+                     lambda b: (x for p in _few(b) for x in _apply(p)),
                      "tk long, n int, n_removed long, n_spans long, kept_sha256 string, spans array<int>")
     done = done.withColumnRenamed("spans", "cut")
     rows = salted_join(rows, copies, ["tk", "n"], "doc_id").join(done, ["tk", "n"], "left")
