@@ -384,7 +384,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, size: int = SIZE, batches:
     scratch.save(every, "suffixes", by=["batch"])
     family = IndexFamily(scratch)
     for k in range(batches):
-        family.insert(scratch.load("suffixes").where(F.col("batch") == k).drop("batch"))
+        family.insert(scratch.load("suffixes", every.schema).where(F.col("batch") == k).drop("batch"))
     scratch.drop("suffixes")
     met = scratch.save(family.met(), "met")
     scratch.drop(*family.levels.values(), *family.hits)
