@@ -43,24 +43,3 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         e = scratch.save(nxt.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
                          .where("a <> b").distinct(), f"{name}_e{k}")
     return labels if labels is not None else e.select(F.col("a").alias("node"), F.col("b").alias("comp"))
-
-
-class Union:
-    """Union-find over the nodes of one task."""
-
-    def __init__(self):
-        self.up: dict[int, int] = {}
-
-    def find(self, x: int) -> int:
-        up = self.up
-        while (y := up.get(x, x)) != x:
-            up[x] = up.get(y, y)
-            x = y
-        return x
-
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.find(a), self.find(b)
-        if a == b:
-            return False
-        self.up[max(a, b)] = min(a, b)
-        return True

@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from lexalign.llm import near_dedup as ND
@@ -67,6 +68,37 @@ def test_near_duplicates(spark):
     assert ND.near_duplicates(frame(spark, []), W.NOT_SPACE, 4, 80).count() == 0
 
 
+@pytest.mark.parametrize("span, block", [(ND.SPAN, ND.BLOCK), (500, 300_000)])
+def test_near_duplicates_of_a_large_family(spark, monkeypatch, span, block):
+    monkeypatch.setattr(ND, "SPAN", span)
+    monkeypatch.setattr(ND, "BLOCK", block)
+    r = random.Random(41)
+    base, new, texts, kept = [f"b{k}" for k in range(603)], iter(range(10**9)), [], []
+    for k in range(2500):
+        w = list(base)
+        for p in r.sample(range(603), r.randint(12, 18) if k else 0):
+            w[p] = f"e{next(new)}"
+        texts.append((k, " ".join(w)))
+        kept.append([w[p:p + 4] == base[p:p + 4] for p in range(600)])  # new words never meet again
+    both = np.array(kept, np.float32) @ np.array(kept, np.float32).T
+    links = np.argwhere(np.triu(100 * both >= 80 * (1200 - both), 1))
+    up = list(range(len(texts)))
+
+    def find(x):
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    for a, b in links.tolist():
+        a, b = find(a), find(b)
+        up[max(a, b)] = min(a, b)
+    want = {k: find(k) for k in range(len(texts))}
+    assert 1 < len(set(want.values())) < len(texts)
+    got = {x.doc_id: x.component_id for x in ND.near_duplicates(frame(spark, texts), W.NOT_SPACE, 4, 80).collect()}
+    assert got == want
+
+
 def test_components(spark):
     r = random.Random(5)
     edges = [(r.randrange(10**9), 0) for _ in range(30)] + [(k * 7919 % 1009, (k + 1) * 7919 % 1009) for k in range(40)] + [(5, 5)]
