@@ -2,15 +2,18 @@
 
 Order 2: P(w | h) is the discounted relative frequency of (h, w) when training text has it, else alpha(h) P(w), and
 P(w) is the discounted relative frequency of w, or an equal share of the rest for a word that training text lacks
-(Chao's estimate says how many such words there are).  Histories are the words with at least ``1 / HISTORIES`` of
-all training tokens, and the start of a text; after any other word the model uses P(w).  So there are at most
-``HISTORIES`` histories, however large the corpus, and their table (word, count, alpha) may go to every task.
+(Chao's estimate says how many such words there are).  After a word that training text lacks the model uses P(w).
+With ``every``, all words of the training text and the start of a text are histories; their counts and alphas are a
+table partitioned by history.  Without it only listed words are: those with at least ``1 / HISTORIES`` of all training
+tokens (and two of them), at most ``HISTORIES`` whatever the corpus, so their table may go to every task.
 
 Tokens are dealt by word, compactly: a partition holds all tokens of its words, counts them, and scores them where
-they are counted.  Words of the history table are dealt by (word, history); pairs with at least ``1 / HOT_PAIRS`` of
+they are counted.  Listed words are dealt by (word, history); pairs with at least ``1 / HOT_PAIRS`` of
 all tokens are counted beforehand and scored in place, so no partition gets a fixed share of all tokens.
 Good-Turing discounts and alphas need counts of all partitions, so a partition returns, for each document, how many of
-its tokens have which small count, and for each history the sums that its alpha needs.
+its tokens have which small count and which histories back off, and for each history the sums that its alpha needs.
+What a score takes from its history's count is added where that word's own count is known: with the word before.
+Histories that back off are joined with the table of alphas (listed ones in the task).
 
 Defined cases: a null or empty text is the end token alone; rows that are equal are scored once and counted each;
 a null ``doc_id`` is not held out; an empty table gives an empty result; without training text every word has the
@@ -39,8 +42,10 @@ FLUSH = 800_000
 #: tokens that are scored at a time
 STEP = 200_000
 END = W.U64(0xE4D0F7E47E7EE4D1)
-#: number of the start-of-text history; 0 is none, words follow from 2
+#: number of the start-of-text history; 0 is none (or not listed), words follow from 2
 START = 1
+#: hash of the start-of-text history
+BEGIN = W.U64(0x51A27B0C9D3E6F15)
 
 
 def held_out(doc_id: Column, parts: int, part: int) -> Column:
@@ -108,7 +113,7 @@ def unigrams(train: DataFrame) -> DataFrame:
 
 
 def _history(h: np.ndarray, bounds: np.ndarray, index: _Index) -> np.ndarray:
-    """Number of each token's history: that of the word before it, ``START`` for the first one, 0 for none."""
+    """Number of each token's history: that of the word before it, ``START`` for the first one, 0 for one not listed."""
     own = index.find(h) + 2
     own[own == 1] = 0
     out = np.empty(len(h), np.int64)
@@ -128,12 +133,14 @@ def discounts(n: dict[int, int]) -> list[float]:
 
 
 class Model:
-    """What every task needs: totals, the unigram discounts, the history table and the hot pairs (all bounded)."""
+    """What every task needs: totals, the unigram discounts, the listed words and the hot pairs (all bounded)."""
 
-    def __init__(self, total: int, kinds: int, n: dict[int, int], words: np.ndarray, counts: np.ndarray, starts: int):
-        self.total, self.kinds, self.d = total, kinds, discounts(n)
+    def __init__(self, total: int, kinds: int, n: dict[int, int], words: np.ndarray, counts: np.ndarray, starts: int,
+                 every: bool):
+        self.total, self.kinds, self.d, self.every = total, kinds, discounts(n), every
         self.index = _Index(words)
         self.count = np.concatenate([[0, starts], counts]).astype(np.int64)  # by history number
+        self.names = np.concatenate([np.array([0, BEGIN], W.U64), words])  # hashes by history number
         kept = total - sum(r * n.get(r, 0) * (1 - self.d[r - 1]) for r in range(1, K + 1))
         unseen = max(1.0, n.get(1, 0) ** 2 / (2 * max(1, n.get(2, 0))))
         self.zero = math.log10((1 - kept / total) / unseen) if total and kept < total else -math.log10(unseen + kinds)
@@ -147,11 +154,10 @@ class Model:
         out[seen] = np.log10(d * c[seen] / max(self.total, 1))
         return out
 
-    def log_pair(self, n: np.ndarray, history: np.ndarray) -> np.ndarray:
-        """log10 of a pair's relative frequency; half a count of every history is kept back, so that a history whose
-        pairs are all frequent leaves something to the words that never followed it."""
-        c = self.count[history]
-        return np.log10(n / c * (1 - 0.5 / c))
+    def log_history(self, c: np.ndarray) -> np.ndarray:
+        """log10 of what a history of this count makes of a pair's count; half a count of every history is kept back,
+        so that a history whose pairs are all frequent leaves something to the words that never followed it."""
+        return np.log10((1 - 0.5 / c) / c)
 
     def base(self, c: np.ndarray) -> np.ndarray:
         return np.log10((c + 1) / (self.total + 1 * (self.kinds + 1)))
@@ -163,7 +169,7 @@ def _pair(word: np.ndarray, history: np.ndarray) -> np.ndarray:
 
 
 def hot_pairs(train: DataFrame, model: Model) -> DataFrame:
-    """``pair, c`` of the pairs whose word and history are both in the history table."""
+    """``pair, c`` of the pairs whose word and history are both listed."""
 
     def work(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         def pairs() -> Iterator[np.ndarray]:
@@ -179,7 +185,7 @@ def hot_pairs(train: DataFrame, model: Model) -> DataFrame:
 
 _DOC = "key long, part int, n_tokens long, n_known long, base double, raw double, " + ", ".join(
     f"r{r} int" for r in range(1, K + 1)) + ", unseen binary"
-_CTX = "history int, mass long, prob double, " + ", ".join(f"t{r} long" for r in range(1, K + 2))
+_CTX = "history long, mass long, prob double, " + ", ".join(f"t{r} long" for r in range(1, K + 2))
 _DOC_NAMES = [x.split()[0] for x in _DOC.split(", ")]
 _CTX_NAMES = [x.split()[0] for x in _CTX.split(", ")]
 _OUT = f"{_DOC}, {_CTX}"
@@ -193,31 +199,34 @@ class _Sums:
         self.known, self.base, self.raw = np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
         self.small = np.zeros((K, n), np.int64)
 
-    def add(self, doc: np.ndarray, c: np.ndarray, pair: np.ndarray, history: np.ndarray, model: Model) -> np.ndarray:
-        """Adds tokens with word counts ``c`` and pair counts ``pair``; returns which back off from a history."""
+    def add(self, doc: np.ndarray, c: np.ndarray, pair: np.ndarray, history: np.ndarray, leads: np.ndarray,
+            model: Model) -> np.ndarray:
+        """Adds tokens with word counts ``c`` and pair counts ``pair``; ``history``: which have one; ``leads``: which are
+        a history themselves, of the token after them.  Returns which back off from a history."""
         n = len(self.base)
         self.known += np.bincount(doc[c > 0], minlength=n)
         self.base += np.bincount(doc, model.base(c), n)
-        seen = (history > 0) & (pair > 0)
+        seen = history & (pair > 0)
         score = model.log_p(c)
-        score[seen] = model.log_pair(pair[seen], history[seen])
+        score[seen] = np.log10(pair[seen])
+        score[leads] += model.log_history(c[leads])
         self.raw += np.bincount(doc, score, n)
         for r in range(1, K + 1):
             self.small[r - 1] += np.bincount(doc[seen & (pair == r)], minlength=n)
-        return (history > 0) & ~seen & (model.count[history] > 0)
+        return history & ~seen
 
 
 def _doc_rows(key: np.ndarray, part: int, tokens: np.ndarray, sums: _Sums, doc: np.ndarray, back: np.ndarray,
               keep: np.ndarray) -> pa.RecordBatch:
     """Rows of the documents ``keep``; ``doc``/``back``: documents and histories of the tokens that back off."""
     order = np.argsort(doc, kind="stable")
-    raw, at = back[order].astype("<u2"), np.searchsorted(doc[order], np.arange(len(key) + 1))
+    raw, at = back[order].astype("<u8"), np.searchsorted(doc[order], np.arange(len(key) + 1))
     unseen = [raw[at[i] : at[i + 1]].tobytes() if at[i] < at[i + 1] else None for i in keep.tolist()]
     m = len(keep)
     cols = [pa.array(key[keep]), pa.array(np.full(m, part, np.int32)), pa.array(tokens[keep].astype(np.int64)),
             pa.array(sums.known[keep]), pa.array(sums.base[keep]), pa.array(sums.raw[keep])]
     cols += [pa.array(sums.small[r][keep].astype(np.int32)) for r in range(K)] + [pa.array(unseen, pa.binary())]
-    types = [pa.int32(), pa.int64(), pa.float64()] + [pa.int64()] * (K + 1)
+    types = [pa.int64(), pa.int64(), pa.float64()] + [pa.int64()] * (K + 1)
     return pa.RecordBatch.from_arrays(cols + [pa.nulls(m, t) for t in types], _DOC_NAMES + _CTX_NAMES)
 
 
@@ -229,25 +238,28 @@ def _deal(batches: Iterator[pa.RecordBatch], model: Model, parts: int) -> Iterat
 
     def flush() -> Iterator[pa.RecordBatch]:
         key, out = np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held])
-        doc, h, hist = (np.concatenate([x[k] for x in held]) for k in (2, 3, 4))
+        doc, h, hist, prev = (np.concatenate([x[k] for x in held]) for k in (2, 3, 4, 5))
         word = model.index.find(h)
         number = _pair(word, hist)
         pair = np.minimum(np.searchsorted(hot, number), max(len(hot) - 1, 0))
         place = (hot[pair] == number) if len(hot) else np.zeros(len(h), bool)
         sums = _Sums(len(key))
-        sums.add(doc[place], model.count[word[place] + 2], model.hot_counts[pair[place]], hist[place], model)
+        sums.add(doc[place], model.count[word[place] + 2], model.hot_counts[pair[place]], hist[place] > 0, h[place] != END, model)
         tokens = np.bincount(doc, minlength=len(key))
         none = np.empty(0, np.int64)
         ipc = pa.BufferOutputStream()
+        if model.count[START]:
+            sums.raw += model.log_history(model.count[START])
         first = _doc_rows(key, -1, tokens, sums, none, none, np.arange(len(key)))
         with pa.ipc.new_stream(ipc, first.schema) as writer:
             writer.write_batch(first)
         rows = [(int(key[0] % parts), 1, ipc.getvalue().to_pybytes())]
         rest = ~place
-        doc, h, hist, word = doc[rest], h[rest], hist[rest], word[rest]
-        deal = W.mix(h + np.where(word >= 0, hist, 0).astype(W.U64)) % W.U64(parts)
+        doc, h, hist, prev, word = doc[rest], h[rest], hist[rest], prev[rest], word[rest]
+        other = np.where((hist == 0) & model.every, prev, hist.astype(W.U64))
+        deal = W.mix(h + np.where(word >= 0, other, W.U64(0))) % W.U64(parts)
         order = np.lexsort((h, deal))
-        doc, h, hist, deal = doc[order], h[order], hist[order], deal[order]
+        doc, h, hist, prev, deal = doc[order], h[order], hist[order], prev[order], deal[order]
         cut = np.searchsorted(deal, np.arange(parts + 1, dtype=W.U64))
         for p in range(parts):
             a, z = int(cut[p]), int(cut[p + 1])
@@ -255,10 +267,11 @@ def _deal(batches: Iterator[pa.RecordBatch], model: Model, parts: int) -> Iterat
                 continue
             mine, back = np.unique(doc[a:z], return_inverse=True)
             new = np.flatnonzero(np.concatenate([[True], h[a + 1 : z] != h[a : z - 1]]))
-            head = np.array([len(mine), len(new), z - a], np.int64)
+            rare = prev[a:z][(hist[a:z] == 0) & model.every]
+            head = np.array([len(mine), len(new), z - a, len(rare)], np.int64)
             blob = b"".join(x.tobytes() for x in (
                 head, key[mine], out[mine].astype(np.uint8), h[a:z][new], np.diff(np.append(new, z - a)).astype(np.uint32),
-                hist[a:z].astype(np.uint16), back.astype(np.uint16)))
+                hist[a:z].astype(np.uint16), back.astype(np.uint16), rare))
             rows.append((p, 0, blob))
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()),
                                           pa.array([r[2] for r in rows], pa.binary())], ["part", "place", "blob"])
@@ -269,7 +282,7 @@ def _deal(batches: Iterator[pa.RecordBatch], model: Model, parts: int) -> Iterat
             h, bounds = _tokens(s)
             doc = np.repeat(np.arange(docs, docs + len(s), dtype=np.int32), np.diff(bounds))
             held.append((keys[s.first : s.first + len(s)], outs[s.first : s.first + len(s)], doc, h,
-                         _history(h, bounds, model.index).astype(np.int32)))
+                         _history(h, bounds, model.index).astype(np.int32), np.concatenate([h[:1], h[:-1]])))
             size, docs = size + len(h), docs + len(s)
             if size >= FLUSH or docs >= 50_000:
                 yield from flush()
@@ -279,9 +292,9 @@ def _deal(batches: Iterator[pa.RecordBatch], model: Model, parts: int) -> Iterat
 
 
 def _read(blob: pa.Buffer) -> tuple[np.ndarray, ...]:
-    n, m, t = np.frombuffer(blob, np.int64, 3).tolist()
-    out, at = [], 24
-    for kind, k in ((np.int64, n), (np.uint8, n), (W.U64, m), (np.uint32, m), (np.uint16, t), (np.uint16, t)):
+    n, m, t, r = np.frombuffer(blob, np.int64, 4).tolist()
+    out, at = [], 32
+    for kind, k in ((np.int64, n), (np.uint8, n), (W.U64, m), (np.uint32, m), (np.uint16, t), (np.uint16, t), (W.U64, r)):
         out.append(np.frombuffer(blob, kind, k, at))
         at += out[-1].nbytes
     return tuple(out)
@@ -293,7 +306,14 @@ def _score_part(part: int, blobs: list[pa.Buffer], model: Model) -> Iterator[pa.
     first = np.cumsum([0] + [len(g[0]) for g in got])
     key, out = np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got]) > 0
     word, many = np.concatenate([g[2] for g in got]), np.concatenate([g[3] for g in got])
-    history = np.concatenate([g[4] for g in got])
+    history = np.concatenate([g[4] for g in got]).astype(np.int32)
+    if model.every:  # histories that are not listed get numbers of this partition
+        rare, number = np.unique(np.concatenate([g[6] for g in got]), return_inverse=True)
+        history[history == 0] = len(model.names) + number
+        names = np.concatenate([model.names, rare])
+        del rare, number
+    else:
+        names = model.names
     doc = np.concatenate([g[5] + np.int32(first[i]) for i, g in enumerate(got)])
     del got
     train = ~out[doc]
@@ -302,23 +322,29 @@ def _score_part(part: int, blobs: list[pa.Buffer], model: Model) -> Iterator[pa.
     c = np.bincount(kind[train], minlength=len(kinds))
     listed = model.index.find(kinds)
     c[listed >= 0] = model.count[listed[listed >= 0] + 2]  # these words are dealt over several partitions
-    pairs, pair = np.unique(kind.astype(np.int64) * 65536 + history, return_inverse=True)
+    leads = (kinds != END) & (c > 0) & ((listed >= 0) | model.every)
+    pairs, pair = np.unique(kind.astype(np.int64) * len(names) + history, return_inverse=True)
     pair = pair.astype(np.int32)
     n = np.bincount(pair[train], minlength=len(pairs))
     sums = _Sums(len(key))
     back = np.zeros(len(doc), bool)
     for a in range(0, len(doc), STEP):
         at = slice(a, a + STEP)
-        back[at] = sums.add(doc[at], c[kind[at]], n[pair[at]], history[at], model)
-    yield _doc_rows(key, part, np.zeros(len(key), np.int64), sums, doc[back], history[back], np.arange(len(key)))
-    seen = (n > 0) & (pairs % 65536 > 0)
-    h, n, p = pairs[seen] % 65536, n[seen], 10 ** model.log_p(c[pairs[seen] // 65536])
+        back[at] = sums.add(doc[at], c[kind[at]], n[pair[at]], history[at] > 0, leads[kind[at]], model)
+    yield _doc_rows(key, part, np.zeros(len(key), np.int64), sums, doc[back], names[history[back]], np.arange(len(key)))
+    seen = (n > 0) & (pairs % len(names) > 0)
+    h, n, p = pairs[seen] % len(names), n[seen], 10 ** model.log_p(c[pairs[seen] // len(names)])
+    yield _history_rows(names, h, n, p)
+
+
+def _history_rows(names: np.ndarray, h: np.ndarray, n: np.ndarray, p: np.ndarray) -> pa.RecordBatch:
+    """Sums by history of pairs with history numbers ``h``, counts ``n`` and word probabilities ``p``."""
     hs, at = np.unique(h, return_inverse=True)
-    cols = [pa.array(hs.astype(np.int32)), pa.array(np.bincount(at, np.where(n > K, n, 0), len(hs)).astype(np.int64)),
+    cols = [pa.array(W.signed(names[hs])), pa.array(np.bincount(at, np.where(n > K, n, 0), len(hs)).astype(np.int64)),
             pa.array(np.bincount(at, p, len(hs)))]
     cols += [pa.array(np.bincount(at[n == r], minlength=len(hs)).astype(np.int64)) for r in range(1, K + 2)]
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64()] + [pa.int32()] * K + [pa.binary()]
-    yield pa.RecordBatch.from_arrays([pa.nulls(len(hs), t) for t in types] + cols, _DOC_NAMES + _CTX_NAMES)
+    return pa.RecordBatch.from_arrays([pa.nulls(len(hs), t) for t in types] + cols, _DOC_NAMES + _CTX_NAMES)
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
@@ -338,43 +364,61 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Recor
         yield from _score_part(now, blobs, model)
 
 
-def alphas(model: Model, sums: list) -> tuple[np.ndarray, list[float]]:
-    """log10 alpha by history number, and the pair discounts, from the sums of all partitions and the hot pairs."""
-    size = len(model.count)
-    t, mass, prob = np.zeros((K + 1, size)), np.zeros(size), np.zeros(size)
-    for r in sums:
-        h = r["history"]
-        mass[h], prob[h] = r["mass"], r["prob"]
-        t[:, h] = [r[f"t{k}"] for k in range(1, K + 2)]
-    h, n = model.hot_pairs % 65536, model.hot_counts
-    np.add.at(prob, h, 10 ** model.log_p(model.count[model.hot_pairs // 65536 + 2]))
-    np.add.at(mass, h, np.where(n > K, n, 0))
-    few = n <= K + 1
-    np.add.at(t, (n[few] - 1, h[few]), 1)
-    d = discounts({r: int(t[r - 1].sum()) for r in range(1, K + 2)})
-    c = np.maximum(model.count, 1)
-    kept = (mass + sum(d[r] * (r + 1) * t[r] for r in range(K))) / c * (1 - 0.5 / c)
-    return np.log10(np.maximum(1 - kept, 1e-12) / np.maximum(1 - prob, 1e-12)), d
-
-
-def _finish(b: pa.RecordBatch, alpha: np.ndarray, d: list[float]) -> Iterator[pa.RecordBatch]:
-    """Adds the discounts and backoff weights to a partition's sums."""
+def histories(out: DataFrame, model: Model, scratch: Scratch) -> tuple[DataFrame, list[float]]:
+    """``history, c, log_alpha, back`` by history, and the pair discounts, from the sums of all partitions and the hot
+    pairs; ``back`` is what a token that backs off adds, besides what the word before it has added already."""
+    hot = _history_rows(model.names, model.hot_pairs % 65536, model.hot_counts,
+                        10 ** model.log_p(model.count[model.hot_pairs // 65536 + 2]))
+    spark = out.sparkSession
+    rows = out.where("history is not null").select(*_CTX_NAMES).unionByName(
+        spark.createDataFrame([tuple(r[c] for c in _CTX_NAMES) for r in hot.to_pylist()], _CTX))  # at most HOT_PAIRS rows
+    sums = scratch.save(rows.groupBy("history").agg(*[F.sum(c).alias(c) for c in _CTX_NAMES[1:]]), "contexts")
+    few = sums.agg(*[F.coalesce(F.sum(f"t{r}"), F.lit(0)).alias(f"t{r}") for r in range(1, K + 2)]).first()
+    d = discounts({r: few[f"t{r}"] for r in range(1, K + 2)})
+    c, kept = F.col("mass"), F.col("mass").cast("double")
+    for r in range(1, K + 1):
+        c, kept = c + r * F.col(f"t{r}"), kept + d[r - 1] * r * F.col(f"t{r}")
+    own = (1 - 0.5 / F.col("c")) / F.col("c")
+    least = F.lit(1e-12)
+    alpha = F.log10(F.greatest(1 - F.col("kept") * own, least) / F.greatest(1 - F.col("prob"), least))
+    table = sums.select("history", "prob", c.alias("c"), kept.alias("kept")).select("history", "c", alpha.alias("log_alpha"))
+    table = table.withColumn("back", F.col("log_alpha") - F.log10(own))
+    table = table.repartition(max(1, partitions(spark)), "history").sortWithinPartitions("history")
+    return scratch.save(table, "histories"), d
+
+
+def _finish(b: pa.RecordBatch, index: _Index, back: np.ndarray, d: list[float]) -> Iterator[pa.RecordBatch]:
+    """Adds the discounts and the backoff weights of listed histories to a partition's sums."""
     score = b.column("raw").to_numpy().copy()
     for r in range(1, K + 1):
         score += b.column(f"r{r}").to_numpy() * math.log10(d[r - 1])
-    blobs = b.column("unseen")
-    at = np.flatnonzero(blobs.is_valid().to_numpy(zero_copy_only=False))
+    at, raw, sizes = _unseen(b)
     if len(at):
-        raw = blobs.take(pa.array(at)).to_pylist()
-        sizes = np.array([len(x) // 2 for x in raw])
-        score[at] += np.add.reduceat(alpha[np.frombuffer(b"".join(raw), "<u2")], np.cumsum(sizes) - sizes)
+        k = index.find(raw)
+        score[at] += np.add.reduceat(np.where(k >= 0, np.append(back, 0.0)[k], 0.0), np.cumsum(sizes) - sizes)
     rows = (b.column("part").to_numpy() < 0).astype(np.int64)
     yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(rows), b.column("n_tokens"), b.column("n_known"),
                                       b.column("base"), pa.array(score)],
                                      ["key", "rows", "n_tokens", "n_known", "base", "score"])
 
 
-def train(docs: DataFrame, scratch: Scratch) -> Model:
+def _unseen(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows that hold histories to back off from, all these histories, and how many each row has."""
+    blobs = b.column("unseen")
+    at = np.flatnonzero(blobs.is_valid().to_numpy(zero_copy_only=False))
+    raw = blobs.take(pa.array(at)).to_pylist()
+    return at, np.frombuffer(b"".join(raw), W.U64), np.array([len(x) // 8 for x in raw], np.int64)
+
+
+def _rest(b: pa.RecordBatch, index: _Index) -> Iterator[pa.RecordBatch]:
+    """``key, history`` of the tokens that back off from a history outside ``index``."""
+    at, raw, sizes = _unseen(b)
+    ok = index.find(raw) < 0
+    key = np.repeat(b.column("key").to_numpy()[at], sizes)
+    yield pa.RecordBatch.from_arrays([pa.array(key[ok]), pa.array(W.signed(raw[ok]))], ["key", "history"])
+
+
+def train(docs: DataFrame, scratch: Scratch, every: bool = False) -> Model:
     """Counts words (a written table, sorted by word) and frequent pairs of ``docs``."""
     n = max(1, partitions(docs.sparkSession))
     words = scratch.save(unigrams(docs).repartition(n, "tok").sortWithinPartitions("tok"), "unigrams")
@@ -384,7 +428,7 @@ def train(docs: DataFrame, scratch: Scratch) -> Model:
     often.sort(key=lambda r: r.tok % (1 << 64))
     starts = words.where(F.col("tok") == int(np.array([END]).view(np.int64)[0])).first()
     model = Model(total, kinds, few, np.array([r.tok for r in often], np.int64).view(W.U64),
-                  np.array([r.c for r in often], np.int64), starts.c if starts else 0)
+                  np.array([r.c for r in often], np.int64), starts.c if starts else 0, every)
     pairs = hot_pairs(docs, model).where(F.col("c") * HOT_PAIRS >= max(total, 1)).collect()  # at most HOT_PAIRS rows
     pairs.sort(key=lambda r: r.pair)
     model.hot_pairs = np.array([r.pair for r in pairs], np.int64)
@@ -392,25 +436,33 @@ def train(docs: DataFrame, scratch: Scratch) -> Model:
     return model
 
 
-def score(docs: DataFrame, held: Column) -> DataFrame:
-    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` per row; ``held`` rows do not train."""
+def score(docs: DataFrame, held: Column, every: bool = False) -> DataFrame:
+    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` per row; ``held`` rows do not train.
+
+    ``every``: all words of the training text are histories, not just listed ones."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "katz")
     rows = documents(docs).withColumn("held", held).withColumn("key", F.xxhash64("doc_id", "text"))
-    model = train(rows.where(~F.col("held")).select("text"), scratch)
+    model = train(rows.where(~F.col("held")).select("text"), scratch, every)
     sent = spark.sparkContext.broadcast(model)  # at most HISTORIES words and HOT_PAIRS pairs
     parts = 2 * max(1, partitions(spark))
     dealt = rows.select("key", "held", "text").mapInArrow(lambda bs: _deal(bs, sent.value, parts), _PART)
     dealt = dealt.repartition(parts, "part").sortWithinPartitions("part", "place")
     out = scratch.save(dealt.mapInArrow(lambda bs: _score(bs, sent.value), _OUT), "sums")
-    sums = out.where("history is not null").groupBy("history").agg(
-        *[F.sum(c).alias(c) for c in _CTX_NAMES[1:]]).collect()  # at most HISTORIES rows
-    alpha, d = alphas(model, sums)
-    spark.createDataFrame([(h, int(c), float(a)) for h, (c, a) in enumerate(zip(model.count, alpha, strict=True))],
-                          "history int, c long, log_alpha double").write.parquet(f"{scratch.path}/histories")
-    sent_alpha = spark.sparkContext.broadcast(alpha)
-    done = map_texts(out.where("key is not null").select(*_DOC_NAMES), lambda b: _finish(b, sent_alpha.value, d),
+    table, d = histories(out, model, scratch)
+    often = table.where(F.col("c") * HISTORIES >= max(model.total, 1)).collect()  # at most HISTORIES rows
+    often.sort(key=lambda r: r.history % (1 << 64))
+    sent_index = spark.sparkContext.broadcast(_Index(np.array([r.history for r in often], np.int64).view(W.U64)))
+    sent_back = spark.sparkContext.broadcast(np.array([r.back for r in often], np.float64))
+    done = map_texts(out.where("key is not null").select(*_DOC_NAMES),
+                     lambda b: _finish(b, sent_index.value, sent_back.value, d),
                      "key long, rows long, n_tokens long, n_known long, base double, score double")
+    rest = map_texts(out.where("unseen is not null").select("key", "unseen"), lambda b: _rest(b, sent_index.value),
+                     "key long, history long")
+    none = F.lit(0).cast("long")
+    rest = rest.join(table, "history").select("key", none.alias("rows"), none.alias("n_tokens"), none.alias("n_known"),
+                                              F.lit(0.0).alias("base"), F.col("back").alias("score"))
+    done = done.unionByName(rest)
     # equal rows add up to a multiple of one row's sums
     one = done.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("rows", "n_tokens", "n_known", "base", "score")]).select(
         "key", (F.col("n_tokens") / F.col("rows")).cast("long").alias("n_tokens"),

@@ -51,7 +51,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return KZ.score(_read(spark, sf_dir, "documents"), KZ.held_out(F.col("doc_id"), 7, 2))
+    return KZ.score(_read(spark, sf_dir, "documents"), KZ.held_out(F.col("doc_id"), 7, 2), every=True)
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

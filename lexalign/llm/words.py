@@ -45,7 +45,16 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _BYTE = mix(np.arange(1, 257, dtype=U64) * U64(0xD1342543DE82EF95))
-_powers = [np.ones(1, U64), np.ones(1, U64)]
+
+
+class _Powers(list):
+    """Grows where it is used: it travels empty with the functions that are sent to tasks."""
+
+    def __reduce__(self):
+        return _Powers, ([np.ones(1, U64), np.ones(1, U64)],)
+
+
+_powers = _Powers([np.ones(1, U64), np.ones(1, U64)])
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:

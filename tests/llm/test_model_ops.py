@@ -74,6 +74,39 @@ def test_katz_is_the_definition(spark):
     assert KZ.score(frame(spark, []), KZ.held_out(F.col("doc_id"), 7, 2)).count() == 0
 
 
+@pytest.mark.parametrize("listed", [KZ.HISTORIES, 20])
+def test_katz_counts_every_history(spark, monkeypatch, listed):
+    monkeypatch.setattr(KZ, "HISTORIES", listed)
+    data = rows() + [(100 + k, prose(k % 7, 40 + k)) for k in range(40)]
+    toks = [re.findall(r"[^\x20\x09-\x0D]+", lower(t)) + [None] for _, t in data]
+    out = [i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in data]
+    train = [t for t, o in zip(toks, out) if not o]
+    c = Counter(w for t in train for w in t)
+    pairs = Counter(x for t in train for x in zip(["<s>", *t[:-1]], t))
+    after = Counter(h for t in train for h in ["<s>", *t[:-1]])
+    n1, n2 = Counter(c.values()), Counter(pairs.values())
+    d1, d2 = ([*KZ.discounts({r: n[r] for r in range(1, KZ.K + 2)}), 1] for n in (n1, n2))
+    total = sum(c.values())
+    left = 1 - sum(d1[min(r, 6) - 1] * r for r in c.values()) / total
+    unseen = max(1, n1[1] ** 2 / (2 * max(1, n1[2])))
+
+    def p(w):
+        return d1[min(c[w], 6) - 1] * c[w] / total if c[w] else left / unseen
+
+    def seen(h, w):
+        return d2[min(pairs[h, w], 6) - 1] * pairs[h, w] / after[h] * (1 - 0.5 / after[h])
+
+    alpha = {h: (1 - sum(seen(*x) for x in pairs if x[0] == h)) / (1 - sum(p(w) for g, w in pairs if g == h)) for h in after}
+    assert any(after[h] == 1 for t, o in zip(toks, out) if o for h in t[:-1])  # a rare history counts
+    want = Counter()
+    for (i, _), t, o in zip(data, toks, out):
+        score = sum(math.log10(seen(h, w) if pairs[h, w] else alpha.get(h, 1) * p(w)) for h, w in zip(["<s>", *t[:-1]], t))
+        want[i, o, len(t), round(score, 6)] += 1
+    got = KZ.score(frame(spark, data), KZ.held_out(F.col("doc_id"), 7, 2), every=True).collect()
+    assert Counter((r.doc_id, r.held_out, r.n_tokens, round(r.score, 6)) for r in got) == want
+    assert KZ.score(frame(spark, []), KZ.held_out(F.col("doc_id"), 7, 2), every=True).count() == 0
+
+
 def test_clause_patterns():
     insult, target, no, said = TX.INSULT, TX.TARGET, TX.NEGATION, TX.REPORT
     assert TX.clause_patterns([insult]) == [0]
