@@ -75,7 +75,7 @@ FAMILIES = [
     ("afl", "academic free licen[sc]e", "academic", "1.1 2.0 2.1 3.0", "afl"),
     ("osl", "open software licen[sc]e", "open", "1.0 2.0 2.1 3.0", "osl"),
     ("odbl", "open database licen[sc]e|odbl", "database odbl", "1.0", "odbl"),
-    ("odc-by", "open data commons attribution licen[sc]e|odc by", "odc", "1.0", "odc-by"),
+    ("odc-by", "open data commons attribution licen[sc]e|odc by", "commons odc", "1.0", "odc-by"),
     ("pddl", "public domain dedication and licen[sc]e|pddl", "dedication pddl", "1.0", "pddl"),
     ("lppl", "latex project public licen[sc]e|lppl", "latex lppl", "1.0 1.2 1.3", "lppl"),
     ("qpl", "q public licen[sc]e", "licen", "1.0", "qpl"),

@@ -132,6 +132,35 @@ def test_license_rules_suppress_what_they_contain():
     assert found("nothing of that kind") == []
 
 
+def _written_out(parsed):
+    """Texts of a parsed pattern: every alternative, optional parts with and without, classes by their first member."""
+    out = [""]
+    for op, arg in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            more = [chr(arg)]
+        elif op == "IN":
+            more = [chr(arg[0][1] if isinstance(arg[0][1], int) else arg[0][1][0])]
+        elif op == "SUBPATTERN":
+            more = _written_out(arg[3])
+        elif op == "BRANCH":
+            more = [x for a in arg[1] for x in _written_out(a)]
+        else:
+            assert op == "MAX_REPEAT", op
+            more = ([""] if arg[0] == 0 else []) + _written_out(arg[2])
+        out = [x + y for x in out for y in more]
+    return out
+
+
+def test_license_names_pass_their_keywords_and_the_gate():
+    for label, name, keyword, _, _ in LS.FAMILIES:
+        for text in _written_out(re._parser.parse(name)):
+            assert any(k in text for k in keyword.split()), (label, text)
+            assert LS.regions(text.encode().split()), (label, text)
+    words = b"licensed under the open data commons attribution license".split()
+    assert [r.name for _, _, r in LS.detect(words)[0]] == ["under:odc-by"]
+
+
 def test_spotsigs_next_document(spark):
     data = [(i, t) for i, t in rows() if i is not None and i != 5] + [(5, rows()[4][1])]
     order = sorted(data, key=lambda x: -x[0])
