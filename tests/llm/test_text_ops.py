@@ -176,6 +176,16 @@ def test_spotsigs_next_document(spark):
     assert SP.compare_next(frame(spark)).count() == len(rows()) and SP.compare_next(frame(spark, [])).count() == 0
 
 
+def test_spotsigs_likeness_is_that_of_whole_signatures(spark):
+    a, b = (" ".join(f"the {x}{k} {x}{k}z" for k in range(6000)) for x in "pq")  # by 24 bits about two meet by chance
+    whole = [set(s.tolist()) for s in SP.text_signatures([a.encode(), b.encode()])]
+    cut = [{x >> 8 for x in s} for s in whole]
+    assert cut[0] & cut[1] and len(cut[0]) < len(whole[0])
+    got = {r.doc_id: r for r in SP.compare_next(frame(spark, [(2, a), (1, b)])).collect()}
+    assert got[2].near_next == len(whole[0] & whole[1]) / len(whole[0] | whole[1])
+    assert got[2].set_length == len(whole[0])
+
+
 def test_spotsigs_join_is_the_brute_force_join(spark):
     words = [f"w{k}x{k * k}" for k in range(80)]
     data = rows() + [(50 + e, " ".join(f"the {w if k % 40 >= e else 'edit'}" for k, w in enumerate(words))) for e in range(9)]
