@@ -3,6 +3,39 @@
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+
+
+def _secrets() -> str:
+    """Matches and the text between them, as lists; places are sums of their lengths."""
+    from .secret_scan import BASE, RULES
+
+    def quoted(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    parts = "\nUNION ALL\n".join(
+        f"""SELECT n, {i} AS rank, {quoted(r.kind)} AS kind, {r.least} AS least,
+       list_transform(regexp_extract_all(text, {quoted(r.pattern)}), lambda x: length(x)) AS size,
+       list_transform(regexp_extract_all(text, {quoted(r.pattern)}, {r.group}), lambda x: length(x)) AS part,
+       list_transform(string_split_regex(text, {quoted(r.pattern)}), lambda x: length(x)) AS gap
+  FROM d WHERE regexp_matches(text, {quoted(r.pattern)})""" for i, r in enumerate(RULES))
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS text FROM documents),
+k AS ({parts}),
+hits AS (SELECT *, unnest(range(1, len(size) + 1)) AS i FROM k),
+spans AS (
+  SELECT n, rank, kind, (list_sum(gap[1:i]) + coalesce(list_sum(size[1:i - 1]), 0))::BIGINT AS start, size[i] AS size
+  FROM hits WHERE part[i] >= least),
+words AS (SELECT n, rank, kind, start, kind || ':' || start || ':' || (start + size) AS span FROM spans),
+docs AS (
+  SELECT n, count(*) FILTER (WHERE rank = 0) AS a, count(*) FILTER (WHERE rank = 1) AS c, count(*) FILTER (WHERE rank = 2) AS h,
+         string_agg(span, ',' ORDER BY start, rank) FILTER (WHERE rank < {len(BASE)}) AS base, string_agg(span, ',' ORDER BY start, rank) AS spans
+  FROM words GROUP BY n)
+SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(c, 0) AS n_access, coalesce(h, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN docs USING (n)
+"""
+
+
 ORACLE = {
     "op2_warc": r"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
@@ -56,5 +89,27 @@ its AS (
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN its USING (doc_id)
+""",
+    "op12_secret_scan": _secrets(),
+    "op13_ranked_search": r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+b AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+stats AS (SELECT count(*) AS n_docs, sum(len(t))::BIGINT AS n_terms FROM d WHERE len(t) > 0),
+tf AS (
+  SELECT doc_id, 50 + (50 * n * n_docs) // n_terms AS m, term, count(*) AS tf
+  FROM (SELECT doc_id, len(t)::BIGINT AS n, unnest(t) AS term FROM d), stats GROUP BY ALL),
+w AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM tf, stats GROUP BY term),
+scores AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM b JOIN w USING (term) JOIN tf USING (term) GROUP BY ALL)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+FROM scores WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 50
 """,
 }

@@ -11,6 +11,9 @@ from . import license_scan as LS
 from . import line_dedup as LD
 from . import near_dedup as ND
 from . import packing as PK
+from . import ranked_search as RS
+from . import secret_scan as SS
+from . import spelling as SL
 from . import spotsigs as SP
 from . import suffix_dedup as SD
 from . import toxicity as TX
@@ -85,6 +88,25 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return PK.pack(_read(spark, sf_dir, "documents"), tokenizer_spec(), end_id=1, seq=2048)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SL.variants(_read(spark, sf_dir, "documents"))
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = SS.secrets(_read(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["rank"] < len(SS.BASE))
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(SS.joined(base), 256).alias("base_sha256"), SS.joined(F.col("spans")).alias("spans"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return RS.rank(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), k=50)
+
+
 QUERIES = {
     "op1_spotsigs": op1_spotsigs,
     "op2_warc": op2_warc,
@@ -96,6 +118,9 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_packing": op10_packing,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_secret_scan": op12_secret_scan,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 
