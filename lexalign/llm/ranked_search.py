@@ -3,24 +3,27 @@
 A document's normaliser ``m = 50 + (50 * n * N) div L`` depends on its length alone, so documents of equal ``m`` (a
 stratum) score equal for equal term counts: in a stratum an impact is computed once per distinct ``tf``.
 
-Index (``build``): documents are dealt to tasks by length (quantiles of one aggregate; a length that is commoner than a
-task's share is spread by a hash) and sorted by ``m``.  A task inverts runs of at most ``BLOCK_DOCS`` documents or about
+Index (``build``): documents are dealt to tasks by length (quantiles of a histogram, so that tasks get equal numbers of
+terms; a length that is commoner than a task's share is spread by a hash) and sorted by ``m``.  A task inverts runs of at most ``BLOCK_DOCS`` documents or about
 ``BLOCK_BYTES`` of text, and each becomes one row:
 
 * ``docs``, ``m``: ids and normalisers, in order of ``m``, so that a stratum is a run of places;
-* ``terms``, ``starts``: the block's terms and where the postings of each begin;
+* ``terms``, ``starts``: the block's terms (one text, a line each) and where the postings of each begin;
 * ``post``, ``tf``: place and count of every posting, by term, then stratum, then ``tf`` from the largest.
 
+Whole numbers of a block are kept as little-endian bytes (``post`` 16 bits, else 32), which Spark passes on as they are.
+
 Search (``search``): items are taken in blocks of at most ``ITEMS`` (their terms go to the tasks with the function, the
 only thing that travels to all of them).  The index is scanned three times, and never moves:
 
 1. document frequencies of the item terms;
-2. a bound for every item and stratum: the sum of ``w`` times the impact of the stratum's largest ``tf``.  Each block
-   visits its best strata of an item until they hold ``k`` documents of it; the ``k``-th best score of all blocks is the
-   item's threshold;
+2. a bound for every item and stratum: the sum of ``w`` times the impact of the stratum's largest ``tf``.  In each block
+   the best strata of an item are visited until they hold ``k`` documents of it; the ``k``-th best score of all tasks is
+   the item's threshold;
 3. every other stratum whose bound reaches the threshold is visited.
 
-A block hands out at most ``k`` documents per item, and a window with a group limit takes the ``k`` best of all.
+A task's own ``k``-th best score is a threshold too, from block to block.  It hands out at most ``k`` documents per item,
+and a window with a group limit takes the ``k`` best of all.
 Scores are whole numbers below 2**53, so sums of doubles are exact.
 
 Cases: null and empty texts have no terms and no rank.  A null ``doc_id`` takes part and comes last among ties.  Rows
@@ -43,18 +46,19 @@ from . import words as W
 from .tables import Scratch, documents, null_last, partitions
 
 K = 50
-BLOCK_DOCS, BLOCK_BYTES = 2048, 4 << 20
+BLOCK_DOCS, BLOCK_BYTES = 2048, 1 << 20
 #: items, and terms of items, that one scan takes
 ITEMS, ITEM_TERMS = 512, 1 << 17
 #: contributions added up at a time
-STEP = 1 << 21
+STEP = 1 << 19
 NULL_ID = np.iinfo(np.int64).max
 
 #: the words of ``words.ALNUM`` for a Java regular expression, after A-Z became a-z
 _TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-_SCHEMA = "docs array<long>, m array<long>, terms array<string>, starts array<int>, post array<int>, tf array<int>"
+_SCHEMA = "docs array<long>, m array<long>, terms string, starts binary, post binary, tf binary"
+_LINE = 10
 
 
 @dataclass
@@ -102,18 +106,16 @@ def _invert(ids: np.ndarray, m: np.ndarray, texts: pa.Array) -> pa.RecordBatch:
     term = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(h))))
     by = np.lexsort((-tf, term * (int(stratum.max(initial=0)) + 1) + stratum))
     sample = sample[first]
-    size = w.end[sample] - w.start[sample]
+    size = w.end[sample] - w.start[sample] + 1
     spell, _ = _spread(w.start[sample], size)
-    offsets = np.append(0, np.cumsum(size)).astype(np.int32)
-    terms = pa.Array.from_buffers(pa.string(), len(sample), [None, pa.py_buffer(offsets), pa.py_buffer(w.low[spell])])
-    starts = np.append(first, len(h)).astype(np.int32)
-
-    def one(values) -> pa.Array:
-        return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-
+    spell[np.cumsum(size) - 1] = len(w.low)
+    terms = np.append(w.low, np.uint8(_LINE))[spell].tobytes()
+    starts = np.append(first, len(h))
     known = pa.array(ids, pa.int64(), mask=ids == NULL_ID)
-    cols = [known, pa.array(m, pa.int64()), terms, pa.array(starts), pa.array(place[by].astype(np.int32)), pa.array(tf[by].astype(np.int32))]
-    return pa.RecordBatch.from_arrays([one(c) for c in cols], names=["docs", "m", "terms", "starts", "post", "tf"])
+    row = [pa.array([c.tolist()], pa.list_(pa.int64())) for c in (known, pa.array(m, pa.int64()))]
+    row += [pa.array([terms], pa.binary()).cast(pa.string()), *[pa.array([c.astype(t).tobytes()], pa.binary()) for c, t in (
+        (starts, "<i4"), (place[by], "<u2"), (tf[by], "<i4"))]]
+    return pa.RecordBatch.from_arrays(row, names=["docs", "m", "terms", "starts", "post", "tf"])
 
 
 def _inverted(batches):
@@ -140,12 +142,21 @@ def _inverted(batches):
         yield flush()
 
 
-def _dealt_by_length(d: DataFrame, cuts: list[int], n: int) -> DataFrame:
-    """Partition i holds lengths from ``cuts[i - 1]`` on; a length that fills several partitions is spread over them."""
+#: what a document costs besides its terms
+EACH = 50
+
+
+def _rounded(n: str):
+    """A length to three digits: at most 900 values for each further digit."""
+    return F.expr(f"{n} - {n} % bigint(pow(10, greatest(length(string({n})) - 3, 0)))")
+
+
+def _dealt_by_length(d: DataFrame, cuts: list[float], n: int) -> DataFrame:
+    """Partition i holds rounded lengths from ``cuts[i - 1]`` on; one that fills several partitions is spread over them."""
     at = F.array(*[F.lit(int(c)) for c in cuts]).cast("array<long>")
-    low, high = (F.size(F.filter(at, lambda c: c < F.col("n"))), F.size(F.filter(at, lambda c: c <= F.col("n"))))
+    low, high = (F.size(F.filter(at, lambda c: c < F.col("r"))), F.size(F.filter(at, lambda c: c <= F.col("r"))))
     part = low + F.pmod(F.xxhash64("doc_id", F.length("text")), (high - low + 1).cast("long"))
-    return d.repartitionById(n, part.cast("int"))
+    return d.withColumn("r", _rounded("n")).repartitionById(n, part.cast("int"))
 
 
 def build(docs: DataFrame, path: Scratch) -> Index:
@@ -154,10 +165,11 @@ def build(docs: DataFrame, path: Scratch) -> Index:
     count = F.arrow_udf(_count, "long").asNondeterministic()  # or the filter below would count a second time
     d = documents(docs).withColumn("n", count(F.col("text")))
     n = partitions(spark)
-    share = F.array(*[F.lit(i / n) for i in range(1, n)]) if n > 1 else F.array(F.lit(0.5))
-    have = d.select("n").where("n > 0")
-    row = have.agg(F.count("n").alias("docs"), F.sum("n").alias("terms"), F.percentile_approx("n", share, 10_000).alias("cuts")).first()
-    total, length = int(row["docs"]), int(row["terms"] or 0)
+    share = [i / n for i in range(1, n)] or [0.5]
+    lengths = d.select("n").where("n > 0").groupBy(_rounded("n").alias("r")).agg(F.count("n").alias("docs"), F.sum("n").alias("terms"))
+    row = lengths.agg(F.sum("docs").alias("docs"), F.sum("terms").alias("terms"),
+                      F.percentile("r", share, F.col("terms") + EACH * F.col("docs")).alias("cuts")).first()
+    total, length = int(row["docs"] or 0), int(row["terms"] or 0)
     m = F.lit(50) + F.expr(f"(50L * n * {total}L) div {max(length, 1)}L")
     ready = (_dealt_by_length(d.where("n > 0"), (row["cuts"] or [])[: n - 1], n)
              .select(null_last("doc_id").alias("id"), m.alias("m"), "text").sortWithinPartitions("m", "id"))
@@ -183,23 +195,24 @@ class _Block:
     """One row of the index, cut down to the terms of the items."""
 
     def __init__(self, batch: pa.RecordBatch, i: int, vocab: pa.Array, full: bool = True):
-        def part(name):
-            c = batch.column(name)
-            return c.values.slice(c.offsets[i].as_py(), c.offsets[i + 1].as_py() - c.offsets[i].as_py())
+        def numbers(name, kind):
+            return np.frombuffer(batch.column(name)[i].as_buffer(), kind).astype(np.int64)
 
-        found = pc.index_in(part("terms"), value_set=vocab)
+        line = np.frombuffer(batch.column("terms")[i].as_buffer(), np.uint8)
+        ends = np.flatnonzero(line == _LINE)
+        spelled = pa.Array.from_buffers(pa.string(), len(ends), [None, pa.py_buffer(np.append(0, ends + 1).astype(np.int32)), pa.py_buffer(line)])
+        found = pc.index_in(spelled, value_set=vocab)
         has = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
         self.term = found.take(pa.array(has)).to_numpy()  # number in vocab
-        starts = part("starts").to_numpy()
+        starts = numbers("starts", "<i4")
         self.start, self.df = starts[has], starts[has + 1] - starts[has]
         if not full:
             return
-        self.docs = part("docs").fill_null(NULL_ID).to_numpy()
-        m = part("m").to_numpy()
+        self.docs = batch.column("docs")[i].values.fill_null(NULL_ID).to_numpy()
+        m = batch.column("m")[i].values.to_numpy()
         self.stratum = np.cumsum(np.append(0, np.diff(m) != 0))
         at, owner = _spread(self.start, self.df)
-        self.post = part("post").to_numpy()[at].astype(np.int64)
-        tf = part("tf").to_numpy()[at].astype(np.int64)
+        self.post, tf = numbers("post", "<u2")[at], numbers("tf", "<i4")[at]
         # one impact for each tf of a stratum
         both, back = np.unique(m[self.post] * (int(tf.max(initial=0)) + 1) + tf, return_inverse=True)
         um, ut = both // (int(tf.max(initial=0)) + 1), both % (int(tf.max(initial=0)) + 1)
@@ -211,11 +224,11 @@ class _Block:
         self.term_run = np.searchsorted(self.run, np.append(0, np.cumsum(self.df)))
 
 
-def _visit(b: _Block, who: np.ndarray, term: np.ndarray, weight: np.ndarray, n_items: int, least: np.ndarray | None, k: int):
-    """Scores of the documents that an item's visits reach, as ``(item, place, score)``.
+def _visit(b: _Block, who: np.ndarray, term: np.ndarray, weight: np.ndarray, n_items: int, least: np.ndarray, k: int, late: bool):
+    """Scores of at least ``least[item]`` of the documents that an item's visits reach, as ``(item, place, score)``.
 
-    ``who, term, weight`` list the terms of the items.  Without ``least`` the best strata of an item are visited until
-    they hold ``k`` of its documents; with it, the other strata whose bound reaches ``least[item]``."""
+    ``who, term, weight`` list the terms of the items.  Early visits go to the best strata of an item, until these hold
+    ``k`` of its documents, late ones to all others.  Strata whose bound is below ``least[item]`` are left out."""
     here = np.full(int(max(term.max(initial=-1), b.term.max(initial=-1))) + 1, -1)
     here[b.term] = np.arange(len(b.term))
     have = here[term] >= 0
@@ -235,10 +248,7 @@ def _visit(b: _Block, who: np.ndarray, term: np.ndarray, weight: np.ndarray, n_i
     before = sizes - np.repeat(sizes[first], np.diff(np.append(first, len(order))))
     early = np.zeros(n_items * strata, bool)
     early[order[before < k]] = True
-    if least is None:
-        chosen = early
-    else:
-        chosen = ~early & (bound > 0) & (bound >= np.repeat(least, strata))
+    chosen = (early != late) & (bound > 0) & (bound >= np.repeat(least, strata))
     go = chosen[cell]
     run, item, w = run[go], item[go], w[go]
     score = np.zeros(n_items * len(b.docs))
@@ -248,30 +258,43 @@ def _visit(b: _Block, who: np.ndarray, term: np.ndarray, weight: np.ndarray, n_i
         key = item[a:z][owner] * len(b.docs) + b.post[at]
         score += np.bincount(key, w[a:z][owner] * b.impact[at], len(score)) if len(key) else 0
     hit = np.flatnonzero(score > 0)
-    if least is not None:
-        hit = hit[score[hit] >= least[hit // len(b.docs)]]
+    hit = hit[score[hit] >= least[hit // len(b.docs)]]
     return hit // len(b.docs), hit % len(b.docs), score[hit]
 
 
+def _lines(vocab: list[str]) -> pa.Array:
+    """The terms as blocks spell them, each with its line end."""
+    return pa.array([t + "\n" for t in vocab], pa.string())
+
+
 def _scan(vocab: list[str], who, term, weight, n_items: int, least, k: int):
-    """``mapInArrow`` function: at most ``k`` documents of a block for each item, as ``(item, doc_id, score)``."""
+    """``mapInArrow`` function: the ``k`` best documents of a task for each item, as ``(item, doc, score)``.
+
+    A task keeps its best so far, and what they must reach, from block to block."""
 
     def run(batches):
-        words = pa.array(vocab, pa.string())
+        words = _lines(vocab)
+        late = least is not None
+        floor = least.copy() if late else np.ones(n_items)
+        item, docs, score = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
         for batch in batches:
             for i in range(batch.num_rows):
                 b = _Block(batch, i, words)
                 if not len(b.post):
                     continue
-                item, place, score = _visit(b, who, term, weight, n_items, least, k)
-                docs = b.docs[place]
+                more, place, new = _visit(b, who, term, weight, n_items, floor, k, late)
+                item, docs, score = np.append(item, more), np.append(docs, b.docs[place]), np.append(score, new)
                 order = np.lexsort((docs, -score, item))
                 item, docs, score = item[order], docs[order], score[order]
                 first = _runs(item)
                 rank = np.arange(len(item)) - np.repeat(first, np.diff(np.append(first, len(item))))
+                last = rank == k - 1
+                floor[item[last]] = np.maximum(floor[item[last]], score[last])
                 top = rank < k
-                yield pa.RecordBatch.from_arrays([pa.array(item[top], pa.int32()), pa.array(docs[top], pa.int64()),
-                                                  pa.array(score[top].astype(np.int64))], names=["item", "doc", "score"])
+                item, docs, score = item[top], docs[top], score[top]
+        if len(item):
+            yield pa.RecordBatch.from_arrays([pa.array(item, pa.int32()), pa.array(docs, pa.int64()), pa.array(score.astype(np.int64))],
+                                             names=["item", "doc", "score"])
 
     return run
 
@@ -280,7 +303,7 @@ def _frequencies(index: Index, vocab: list[str]) -> np.ndarray:
     """Documents that hold each term, over the whole index."""
 
     def run(batches):
-        words = pa.array(vocab, pa.string())
+        words = _lines(vocab)
         for batch in batches:
             total = np.zeros(len(vocab), np.int64)
             for i in range(batch.num_rows):

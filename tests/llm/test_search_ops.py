@@ -217,13 +217,13 @@ def test_ranked_search_of_empty_tables(spark):
 def test_bounds_are_never_below_scores():
     ids, m = np.arange(6), np.array([60, 60, 60, 80, 80, 120])
     texts = pa.array(["a a b", "b c", "a", "a c c c", "d", "a b c d"])
-    b = RS._Block(RS._invert(ids, m, texts), 0, pa.array(["a", "b", "c"]))
+    b = RS._Block(RS._invert(ids, m, texts), 0, RS._lines(["a", "b", "c"]))
     who, term, weight = np.zeros(3, np.int64), np.arange(3), np.array([5.0, 7.0, 11.0])
-    _, place, score = RS._visit(b, who, term, weight, 1, None, 100)
+    _, place, score = RS._visit(b, who, term, weight, 1, np.ones(1), 100, False)
     assert place.tolist() == [0, 1, 2, 3, 5]
     least = np.array([sorted(score)[-2]])
-    early = RS._visit(b, who, term, weight, 1, None, 1)
-    late = RS._visit(b, who, term, weight, 1, least, 1)
+    early = RS._visit(b, who, term, weight, 1, np.ones(1), 1, False)
+    late = RS._visit(b, who, term, weight, 1, least, 1, True)
     both = dict(zip(early[1].tolist(), early[2])) | dict(zip(late[1].tolist(), late[2]))
     assert {p for p, s in zip(place.tolist(), score) if s >= least[0]} <= set(both)
     assert not set(early[1].tolist()) & set(late[1].tolist())
