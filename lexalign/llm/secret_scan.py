@@ -162,6 +162,7 @@ def findings(v: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RULES) ->
     hits = open_ledger(spark, ledger_path).select("blob", F.explode("found").alias("f")).withColumn("r", rank[F.col("f.rule")])
     spans = hits.where("r is not null").groupBy("blob").agg(F.array_sort(F.collect_set(
         F.struct("f.start", "r.rank", "f.end", "r.kind"))).alias("spans"))
+    spans = Scratch(spark, "secrets").save(spans, "spans")  # a table: a blob of many paths can be split over tasks in the join
     return v.drop("text").join(spans, "blob", "left").withColumn("spans", F.coalesce("spans", F.array().cast(SPANS)))
 
 
