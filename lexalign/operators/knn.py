@@ -203,7 +203,7 @@ class _Grid:
         self.t = _pack(t, self.keys, "nb_t", counts).checkpoint()
         self.types = _arrow_types(s, self.keys)
         self.key_schema = ", ".join(f"`{k}` {s.schema[k].dataType.simpleString()}" for k in self.keys)
-        self.id_type = s.schema["id"].dataType.simpleString()
+        self.id_type, self.other_type = (x.schema["id"].dataType.simpleString() for x in (s, t))
 
     def means(self, knn: int) -> DataFrame:
         """``keys, side, blk, pos, r``: mean of the ``knn`` largest cosines of every vector."""
@@ -221,7 +221,7 @@ class _Grid:
                 F.transform(F.sort_array(F.collect_list(F.struct("pos", "r"))), lambda x: x["r"]).alias("t_r"))
             t, extra = t.join(packed, self.keys + ["blk"]), ("t_r",)
         schema = (f"{self.key_schema}, side string, blk long, pos int, id {self.id_type}, "
-                  f"best array<struct<neg: double, id: {self.id_type}, cos: double, part: double>>")
+                  f"best array<struct<neg: double, id: {self.other_type}, cos: double, part: double>>")
         part = _block_pairs(self.s, t, self.keys, extra).mapInArrow(_score_fn(self.keys, k, self.types, both), schema)
         merged = F.slice(F.sort_array(F.flatten(F.collect_list("best"))), 1, k)
         return part.groupBy(*self.keys, "side", "blk", "pos").agg(F.first("id").alias("id"), merged.alias("best"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lexalign.operators.evaluate import apply_filter, evaluate, gold_last_wins
 from lexalign.operators.knn import DEFAULT_CSLS_KNN, mine, neighbourhood_means
+from lexalign.operators.knn_index import mine_indexed, recall
 from lexalign.operators.sweep import (KEYS, best_predictions, best_threshold, leaderboard, sweep,
                                       transfer_predictions, transfer_summary)
 from lexalign.sources.fixtures import MODELS, PAIRS, bilingual_fixture
@@ -53,6 +54,22 @@ def cosine_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(*KEYS, "src_id", "tgt_id", F.col("rank").cast("bigint").alias("rank"), _r("cos"))
 
 
+def _indexed(spark, sf_dir):
+    src, tgt, _ = bilingual_fixture(spark, sf_dir)
+    return mine_indexed(src, tgt, KEYS, k=K)
+
+
+def knn_index_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J5 through the vector index: approximate, so SQL has no statement of it (``knn_index_recall`` measures it)."""
+    return _indexed(spark, sf_dir).select(*KEYS, "src_id", "tgt_id", F.col("rank").cast("bigint").alias("rank"), _r("cos"))
+
+
+def knn_index_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of the exact neighbours that the index finds, per group."""
+    exact, _ = _cands(spark, sf_dir, "cosine")
+    return recall(_indexed(spark, sf_dir), exact, KEYS)
+
+
 def csls_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, tgt, _ = bilingual_fixture(spark, sf_dir)
     r_src, r_tgt = neighbourhood_means(src, tgt, KEYS, DEFAULT_CSLS_KNN)

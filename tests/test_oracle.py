@@ -10,6 +10,11 @@ from conftest import SF_SMALL
 
 TABLES = ["embeddings", "documents"]
 
+#: queries that SQL cannot express; their own tests hold them against brute force
+NO_SQL = {"knn_index_topk", "knn_index_recall"}
+#: the optional training-data operators are tested beside them
+OWN = sorted(n for n in E.oracle_sql() if not (n.startswith("op") and n[2:3].isdigit()) and n != "pipeline")
+
 
 def _norm(v):
     if isinstance(v, float):
@@ -34,7 +39,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", OWN)
 def test_query_matches_oracle(spark, con, name):
     got = _rows(E.queries()[name](spark, SF_SMALL).toPandas())
     want = _rows(con.execute(E.oracle_sql()[name]).df())
@@ -44,7 +49,9 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    ours = {n for n in E.queries() if not (n.startswith("op") and n[2:3].isdigit()) and n != "pipeline"}
+    assert ours == set(OWN) | NO_SQL
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry_smoke(spark):
@@ -56,7 +63,7 @@ _SAME = {("string", "VARCHAR"), ("bigint", "BIGINT"), ("double", "DOUBLE"), ("in
          ("boolean", "BOOLEAN")}
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", OWN)
 def test_query_types_match_oracle(spark, con, name):
     stypes = {f.name: f.dataType.simpleString() for f in E.queries()[name](spark, SF_SMALL).schema.fields}
     rel = con.sql(E.oracle_sql()[name])
