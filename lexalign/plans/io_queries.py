@@ -6,8 +6,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexalign.operators.sweep import SWEEP_COLUMNS
+from lexalign.plans.registered import threshold_sweep, transfer_summary_q
+from lexalign.session import scratch_path
 from lexalign.sources import sinks, text
 from lexalign.sources.fixtures import KEYS, bilingual_fixture, table
+from lexalign.streaming.incremental import pending_units
 
 
 def _lines(df: DataFrame, file: Column, line_no: str, value: Column) -> DataFrame:
@@ -71,3 +75,57 @@ def prediction_lines_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every source row with the next id as its prediction, as text lines."""
     src, _, _ = bilingual_fixture(spark, sf_dir)
     return sinks.prediction_lines(src.select(*KEYS, F.col("sent_id").alias("src_id"), (F.col("sent_id") + 1).alias("tgt_id")), KEYS)
+
+
+def _next_ids(spark, sf_dir, step: int) -> DataFrame:
+    src, _, _ = bilingual_fixture(spark, sf_dir)
+    return src.select(*KEYS, F.col("sent_id").alias("src_id"), (F.col("sent_id") + step).alias("tgt_id"))
+
+
+def unit_predictions_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2 with commits, and S5: predictions of all units, then those of one model again; a later run that was never
+    committed is not seen.  The committed text lines are parsed back."""
+    t = sinks.unit_table(spark, scratch_path(spark, "predictions"), KEYS, text=True)
+    t.write(sinks.prediction_lines(_next_ids(spark, sf_dir, 1), KEYS))
+    t.write(sinks.prediction_lines(_next_ids(spark, sf_dir, 2).where("model = 'm10'"), KEYS))
+    t.stage(sinks.prediction_lines(_next_ids(spark, sf_dir, 3).where("model = 'm15'"), KEYS))
+    folder = F.concat(*[x for k in KEYS for x in (F.lit(f"/{k}="), F.col(k))], F.lit("/part-0"))
+    back = text.parse_pairs(t.read().select(folder.alias("file"), F.lit(0).alias("line_no"), "value"), "prediction")
+    model = F.regexp_extract("file", "model=([^/]+)", 1).alias("model")
+    return back.select("lang_pair", model, "split", F.col("src_id").cast("long").alias("src_id"), F.col("tgt_id").cast("long").alias("tgt_id"))
+
+
+def unit_commits_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The committed units with their row counts and versions: one pair is written after the others, one never."""
+    t = sinks.unit_table(spark, scratch_path(spark, "candidates"), KEYS)
+    rows = _next_ids(spark, sf_dir, 1)
+    t.write(rows.where("lang_pair <> 'oci-es'"))
+    t.write(rows.where("lang_pair = 'hsb-de' and src_id % 2 = 0"))
+    return t.units().select(*KEYS, "n_rows", "version")
+
+
+def pending_listing_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 on real outputs: vectors of two models are written, those of the third without the marker of a finished write."""
+    src, _, _ = bilingual_fixture(spark, sf_dir)
+    root = scratch_path(spark, "outputs")
+    for model, done in (("m05", "true"), ("m10", "false"), ("m15", "true")):
+        out = src.where(F.col("model") == model).drop("model")
+        out.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", done).partitionBy("lang_pair", "split").parquet(f"{root}/{model}")
+    work = src.select(*KEYS).distinct().withColumn("output_path", F.concat_ws("/", F.lit(root), "model"))
+    return pending_units(spark, work, KEYS).select(*KEYS)
+
+
+def sweep_csv_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: the sweep as CSV, read back."""
+    path = scratch_path(spark, "sweep")
+    sinks.write_sweep(threshold_sweep(spark, sf_dir), path)
+    kinds = {c: "string" if c in KEYS else "double" for c in SWEEP_COLUMNS}
+    return spark.read.option("header", True).schema(", ".join(f"{c} {k}" for c, k in kinds.items())).csv(path)
+
+
+def summary_csv_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: the transfer summary as CSV, read back."""
+    path = scratch_path(spark, "summary")
+    rows = transfer_summary_q(spark, sf_dir)
+    sinks.write_summary(rows, path)
+    return spark.read.option("header", True).schema(rows.select(*sinks.SUMMARY_COLUMNS).schema).csv(path)

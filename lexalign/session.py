@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -52,3 +53,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     d = tempfile.mkdtemp(prefix="lexalign-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder name below the shared checkpoint folder; whoever writes there clears it."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/lexalign-{name}-{uuid.uuid4().hex[:12]}"

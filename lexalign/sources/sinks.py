@@ -11,15 +11,20 @@ formats of the reference pipeline are exports.
   written only when there are rows; missing values are blank.
 * ``write_candidates`` (K5): Parquet by group, or ``src<TAB>tgt<TAB>score`` text.
 * ``write_labelled`` (K6): Parquet ``(english, non_english, label)``.
+* K2, K5 and K6 overwrite the key folders they have rows for and leave the others; ``unit_table`` adds commits.
 * ``committed``: only outputs with a ``_SUCCESS`` marker count as done.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lexalign.operators.sweep import SUMMARY_COLUMNS, SWEEP_COLUMNS
+from lexalign.sources.listing import committed_paths
+from lexalign.sources.units import UnitTable
 
 
 def vec_lines(vecs: DataFrame, set_cols, order_col: str, id_col: str = "sent_id", vec_col: str = "vec") -> DataFrame:
@@ -50,16 +55,32 @@ def prediction_lines(preds: DataFrame, keys=("lang_pair", "model", "split")) ->
 
 def write_predictions(preds: DataFrame, path: str, keys=("lang_pair", "model", "split"), mode: str = "overwrite"):
     keys = list(keys)
-    (prediction_lines(preds, keys)
-     .write.mode(mode).partitionBy(*keys).text(path))
+    _by_unit(prediction_lines(preds, keys), keys, mode).text(path)
+
+
+def _by_unit(df: DataFrame, keys, mode: str):
+    """A writer by key folders: overwriting replaces the folders that ``df`` has rows for and leaves the others."""
+    return df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*keys)
 
 
 def _csv(df: DataFrame, path: str, cols, mode: str) -> bool:
-    out = df.select(*cols)
-    if out.isEmpty():
+    """One run of the plan: rows are counted while they are written beside ``path``, which they then become."""
+    spark, count = df.sparkSession, Observation()
+    jvm = spark._jvm
+    target, held = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path.rstrip('/')}.{uuid.uuid4().hex}"))
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if mode not in ("overwrite", "errorifexists", "error"):
+        raise ValueError(f"unknown mode {mode!r}; expected 'overwrite' or 'errorifexists'")
+    if mode != "overwrite" and fs.exists(target):
+        raise FileExistsError(path)
+    out = df.select(*cols).observe(count, F.count(F.lit(1)).alias("n")).coalesce(1)
+    out.write.option("header", True).option("nullValue", "").option("emptyValue", "").csv(held.toString())
+    if not count.get["n"]:
+        fs.delete(held, True)
         return False
-    (out.coalesce(1).write.mode(mode).option("header", True).option("nullValue", "").option("emptyValue", "")
-     .csv(path))
+    fs.delete(target, True)
+    if not fs.rename(held, target):
+        raise OSError(f"could not move {held} to {target}")
     return True
 
 
@@ -78,31 +99,29 @@ def write_candidates(cands: DataFrame, path: str, keys=("lang_pair", "model", "s
                      mode: str = "overwrite") -> None:
     keys = list(keys)
     if fmt == "parquet":
-        cands.write.mode(mode).partitionBy(*keys).parquet(path)
+        _by_unit(cands, keys, mode).parquet(path)
     elif fmt == "tsv":
-        (cands.select(*keys, F.concat_ws("\t", F.col("src_id").cast("string"), F.col("tgt_id").cast("string"),
-                                         F.col("score").cast("string")).alias("value"))
-         .write.mode(mode).partitionBy(*keys).text(path))
+        line = F.concat_ws("\t", *[F.col(c).cast("string") for c in ("src_id", "tgt_id", "score")])
+        _by_unit(cands.select(*keys, line.alias("value")), keys, mode).text(path)
     else:
         raise ValueError(f"unknown candidate format {fmt!r}")
 
 
 def write_labelled(labelled: DataFrame, path: str, mode: str = "overwrite", partition_cols=()) -> None:
     cols = list(partition_cols) + ["english", "non_english", "label"]
-    w = labelled.select(*cols).write.mode(mode)
-    if partition_cols:
-        w = w.partitionBy(*partition_cols)
-    w.parquet(path)
+    out = labelled.select(*cols)
+    (_by_unit(out, partition_cols, mode) if partition_cols else out.write.mode(mode)).parquet(path)
 
 
 def committed(spark, paths) -> list[str]:
-    """Q12: the subset of ``paths`` that hold a ``_SUCCESS`` marker (a finished Spark write)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    out = []
-    for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        fs = hp.getFileSystem(conf)
-        if fs.exists(jvm.org.apache.hadoop.fs.Path(hp, "_SUCCESS")):
-            out.append(p)
-    return out
+    """Q12: the subset of ``paths`` (a list of the caller's) that hold a ``_SUCCESS`` marker, looked up in tasks."""
+    paths = list(paths)
+    if not paths:
+        return []
+    done = {r[0] for r in committed_paths(spark.createDataFrame([(p,) for p in paths], "path string")).collect()}
+    return [p for p in paths if p in done]
+
+
+def unit_table(spark, path: str, keys=("lang_pair", "model", "split"), text: bool = False) -> UnitTable:
+    """Outputs of many runs, unit by unit: each write is committed whole, and re-running a unit replaces that unit."""
+    return UnitTable(spark, path, keys, "text" if text else "parquet")

@@ -6,17 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexalign.operators.catalog import pending
-from lexalign.sources.sinks import committed
+from lexalign.sources.listing import committed_paths
 
 
 def committed_units(spark, work: DataFrame, path_col: str = "output_path") -> DataFrame:
-    """Units of ``work`` whose output path holds a committed Spark write.
-
-    The work list is small (models x pairs x splits x languages); its output paths are
-    checked against the file system on the driver."""
-    paths = [r[path_col] for r in work.select(path_col).distinct().collect()]
-    done = committed(spark, paths)
-    return work.where(F.col(path_col).isin(done))
+    """Units of ``work`` whose output path holds a committed Spark write.  Tasks look the paths up; a join brings the answer back."""
+    done = committed_paths(work.select(F.col(path_col).alias("path")))
+    return work.join(done.withColumnRenamed("path", path_col), path_col, "left_semi").select(*work.columns)
 
 
 def pending_units(spark, work: DataFrame, keys, path_col: str = "output_path") -> DataFrame:

@@ -1,6 +1,7 @@
 """DuckDB statements of the line-level reader and writer queries."""
 
 from oracle.mining_sql import FIXTURE
+from oracle.mining_sql import ORACLE as MINING
 
 ORACLE = {
     "parse_sentences": """
@@ -31,4 +32,18 @@ SELECT lang_pair, model, split, -1 AS line, count(*)::VARCHAR || ' ' || max(len(
     "prediction_lines": f"""
 WITH {FIXTURE.strip()}
 SELECT lang_pair, model, split, sent_id::VARCHAR || chr(9) || (sent_id + 1)::VARCHAR AS value FROM src""",
+    "unit_predictions": f"""
+WITH {FIXTURE.strip()}
+SELECT lang_pair, model, split, sent_id AS src_id, sent_id + CASE model WHEN 'm10' THEN 2 ELSE 1 END AS tgt_id FROM src""",
+    "unit_commits": f"""
+WITH {FIXTURE.strip()},
+even AS (SELECT lang_pair, model, split, count(*) AS n FROM src WHERE lang_pair = 'hsb-de' AND sent_id % 2 = 0 GROUP BY ALL)
+SELECT lang_pair, model, split, coalesce(any_value(n), count(*))::BIGINT AS n_rows,
+       (CASE WHEN any_value(n) IS NULL THEN 1 ELSE 2 END)::BIGINT AS version
+FROM src LEFT JOIN even USING (lang_pair, model, split) WHERE lang_pair <> 'oci-es' GROUP BY lang_pair, model, split""",
+    "pending_listing": f"""
+WITH {FIXTURE.strip()}
+SELECT DISTINCT lang_pair, model, split FROM src WHERE model = 'm10'""",
+    "sweep_csv": f"SELECT lang_pair, model, split, threshold, precision, recall, f1 FROM ({MINING['threshold_sweep']})",
+    "summary_csv": f"SELECT * EXCLUDE (at_grid_edge) FROM ({MINING['transfer_summary']})",
 }

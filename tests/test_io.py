@@ -154,3 +154,57 @@ def test_corpus_catalog_from_tree(spark, tmpdir_path):
         _write(f"{root}/{f}", "a\tb\n")
     cat = {r.pair: r.splits for r in corpus_catalog(spark, root).collect()}
     assert cat == {"hsb-de": ["test", "train"]}
+
+
+def test_writing_one_pair_leaves_the_others(spark, tmpdir_path):
+    def rows(pair):
+        return spark.createDataFrame([(pair, "m", "s", "a", "x", 0.5)], "lang_pair string, model string, split string, src_id string, tgt_id string, score double")
+
+    for write, read in ((sinks.write_predictions, spark.read.text), (sinks.write_candidates, spark.read.parquet),
+                        (lambda c, p: sinks.write_candidates(c, p, fmt="tsv"), spark.read.text),
+                        (lambda c, p: sinks.write_labelled(c.select("lang_pair", F.col("src_id").alias("english"), F.col("tgt_id").alias("non_english"),
+                                                                    F.array("score").alias("label")), p, partition_cols=["lang_pair"]), spark.read.parquet)):
+        path = f"{tmpdir_path}/{id(write)}{id(read)}{len(os.listdir(tmpdir_path))}"
+        write(rows("a-b"), path)
+        write(rows("c-d"), path)
+        write(rows("c-d"), path)
+        assert sorted(r.lang_pair for r in read(path).collect()) == ["a-b", "c-d"]
+
+
+def test_sweep_is_computed_once(spark, tmpdir_path):
+    from lexalign.operators.sweep import SWEEP_COLUMNS
+
+    ran = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            ran.add(b.num_rows)
+            yield b
+
+    types = ", ".join(f"{c} {'string' if c in ('lang_pair', 'model', 'split') else 'double'}" for c in SWEEP_COLUMNS)
+    sw = spark.createDataFrame([("p", "m", "train", 0.1, 1.0, 0.5, 0.6)] * 3, types).mapInArrow(count, types)
+    assert sinks.write_sweep(sw, f"{tmpdir_path}/sweep") and ran.value == 3
+    assert sinks.write_sweep(sw, f"{tmpdir_path}/sweep")  # again, over the first
+    assert spark.read.option("header", True).csv(f"{tmpdir_path}/sweep").count() == 3
+    with pytest.raises(FileExistsError):
+        sinks.write_sweep(sw, f"{tmpdir_path}/sweep", mode="errorifexists")
+    assert sorted(os.listdir(tmpdir_path)) == ["sweep"]
+
+
+def test_listing_and_pending_units(spark, tmpdir_path):
+    from lexalign.sources import listing
+    from lexalign.streaming.incremental import committed_units, pending_units
+
+    spark.range(3).write.parquet(f"{tmpdir_path}/o/a/done")
+    os.makedirs(f"{tmpdir_path}/o/b/part done")
+    open(f"{tmpdir_path}/o/b/part done/part-0", "w").write("xyz")
+    two = {(r.name, r.is_dir) for r in listing.tree(spark, f"{tmpdir_path}/o", 2).collect()}
+    assert two == {("done", True), ("part done", True)}
+    three = {r.name: r.size for r in listing.tree(spark, f"file:{tmpdir_path}/o/", 3).collect()}
+    assert three["part-0"] == 3 and "_SUCCESS" in three
+    assert listing.tree(spark, f"{tmpdir_path}/none", 1).count() == 0
+    paths = ["a/done", "b/part done", "c/none", "a/done"]
+    work = spark.createDataFrame([(i, f"{tmpdir_path}/o/{p}") for i, p in enumerate(paths)] + [(9, None)], "unit int, output_path string")
+    assert sorted(r.unit for r in committed_units(spark, work).collect()) == [0, 3]
+    assert sorted(r.unit for r in pending_units(spark, work, ["unit"]).collect()) == [1, 2, 9]
+    assert sinks.committed(spark, []) == []
