@@ -89,31 +89,38 @@ def encode(df: DataFrame, text_col: str, encoder_factory: Callable, dim: int, ou
             setattr(store, key, encoder_factory())
         enc = getattr(store, key)
         for pdf in batches:
-            vecs = []
             if lang_col is None:
-                groups = [(None, pdf.index)]
-            else:
-                groups = list(pdf.groupby(lang_col, sort=False, dropna=False).groups.items())
+                groups = [(None, np.arange(len(pdf)))]
+            else:  # by place; rows without a code are encoded with None
+                codes, names = pd.factorize(pdf[lang_col])
+                groups = [(None if c < 0 else names[c], np.flatnonzero(codes == c)) for c in np.unique(codes)]
             out = [None] * len(pdf)
-            pos = {ix: k for k, ix in enumerate(pdf.index)}
-            for lang, ix in groups:
-                texts = pdf.loc[ix, text_col].tolist()
-                for s in range(0, len(texts), batch_size):
-                    m = np.asarray(enc(texts[s:s + batch_size], lang), dtype=kind)
+            texts = pdf[text_col].tolist()
+            for lang, at in groups:
+                for s in range(0, len(at), batch_size):
+                    part = at[s:s + batch_size]
+                    m = np.asarray(enc([texts[p] for p in part], lang), dtype=kind)
                     if m.ndim != 2 or m.shape[1] != dim:
                         raise ValueError(f"encoder returned shape {m.shape}, expected (*, {dim})")
-                    for r, ixv in enumerate(ix[s:s + batch_size]):
-                        out[pos[ixv]] = m[r].tolist()
-            vecs = out
-            yield pdf.assign(**{out_col: vecs})
+                    for r, p in enumerate(part):
+                        out[p] = m[r].tolist()
+            yield pdf.assign(**{out_col: out})
 
     return df.mapInPandas(run, out_schema)
 
 
-def check_dims(vecs: DataFrame, dims: DataFrame, vec_col: str = "vec", model_col: str = "model") -> DataFrame:
-    """Flags rows whose vector length differs from the registry dimension of their model."""
-    return vecs.join(dims, model_col, "left").withColumn(
+def check_dims(vecs: DataFrame, dims: DataFrame, vec_col: str = "vec", model_col: str = "model", on_bad: str = "flag") -> DataFrame:
+    """Flags rows whose vector length differs from the registry dimension of their model, or with ``on_bad='fail'``
+    fails on the first such row."""
+    if on_bad not in ("flag", "fail"):
+        raise ValueError(f"unknown on_bad {on_bad!r}; expected 'flag' or 'fail'")
+    out = vecs.join(dims, model_col, "left").withColumn(
         "dim_ok", F.coalesce(F.size(vec_col) == F.col("dim"), F.lit(False)))
+    if on_bad == "flag":
+        return out
+    told = F.concat(F.lit("vector of "), F.coalesce(F.size(vec_col).cast("string"), F.lit("no")), F.lit(" elements, but model "),
+                    F.coalesce(F.col(model_col).cast("string"), F.lit("null")), F.lit(" has "), F.coalesce(F.col("dim").cast("string"), F.lit("no dimension")))
+    return out.where(F.when(F.col("dim_ok"), F.lit(True)).otherwise(F.raise_error(told)))
 
 
 def vec_header(vecs: DataFrame, keys, vec_col: str = "vec") -> DataFrame:

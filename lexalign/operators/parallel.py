@@ -32,13 +32,16 @@ def _doc_lines(docs: DataFrame, text_col: str, drop_blank: bool) -> Column:
     return F.filter(stripped, lambda x: x != "") if drop_blank else stripped
 
 
-def with_ordinal(units: DataFrame, part_cols, order_col: str, count_col: str, out_col: str = "offset") -> DataFrame:
+def with_ordinal(units: DataFrame, part_cols, order_col: str, count_col: str, out_col: str = "offset", tie: str | None = None) -> DataFrame:
     """W7 core: exclusive prefix sum of ``count_col`` in ``order_col`` order within ``part_cols``.
 
     ``order_col`` holds integers that were handed out in order (line numbers, document ids).  Units fall into runs of
     ``RUN`` numbers and runs into runs of runs; each level's prefix sums come from a window over one run, so no window
     holds more than ``RUN`` rows below the last level, and that one has a row per ``RUN * RUN`` numbers.  The plan is
     lazy: no quantiles, no collect.
+
+    Rows without an order key come last, as runs of their own (dealt by ``tie``).  Rows that repeat a key follow each other
+    by ``tie`` (a column that tells them apart); without one their order is not fixed.
     """
     part_cols = list(part_cols)
 
@@ -49,15 +52,22 @@ def with_ordinal(units: DataFrame, part_cols, order_col: str, count_col: str, ou
     def run(col, size):
         return F.floor(F.col(col).cast("long") / F.lit(size))
 
-    b = units.withColumn("_r1", run(order_col, RUN))
+    if tie is not None:
+        units = units.withColumn("_tie", F.xxhash64(tie)).withColumn("_more", F.col(tie))
+    # null keys take runs above all others; a hash of the tie deals them out
+    top = F.lit((1 << 52) // RUN)
+    spare = top + (F.pmod(F.col("_tie"), F.lit(RUN)) if tie is not None else F.lit(0))
+    b = units.withColumn("_r1", F.coalesce(run(order_col, RUN), spare))
     t1 = b.groupBy(*part_cols, "_r1").agg(F.sum(count_col).alias("_t1")).withColumn("_r2", run("_r1", RUN))
     t2 = t1.groupBy(*part_cols, "_r2").agg(F.sum("_t1").alias("_t2"))
     t2 = t2.withColumn("_o2", before(part_cols, "_r2", "_t2")).drop("_t2")
     t1 = t1.withColumn("_o1", before([*part_cols, "_r2"], "_r1", "_t1")).drop("_t1")
     offsets = t1.join(t2, part_cols + ["_r2"]).select(*part_cols, "_r1", (F.col("_o1") + F.col("_o2")).alias("_before"))
-    inner = b.withColumn("_own", before([*part_cols, "_r1"], order_col, count_col))
+    own = [F.col(order_col)] + ([F.col("_tie"), F.col("_more")] if tie is not None else [])
+    w = Window.partitionBy(*part_cols, "_r1").orderBy(*own).rowsBetween(Window.unboundedPreceding, -1)
+    inner = b.withColumn("_own", F.coalesce(F.sum(count_col).over(w), F.lit(0)))
     return (inner.join(offsets, part_cols + ["_r1"]).withColumn(out_col, (F.col("_before") + F.col("_own")).cast("long"))
-            .drop("_r1", "_before", "_own"))
+            .drop("_r1", "_before", "_own", "_tie", "_more"))
 
 
 def numbered_lines(docs: DataFrame, side_col: str = "lang", doc_col: str = "doc_id", text_col: str = "text",
@@ -68,7 +78,7 @@ def numbered_lines(docs: DataFrame, side_col: str = "lang", doc_col: str = "doc_
     per_doc = docs.select(F.col(side_col).alias("side"), F.col(doc_col).alias("doc"),
                           _doc_lines(docs, text_col, drop_blank).alias("lines"))
     per_doc = per_doc.withColumn("n", F.size("lines").cast("long"))
-    off = with_ordinal(per_doc, ["side"], "doc", "n")
+    off = with_ordinal(per_doc, ["side"], "doc", "n", tie="lines")
     pos_line = F.transform("lines", lambda x, i: F.struct(i.alias("pos"), x.alias("line")))
     return (off.select("side", "offset", F.inline(pos_line))
             .select("side", (F.col("offset") + F.col("pos")).alias("ord"), "line"))

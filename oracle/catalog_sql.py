@@ -67,6 +67,15 @@ status AS (
   LEFT JOIN done d USING (model, lang_pair, split, lang))
 """
 
+# a model with a language map fails on a language that the map lacks
+RUN = STATUS.replace("WITH", "WITH " + _map_values() + ",", 1) + """,
+sizes AS (SELECT lang_pair, split, lang, count(*) AS n FROM sents GROUP BY ALL),
+run AS (
+  SELECT s.*, n, CASE WHEN s.status = 'ran' AND s.model IN (SELECT model FROM lmap)
+                   AND NOT EXISTS (SELECT 1 FROM lmap m WHERE m.model = s.model AND m.lang = s.lang) THEN 'failed' ELSE s.status END AS after
+  FROM status s LEFT JOIN sizes USING (lang_pair, split, lang))
+"""
+
 ORACLE = {
     "corpus_catalog": _with(SENT) + "\nSELECT pair, array_to_string(splits, ',') AS splits FROM catalog",
     "select_pairs": _with(SENT) + """
@@ -78,5 +87,13 @@ WHERE r.pair NOT IN (SELECT pair FROM catalog)""",
     "proxy_report": CODES + "SELECT DISTINCT model, lang, code, note FROM codes WHERE is_proxy",
     "work_list": STATUS + "SELECT stage, model, lang_pair, split, lang FROM work",
     "pending_work": STATUS + "SELECT stage, model, lang_pair, split, lang FROM status WHERE status = 'ran'",
-    "run_report": STATUS + "SELECT stage, status, count(*) AS units FROM status GROUP BY ALL",
+    "run_report": RUN + """
+SELECT stage, after AS status, count(*) AS units FROM run GROUP BY ALL
+UNION ALL
+SELECT 'embed' AS stage, 'skipped' AS status, count(*) AS units
+FROM cfg CROSS JOIN (VALUES ('test'), ('train')) s(split) CROSS JOIN (VALUES ('cs'), ('de')) l(lang)""",
+    "failed_units": RUN + """
+SELECT model, lang_pair, split, lang, after AS status, CASE after WHEN 'failed' THEN 'ValueError: no language code for ' || lang END AS error,
+       CASE after WHEN 'ran' THEN n END AS n_rows
+FROM run WHERE status = 'ran'""",
 }
