@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexalign.functions.vectors import as_double
+from lexalign.operators import cg
 from lexalign.operators.distill import (combined_score, gram_statistics, label_with_teacher, mse_eval,
                                         training_rows, translation_accuracy)
 from lexalign.operators.encode import (check_dims, empty_sentences, encode, hashed_ngram_udf, long_form, mean_pool,
@@ -18,6 +19,7 @@ from lexalign.operators.catalog import model_registry
 from lexalign.operators.parallel import train_eval_split
 from lexalign.operators.util import for_heavy_rows
 from lexalign.plans.parallel_queries import parallel_zip
+from lexalign.session import checkpoint_dir, scratch_path
 from lexalign.sources.fixtures import KEYS, MODELS, SHIFT, bilingual_fixture, table
 
 FIXTURE_DIM = 64
@@ -157,3 +159,34 @@ def linear_student_gram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (g.select("i", F.posexplode(F.arrays_zip("xtx", "xty")).alias("j", "v"))
             .select(F.col("i").cast("bigint").alias("i"), F.col("j").cast("bigint").alias("j"),
                     F.round("v.xtx", 6).alias("xtx"), F.round("v.xty", 6).alias("xty")))
+
+
+#: the pair that stage 2 is trained on; stage 1 takes all others
+STAGE2_PAIR = "fr-de"
+STUDENT_BLOCK = 32
+
+
+def student_two_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X5 by conjugate gradients: stage 1, stage 2 shrunk towards it, stage 2 with the stored stage 1, and stage 2 alone.
+
+    Returns ``X'Y`` of every system and whether ``(X'X + I) W - P`` equals it within 1e-6: the normal equations."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    checkpoint_dir(spark)
+    by_pair = gram_statistics(student_training_rows(spark, sf_dir), "x", "label", ["pair"]).checkpoint()
+    sums = [Summarizer.sum(array_to_vector(c)).alias(c) for c in ("xtx", "xty")]
+    system = F.when(F.col("pair") == STAGE2_PAIR, "single").otherwise("stage1").alias("system")
+    gram = by_pair.groupBy(system, "i").agg(*sums).select("system", "i", vector_to_array("xtx").alias("xtx"), vector_to_array("xty").alias("xty"))
+    gram = gram.checkpoint()
+    first = cg.solve(gram, block=STUDENT_BLOCK, tol=1e-11)
+    path = scratch_path(spark, "student")
+    first.where("system = 'stage1'").write.parquet(path)
+    stored = spark.read.parquet(path).select("i", "w")
+    kinds = F.explode(F.array(F.lit("two-stage"), F.lit("reused"))).alias("system")
+    prior = first.where("system = 'stage1'").select(F.lit("two-stage").alias("system"), "i", "w").unionByName(
+        stored.select(F.lit("reused").alias("system"), "i", "w"))
+    gram2 = gram.where("system = 'single'").select(kinds, "i", "xtx", "xty")
+    second = cg.solve(gram2, prior=prior, block=STUDENT_BLOCK, tol=1e-11)
+    sides = cg.normal_sides(gram, first, block=STUDENT_BLOCK).unionByName(cg.normal_sides(gram2, second, prior=prior, block=STUDENT_BLOCK))
+    return sides.select("system", "i", "j", F.round("xty", 6).alias("xty"), (F.abs(F.col("left") - F.col("xty")) < 1e-6).alias("solved"))

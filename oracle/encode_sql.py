@@ -115,4 +115,14 @@ xty AS (
 ij AS (SELECT i.range AS i, j.range AS j FROM range(64) i CROSS JOIN range(64) j)
 SELECT ij.i, ij.j, round(coalesce(xtx, 0.0), 6) AS xtx, round(coalesce(xty, 0.0), 6) AS xty
 FROM ij LEFT JOIN xtx USING (i, j) LEFT JOIN xty USING (i, j)""",
+    "student_two_stage": "WITH " + GRAM + """
+, xty AS (
+  SELECT split_part(a.rid, ':', 1) AS pair, a.dim_idx AS i, y.dim_idx AS j, sum(a.value * y.value) AS xty
+  FROM xr a JOIN ys y ON y.lid = a.lid GROUP BY ALL),
+systems(system, last) AS (VALUES ('stage1', FALSE), ('single', TRUE), ('two-stage', TRUE), ('reused', TRUE)),
+ij AS (SELECT i.range AS i, j.range AS j FROM range(64) i CROSS JOIN range(64) j),
+sums AS (SELECT pair = 'fr-de' AS last, i, j, sum(xty) AS xty FROM xty GROUP BY ALL)
+SELECT system, ij.i, ij.j, round(coalesce(xty, 0.0), 6) AS xty, TRUE AS solved
+FROM systems CROSS JOIN ij LEFT JOIN sums ON sums.last = systems.last AND sums.i = ij.i AND sums.j = ij.j
+WHERE systems.last IN (SELECT last FROM sums)""",
 }
