@@ -49,6 +49,13 @@ def with_ordinal(units: DataFrame, part_cols, order_col: str, count_col: str, ou
         w = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         return F.coalesce(F.sum(value).over(w), F.lit(0))
 
+    def meet(left, right, on):
+        """Equi-join that takes a null key for a key."""
+        names = {c: f"_k{i}" for i, c in enumerate(on)}
+        right = right.withColumnsRenamed(names)
+        same = [F.col(c).eqNullSafe(F.col(k)) for c, k in names.items()]
+        return left.join(right, same).drop(*names.values())
+
     def run(col, size):
         return F.floor(F.col(col).cast("long") / F.lit(size))
 
@@ -62,11 +69,11 @@ def with_ordinal(units: DataFrame, part_cols, order_col: str, count_col: str, ou
     t2 = t1.groupBy(*part_cols, "_r2").agg(F.sum("_t1").alias("_t2"))
     t2 = t2.withColumn("_o2", before(part_cols, "_r2", "_t2")).drop("_t2")
     t1 = t1.withColumn("_o1", before([*part_cols, "_r2"], "_r1", "_t1")).drop("_t1")
-    offsets = t1.join(t2, part_cols + ["_r2"]).select(*part_cols, "_r1", (F.col("_o1") + F.col("_o2")).alias("_before"))
+    offsets = meet(t1, t2, part_cols + ["_r2"]).select(*part_cols, "_r1", (F.col("_o1") + F.col("_o2")).alias("_before"))
     own = [F.col(order_col)] + ([F.col("_tie"), F.col("_more")] if tie is not None else [])
     w = Window.partitionBy(*part_cols, "_r1").orderBy(*own).rowsBetween(Window.unboundedPreceding, -1)
     inner = b.withColumn("_own", F.coalesce(F.sum(count_col).over(w), F.lit(0)))
-    return (inner.join(offsets, part_cols + ["_r1"]).withColumn(out_col, (F.col("_before") + F.col("_own")).cast("long"))
+    return (meet(inner, offsets, part_cols + ["_r1"]).withColumn(out_col, (F.col("_before") + F.col("_own")).cast("long"))
             .drop("_r1", "_before", "_own", "_tie", "_more"))
 
 

@@ -21,6 +21,7 @@ from lexalign.operators.util import for_heavy_rows
 from lexalign.plans.parallel_queries import parallel_zip
 from lexalign.session import checkpoint_dir, scratch_path
 from lexalign.sources.fixtures import KEYS, MODELS, SHIFT, bilingual_fixture, table
+from lexalign.streaming.resume import encode_ranges, encoded
 
 FIXTURE_DIM = 64
 
@@ -56,6 +57,16 @@ def encode_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return long_form(encode(docs, "text", _ngram_factory, FIXTURE_DIM, element="double"), ["doc_id"], nonzero=True)
 
 
+def encode_resumed_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1 with the flush interval: the run stops after two waves and goes on; rows as of one run."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    root = scratch_path(spark, "encode")
+    flush = max(1, (docs.agg(F.max("doc_id")).first()[0] or 0) // 20)  # about twenty ranges, whatever the table's size
+    ask = dict(order_col="doc_id", text_col="text", encoder_factory=_ngram_factory, dim=FIXTURE_DIM, flush=flush, ranges=5, element="double")
+    encode_ranges(docs, root, stop_after=2, **ask)
+    return long_form(encoded(encode_ranges(docs, root, **ask)), ["doc_id"], nonzero=True)
+
+
 def encode_lang_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with a language code per row."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")

@@ -11,6 +11,8 @@ from lexalign.plans.registered import threshold_sweep, transfer_summary_q
 from lexalign.session import scratch_path
 from lexalign.sources import sinks, text
 from lexalign.sources.fixtures import KEYS, bilingual_fixture, table
+from lexalign.sources.quarantine import divert
+from lexalign.sources.vec_file import write_vec_files
 from lexalign.streaming.incremental import pending_units
 
 
@@ -18,7 +20,7 @@ def _lines(df: DataFrame, file: Column, line_no: str, value: Column) -> DataFram
     return df.select(file.alias("file"), F.col(line_no).alias("line_no"), value.alias("value"))
 
 
-def parse_sentences_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _sentence_lines(spark, sf_dir) -> DataFrame:
     """One line per document: line 3 of ten lacks its text, line 7 has a field too many."""
     d = table(spark, sf_dir, "documents")
     ident = F.col("doc_id").cast("string")
@@ -27,7 +29,30 @@ def parse_sentences_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = F.when(rest == 3, ident).when(rest == 7, F.concat_ws("\t", ident, F.lit("word"), F.lit("extra"))).otherwise(
         F.concat_ws("\t", ident, body))
     file = F.concat(F.lit("/c/oci-es/oci-es.train."), F.col("lang"))
-    return text.parse_sentences(_lines(d, file, "doc_id", value), on_bad="quarantine")
+    return _lines(d, file, "doc_id", value)
+
+
+def parse_sentences_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text.parse_sentences(_sentence_lines(spark, sf_dir), on_bad="quarantine")
+
+
+def quarantine_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both outputs of the diverted sentence lines by language, beside the counts observed in the one scan."""
+    d = divert(text.parse_sentences(_sentence_lines(spark, sf_dir), on_bad="quarantine"), scratch_path(spark, "quarantine"))
+    rows = [x.groupBy("lang").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.length("text")).alias("n_chars")).select(
+        F.lit(kind).alias("kind"), "lang", "n_rows", "n_chars", F.lit(n).cast("long").alias("observed"))
+        for kind, x, n in (("good", d.good, d.n_good), ("bad", d.bad, d.n_bad))]
+    return rows[0].unionByName(rows[1])
+
+
+def vec_file_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 as one file per set, read back line by line."""
+    src, _, _ = bilingual_fixture(spark, sf_dir)
+    root = scratch_path(spark, "vec")
+    write_vec_files(src, root, KEYS, "sent_id")
+    lines = text.read_lines(spark, root)
+    name = F.split(F.element_at(F.split("file", "/"), -1), r"\.")
+    return lines.select(*[name[i].alias(k) for i, k in enumerate(KEYS)], F.col("line_no").alias("line"), "value")
 
 
 def _ids(spark, sf_dir):

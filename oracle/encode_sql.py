@@ -73,6 +73,8 @@ ORACLE = {
     "hashed_ngram_encode": _with(hashed("documents", "doc_id", "text", "h")) + """
 SELECT doc_id, dim_idx, round(value, 6) AS value FROM h""",
     "encode": _with(hashed("documents", "doc_id", "text", "h")) + """
+SELECT doc_id, dim_idx, round(value, 6) AS value FROM h""",
+    "encode_resumed": _with(hashed("documents", "doc_id", "text", "h")) + """
 SELECT doc_id, dim_idx, round(value, 6) AS value FROM h""",
     "encode_lang": _with(hashed("(SELECT doc_id, lang || ':' || text AS text FROM documents)", "doc_id", "text", "h")) + """
 SELECT h.doc_id, d.lang, dim_idx, round(value, 6) AS value FROM h JOIN documents d USING (doc_id)""",

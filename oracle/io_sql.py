@@ -46,4 +46,16 @@ WITH {FIXTURE.strip()}
 SELECT DISTINCT lang_pair, model, split FROM src WHERE model = 'm10'""",
     "sweep_csv": f"SELECT lang_pair, model, split, threshold, precision, recall, f1 FROM ({MINING['threshold_sweep']})",
     "summary_csv": f"SELECT * EXCLUDE (at_grid_edge) FROM ({MINING['transfer_summary']})",
+    "quarantine": """
+WITH l AS (SELECT lang, doc_id % 10 IN (3, 7) AS bad, CASE doc_id % 10 WHEN 3 THEN NULL WHEN 7 THEN 4
+    ELSE length(text) END AS n FROM documents)
+SELECT CASE WHEN bad THEN 'bad' ELSE 'good' END AS kind, lang, count(*) AS n_rows, sum(n)::BIGINT AS n_chars,
+       (SELECT count(*) FROM l m WHERE m.bad = l.bad) AS observed
+FROM l GROUP BY bad, lang""",
+    "vec_file": f"""
+WITH {FIXTURE.strip()}
+SELECT lang_pair, model, split, row_number() OVER (PARTITION BY lang_pair, model, split ORDER BY sent_id) AS line,
+       sent_id::VARCHAR || ' ' || array_to_string(list_transform(vec, lambda x: printf('%.6f', x)), ' ') AS value FROM src
+UNION ALL
+SELECT lang_pair, model, split, 0 AS line, count(*)::VARCHAR || ' ' || max(len(vec))::VARCHAR AS value FROM src GROUP BY ALL""",
 }
