@@ -230,6 +230,10 @@ def _doc_rows(key: np.ndarray, part: int, tokens: np.ndarray, sums: _Sums, doc:
     return pa.RecordBatch.from_arrays(cols + [pa.nulls(m, t) for t in types], _DOC_NAMES + _CTX_NAMES)
 
 
+#: texts of a batch that are looked at together, however wide the batch is
+AT_ONCE = 16_000
+
+
 def _deal(batches: Iterator[pa.RecordBatch], model: Model, parts: int) -> Iterator[pa.RecordBatch]:
     """Deals tokens to partitions; part -1 rows carry the scores of hot pairs and the token numbers."""
     hot = model.hot_pairs
@@ -276,7 +280,7 @@ def _deal(batches: Iterator[pa.RecordBatch], model: Model, parts: int) -> Iterat
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()),
                                           pa.array([r[2] for r in rows], pa.binary())], ["part", "place", "blob"])
 
-    for b in batches:
+    for b in (b.slice(k, AT_ONCE) for b in batches for k in range(0, b.num_rows, AT_ONCE)):
         keys, outs = b.column("key").to_numpy(), b.column("held").to_numpy(zero_copy_only=False)
         for s in W.slices(b.column("text")):
             h, bounds = _tokens(s)
@@ -284,7 +288,7 @@ def _deal(batches: Iterator[pa.RecordBatch], model: Model, parts: int) -> Iterat
             held.append((keys[s.first : s.first + len(s)], outs[s.first : s.first + len(s)], doc, h,
                          _history(h, bounds, model.index).astype(np.int32), np.concatenate([h[:1], h[:-1]])))
             size, docs = size + len(h), docs + len(s)
-            if size >= FLUSH or docs >= 50_000:
+            if size >= FLUSH or docs >= (1 << 16) - AT_ONCE:  # documents have 16-bit numbers
                 yield from flush()
                 held, size, docs = [], 0, 0
     if held:

@@ -107,6 +107,26 @@ def test_katz_counts_every_history(spark, monkeypatch, listed):
     assert KZ.score(frame(spark, []), KZ.held_out(F.col("doc_id"), 7, 2), every=True).count() == 0
 
 
+def test_katz_deals_wide_batches(spark):
+    """More texts in a batch than document numbers have values."""
+    n = 70_000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id") % 97, F.lit(" v"), F.col("id") % 89).alias("text"))
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.shuffle.partitions")}
+
+    def scores():
+        return {r.doc_id: round(r.score, 9) for r in KZ.score(docs.coalesce(1), KZ.held_out(F.col("doc_id"), 7, 2), every=True).collect()}
+
+    want = scores()
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "200000")
+        spark.conf.set("spark.sql.shuffle.partitions", "1")
+        got = scores()
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    assert len(want) == n and got == want
+
+
 def test_clause_patterns():
     insult, target, no, said = TX.INSULT, TX.TARGET, TX.NEGATION, TX.REPORT
     assert TX.clause_patterns([insult]) == [0]
