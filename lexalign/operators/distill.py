@@ -17,13 +17,27 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexalign.functions.vectors import as_double, let, sq_dist
 from lexalign.operators.knn import nearest_both
 
 
+#: fixed value: the student whose name a run label leaves out
+DEFAULT_STUDENT = "cis-lmu/glot500-base"
+
+
+def run_label(mode, stage1_max, stage1_epochs, stage2_epochs, target_lang, student) -> Column:
+    """The name of a run from its parameters (columns): mode, stage 1 size and epochs (two-stage only), stage 2 epochs,
+    target language, and the student unless it is the default one (or null)."""
+    mode, most, one, two, lang, student = (F.col(x) if isinstance(x, str) else x for x in (mode, stage1_max, stage1_epochs, stage2_epochs, target_lang, student))
+    size = F.when(most > 0, F.concat(F.lit("cs"), F.floor(most / 1000).cast("string"), F.lit("k"))).otherwise("csAll")
+    first = F.when(mode == "two-stage", F.concat_ws("_", size, F.concat(F.lit("s1e"), one.cast("string"))))
+    other = F.when(student != DEFAULT_STUDENT, F.element_at(F.split(student, "/"), -1))
+    return F.concat_ws("_", F.lit("distil"), mode, first, F.concat(F.lit("s2e"), two.cast("string")), lang, other)
+
+
 def label_with_teacher(parallel: DataFrame, teacher: "callable", anchor_col: str = "english",
                        label_col: str = "label", keys=()) -> DataFrame:
     """``teacher`` maps a text column to a vector column (a Catalyst expression here).

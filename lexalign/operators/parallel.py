@@ -118,19 +118,44 @@ def parallel_from_documents(docs: DataFrame, anchor_lang: str, other_langs=None,
     return cap(z, max_sentences).select("pair", "ord", "english", "non_english")
 
 
+def pair_sizes(docs: DataFrame, anchor_lang: str, max_sentences: int | None = None) -> DataFrame:
+    """``(pair, n)`` of ``parallel_from_documents(drop_blank='independent')``: a zip is as long as its shorter side, so the
+    line counts of the documents tell it without moving a text."""
+    lines = docs.where(F.col("lang").isNotNull()).select("lang", F.size(_doc_lines(docs, "text", True)).cast("long").alias("n"))
+    sides = lines.groupBy("lang").agg(F.sum("n").alias("n"))
+    anchor = sides.where(F.col("lang") == anchor_lang).select(F.lit(anchor_lang).alias("a"), F.col("n").alias("most"))
+    z = sides.where(F.col("lang") != anchor_lang).withColumn("a", F.lit(anchor_lang)).join(anchor, "a")
+    n = F.least("n", "most", *([F.lit(max_sentences)] if max_sentences else []))
+    return z.select(F.concat_ws("-", "lang", "a").alias("pair"), n.alias("n")).where("n > 0")
+
+
+def _drawn(sizes: DataFrame, part_col: str, seed: int) -> DataFrame:
+    """``(part_col, ord, _h)`` of every ordinal below the pair's size, from the sizes alone."""
+    n = int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = sizes.select(part_col, "n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(RUN).cast("long"))).alias("_from"))
+    upto = F.least(F.col("_from") + RUN, F.col("n")) - 1
+    ords = runs.repartition(n).select(part_col, F.explode(F.sequence("_from", upto)).alias("ord"))
+    return ords.withColumn("_h", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(part_col), F.col("ord").cast("string"))))
+
+
 def train_eval_split(parallel: DataFrame, seed: int = SEED, cap_n: int = EVAL_CAP, share: float = EVAL_SHARE,
-                     part_col: str = "pair") -> DataFrame:
-    """Adds ``part`` ('train' | 'eval').  ``eval_size = min(cap_n, int(share * n))`` per pair."""
-    h = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(part_col), F.col("ord").cast("string")))
-    keyed = parallel.withColumn("_h", h)
+                     part_col: str = "pair", sizes: DataFrame | None = None) -> DataFrame:
+    """Adds ``part`` ('train' | 'eval').  ``eval_size = min(cap_n, int(share * n))`` per pair.
+
+    With ``sizes`` (``part_col, n``; ordinals must then run from 0 to ``n - 1``) the evaluation ordinals are drawn from
+    them, and ``parallel`` is read once; without, its ordinals and sizes are read from it first."""
+    if sizes is None:
+        h = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(part_col), F.col("ord").cast("string")))
+        drawn = parallel.select(part_col, "ord", h.alias("_h"))
+        sizes = parallel.groupBy(part_col).agg(F.count(F.lit(1)).alias("n"))
+    else:
+        drawn = _drawn(sizes, part_col, seed)
     w = Window.partitionBy(part_col).orderBy("_h", "ord")
-    top = keyed.select(part_col, "ord", "_h").withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap_n)
-    sizes = parallel.groupBy(part_col).agg(F.count(F.lit(1)).alias("_n"))
-    sizes = sizes.withColumn("_eval", F.least(F.lit(cap_n), F.floor(F.col("_n") * F.lit(share))).cast("long"))
-    ev = (top.join(sizes, part_col).where(F.col("_rn") <= F.col("_eval"))
+    top = drawn.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap_n)
+    evals = sizes.select(part_col, F.least(F.lit(cap_n), F.floor(F.col("n") * F.lit(share))).cast("long").alias("_eval"))
+    ev = (top.join(evals, part_col).where(F.col("_rn") <= F.col("_eval"))
           .select(part_col, "ord", F.lit("eval").alias("part")))
-    return (keyed.drop("_h").join(ev, [part_col, "ord"], "left")
-            .withColumn("part", F.coalesce(F.col("part"), F.lit("train"))))
+    return parallel.join(ev, [part_col, "ord"], "left").withColumn("part", F.coalesce(F.col("part"), F.lit("train")))
 
 
 def corpus_report(split_df: DataFrame, part_col: str = "pair") -> DataFrame:

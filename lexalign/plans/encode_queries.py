@@ -11,14 +11,13 @@ from pyspark.sql import functions as F
 
 from lexalign.functions.vectors import as_double
 from lexalign.operators import cg
-from lexalign.operators.distill import (combined_score, gram_statistics, label_with_teacher, mse_eval,
+from lexalign.operators.distill import (combined_score, gram_statistics, label_with_teacher, mse_eval, run_label,
                                         training_rows, translation_accuracy)
 from lexalign.operators.encode import (check_dims, empty_sentences, encode, hashed_ngram_udf, long_form, mean_pool,
                                        quantise_vectors, truncate_tokens, vec_header)
 from lexalign.operators.catalog import model_registry
-from lexalign.operators.parallel import train_eval_split
 from lexalign.operators.util import for_heavy_rows
-from lexalign.plans.parallel_queries import parallel_zip
+from lexalign.plans.parallel_queries import parallel_zip, split_corpus
 from lexalign.session import checkpoint_dir, scratch_path
 from lexalign.sources.fixtures import KEYS, MODELS, SHIFT, bilingual_fixture, table
 from lexalign.streaming.resume import encode_ranges, encoded
@@ -154,7 +153,7 @@ def combined_score_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def student_training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train part of the parallel corpus, both whole text columns towards the teacher label."""
-    par = train_eval_split(parallel_zip(spark, sf_dir)).where(F.col("part") == "train")
+    par = split_corpus(spark, sf_dir).where(F.col("part") == "train")
     lab = label_with_teacher(par, _encoder(), keys=["pair", "ord"])
     rows = for_heavy_rows(training_rows(lab, ["pair", "ord"]), "pair", "ord")
     return rows.withColumn("x", _encoder()(F.col("text")))
@@ -201,3 +200,13 @@ def student_two_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     second = cg.solve(gram2, prior=prior, block=STUDENT_BLOCK, tol=1e-11)
     sides = cg.normal_sides(gram, first, block=STUDENT_BLOCK).unionByName(cg.normal_sides(gram2, second, prior=prior, block=STUDENT_BLOCK))
     return sides.select("system", "i", "j", F.round("xty", 6).alias("xty"), (F.abs(F.col("left") - F.col("xty")) < 1e-6).alias("solved"))
+
+
+def run_labels_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels of a run per language and mode; a language with an even number of documents caps stage 1 at that many thousand."""
+    n = table(spark, sf_dir, "documents").where(F.col("lang").isNotNull()).groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    modes = F.explode(F.array(F.lit("two-stage"), F.lit("single-stage"))).alias("mode")
+    runs = n.select("lang", modes, F.when(F.col("n") % 2 == 0, F.col("n") * 1000 + 1).alias("cap"),
+                    F.when(F.col("lang") != "de", F.lit("org/small-student")).alias("student"))
+    label = run_label("mode", "cap", F.lit(1), F.lit(2), "lang", "student")
+    return runs.select("lang", "mode", label.alias("label"))

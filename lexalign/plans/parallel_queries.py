@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexalign.operators.parallel import corpus_report, numbered_lines, parallel_from_documents, train_eval_split
+from lexalign.operators.parallel import (corpus_report, numbered_lines, pair_sizes, parallel_from_documents,
+                                         train_eval_split)
 from lexalign.sources.fixtures import table
 
 # Fixed values of the derived parallel corpus.
@@ -39,9 +40,14 @@ def parallel_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parallel_from_documents(_docs(spark, sf_dir), ANCHOR, max_sentences=CAP)
 
 
+def split_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zipped corpus with its train and eval parts; sizes come from line counts, so the zip runs once."""
+    return train_eval_split(parallel_zip(spark, sf_dir), sizes=pair_sizes(_docs(spark, sf_dir), ANCHOR))
+
+
 def train_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return train_eval_split(parallel_zip(spark, sf_dir)).select("pair", "ord", "part")
+    return split_corpus(spark, sf_dir).select("pair", "ord", "part")
 
 
 def corpus_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus_report(train_eval_split(parallel_zip(spark, sf_dir)))
+    return corpus_report(split_corpus(spark, sf_dir))

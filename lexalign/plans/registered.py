@@ -33,10 +33,28 @@ class _Mined:
     """The candidate tables of this session in the shared checkpoint folder (the ``.sim`` stage), by input and method."""
 
     _cache: dict = {}
+    _sweeps: dict = {}
+
+    @staticmethod
+    def state(spark: SparkSession, sf_dir: str) -> tuple:
+        """What the input is now: files that are written again under one path give another state."""
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/embeddings.parquet")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        return tuple(sorted((x.getPath().getName(), x.getLen(), x.getModificationTime()) for x in fs.listStatus(path)))
+
+    @classmethod
+    def sweep(cls, spark: SparkSession, sf_dir: str, filter_method: str):
+        """The sweep (50 rows a group) as a written table, which its readers share."""
+        key = (spark.sparkContext.applicationId, sf_dir, cls.state(spark, sf_dir), filter_method)
+        if key not in cls._sweeps:
+            c, gold = cls.get(spark, sf_dir)
+            groups = c.select(*KEYS).distinct().join(gold.select("lang_pair", "split").distinct(), ["lang_pair", "split"])
+            cls._sweeps[key] = sweep(c, gold, method=filter_method, groups=groups.select(*KEYS)).checkpoint()
+        return cls._sweeps[key]
 
     @classmethod
     def get(cls, spark: SparkSession, sf_dir: str, method: str = "csls", k: int = K):
-        key = (spark.sparkContext.applicationId, sf_dir, method, k)
+        key = (spark.sparkContext.applicationId, sf_dir, cls.state(spark, sf_dir), method, k)
         if key not in cls._cache:
             src, tgt, gold = bilingual_fixture(spark, sf_dir)
             cands = mine(src, tgt, KEYS, k=k, method=method)
@@ -106,9 +124,8 @@ def evaluate_prf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sweep(spark, sf_dir, method="dynamic"):
     """Sweep of the groups that have candidates and gold; groups without gold are skipped."""
-    c, gold = _cands(spark, sf_dir)
-    groups = c.select(*KEYS).distinct().join(gold.select("lang_pair", "split").distinct(), ["lang_pair", "split"])
-    return sweep(c, gold, method=method, groups=groups.select(*KEYS)), c
+    c, _ = _cands(spark, sf_dir)
+    return _Mined.sweep(spark, sf_dir, method), c
 
 
 def threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -127,4 +127,8 @@ sums AS (SELECT pair = 'fr-de' AS last, i, j, sum(xty) AS xty FROM xty GROUP BY
 SELECT system, ij.i, ij.j, round(coalesce(xty, 0.0), 6) AS xty, TRUE AS solved
 FROM systems CROSS JOIN ij LEFT JOIN sums ON sums.last = systems.last AND sums.i = ij.i AND sums.j = ij.j
 WHERE systems.last IN (SELECT last FROM sums)""",
+    "run_labels": """
+SELECT lang, mode, 'distil_' || mode || CASE mode WHEN 'two-stage' THEN CASE WHEN n % 2 = 0 THEN '_cs' || n || 'k' ELSE '_csAll' END || '_s1e1' ELSE '' END
+       || '_s2e2_' || lang || CASE WHEN lang <> 'de' THEN '_small-student' ELSE '' END AS label
+FROM (SELECT lang, count(*) AS n FROM documents WHERE lang IS NOT NULL GROUP BY lang) CROSS JOIN (VALUES ('two-stage'), ('single-stage')) m(mode)""",
 }
