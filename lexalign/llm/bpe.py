@@ -16,6 +16,8 @@ from . import words as W
 
 #: words kept in a task's table; beyond it the table starts anew
 TABLE = 400_000
+#: words that go to the tokenizer as one text, and what stands between them
+TOGETHER, MARK = 256, "0"
 
 _BLANK, _LETTER, _DIGIT, _OTHER, _ODD = range(5)
 _KIND = np.full(256, _ODD, np.uint8)
@@ -35,6 +37,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_str(spec)
+        (self.mark,) = self.tok.encode(MARK, add_special_tokens=False).ids
         self._clear()
 
     def _clear(self) -> None:
@@ -44,18 +47,49 @@ class Encoder:
         self.begin = np.empty(1 << 16, np.int64)
         self.size = np.empty(1 << 16, np.int64)
 
+    def _encoded(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, how many each text has, and the order of the texts in that row.
+
+        Words of letters go to the tokenizer many at a time, with a digit between them: white space keeps words apart,
+        and no word of letters has a digit's id."""
+        plain = np.fromiter(map(str.isalpha, texts), bool, len(texts))
+        size = np.zeros(len(texts), np.int64)
+        parts = np.empty(len(texts), object)
+        at = np.flatnonzero(plain).tolist()
+        groups = [at[k : k + TOGETHER] for k in range(0, len(at), TOGETHER)]
+        joined = [f" {MARK} ".join([texts[i] for i in g]) for g in groups]
+        rest, kept = np.flatnonzero(~plain).tolist(), []
+        for g, ids in zip(groups, self._encoded(joined), strict=True):
+            ids = np.array(ids, np.uint32)
+            cut = np.flatnonzero(ids == self.mark)
+            if len(cut) + 1 != len(g):  # a word that becomes a digit after all
+                rest += g
+                continue
+            kept += g
+            size[g] = np.diff(np.concatenate([[-1], cut, [len(ids)]])) - 1
+            parts[g[0]] = np.delete(ids, cut)  # the ids of the whole group, at its first word
+        for i, ids in zip(rest, self._encoded([texts[i] for i in rest]), strict=True):
+            size[i], parts[i] = len(ids), np.array(ids, np.uint32)
+        order = kept + rest
+        flat = np.concatenate([x for x in parts[order] if x is not None] or [np.empty(0, np.uint32)])
+        return flat, size, np.array(order, np.int64)
+
     def _learn(self, keys: list[int], texts: list[str]) -> None:
-        for k, e in zip(keys, self.tok.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            got = e.ids
-            n, i = len(got), len(self.at)
-            if self.used + n > len(self.ids):
-                self.ids = np.resize(self.ids, max(2 * len(self.ids), self.used + n))
-            if i == len(self.begin):
-                self.begin, self.size = np.resize(self.begin, 2 * i), np.resize(self.size, 2 * i)
-            self.ids[self.used : self.used + n] = got
-            self.begin[i], self.size[i] = self.used, n
-            self.at[k] = i
-            self.used += n
+        flat, size, order = self._ids(texts)
+        i, n = len(self.at), len(keys)
+        while self.used + len(flat) > len(self.ids):
+            self.ids = np.resize(self.ids, 2 * len(self.ids))
+        while i + n > len(self.begin):
+            self.begin, self.size = np.resize(self.begin, 2 * len(self.begin)), np.resize(self.size, 2 * len(self.size))
+        self.ids[self.used : self.used + len(flat)] = flat
+        size = size[order]
+        self.begin[i : i + n] = self.used + np.cumsum(size) - size
+        self.size[i : i + n] = size
+        self.at.update(zip([keys[k] for k in order.tolist()], range(i, i + n)))
+        self.used += len(flat)
 
     def encode(self, s: W.Slice) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the slice in a row, and the bounds of each text's ids."""
