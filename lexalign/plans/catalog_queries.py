@@ -99,4 +99,5 @@ def run_report_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def failed_units_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The units that failed, with their messages, and those that ran, with the rows that were committed for them."""
     _, after, table = _run_pending(spark, sf_dir)
-    return after.join(table.units().select(*UNIT, "n_rows"), UNIT, "left").select(*UNIT, "status", "error", "n_rows")
+    return after.join(table.units().select(*UNIT, "n_rows"), UNIT, "left").select(
+        *UNIT, "status", "error", F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"))

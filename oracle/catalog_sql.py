@@ -94,6 +94,6 @@ SELECT 'embed' AS stage, 'skipped' AS status, count(*) AS units
 FROM cfg CROSS JOIN (VALUES ('test'), ('train')) s(split) CROSS JOIN (VALUES ('cs'), ('de')) l(lang)""",
     "failed_units": RUN + """
 SELECT model, lang_pair, split, lang, after AS status, CASE after WHEN 'failed' THEN 'ValueError: no language code for ' || lang END AS error,
-       CASE after WHEN 'ran' THEN n END AS n_rows
+       CASE after WHEN 'ran' THEN n ELSE 0 END AS n_rows
 FROM run WHERE status = 'ran'""",
 }

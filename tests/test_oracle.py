@@ -3,6 +3,7 @@
 import math
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as E
@@ -17,6 +18,8 @@ OWN = sorted(n for n in E.oracle_sql() if not (n.startswith("op") and n[2:3].isd
 
 
 def _norm(v):
+    if v is None or v is pd.NA:
+        return "nan"
     if isinstance(v, float):
         return "nan" if math.isnan(v) else round(v, 9)
     if hasattr(v, "tolist"):
