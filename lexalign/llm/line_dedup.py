@@ -13,6 +13,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexalign.functions.vectors import let
+
 from .tables import Scratch, documents, null_last, salted_join
 
 #: ``[\x20\x09-\x0D]``
@@ -33,21 +35,36 @@ def _lines(text: Column) -> Column:
 
 
 def repeated_lines(docs: DataFrame, scratch: Scratch, min_chars: int = 10, min_docs: int = 2) -> DataFrame:
-    """``id, drop``: for each document (null id: the largest) the digests of the lines it loses.
+    """``id, tk, drop``: for each text (by its hash) of a document (null id: the largest) the positions, from 0, of the
+    lines that it loses.
 
-    The digest table (24 bytes a line) is written once; counting and joining read that table, not the texts.
+    The line table (36 bytes a line) is written once; counting and joining read that table, not the texts.
     Counting goes through (digest, document) first, so a line that a third of all documents share is counted
     by many tasks, and the join back deals such a line over salted tasks.
     """
-    long_ones = F.filter(_lines(F.col("text")), lambda x: F.length(F.btrim(x, F.lit(BLANKS))) >= min_chars)
-    lines = scratch.save(documents(docs).select(
-        null_last("doc_id").alias("id"), F.explode(F.array_distinct(F.transform(long_ones, _digest))).alias("digest")),
-        "lines")
+    each = documents(docs).select(null_last("doc_id").alias("id"), F.xxhash64("text").alias("tk"),
+                                  F.posexplode(_lines(F.col("text"))).alias("pos", "line"))
+    lines = scratch.save(each.where(F.length(F.btrim("line", F.lit(BLANKS))) >= min_chars).select(
+        "id", "tk", "pos", _digest(F.col("line")).alias("digest")), "lines")
     counts = (lines.groupBy("digest", "id").agg(F.lit(1).alias("one"))
               .groupBy("digest").agg(F.count("one").alias("n_docs"), F.min("id").alias("keeper"))
               .where(F.col("n_docs") >= min_docs).select("digest", "keeper"))
     hits = salted_join(lines, counts, ["digest"], "id", how="inner").where(F.col("id") != F.col("keeper"))
-    return hits.groupBy("id").agg(F.collect_set("digest").alias("drop"))
+    return hits.groupBy("id", "tk").agg(F.collect_set("pos").alias("drop"))
+
+
+def _with_drops(docs: DataFrame, drops: DataFrame) -> DataFrame:
+    """``docs`` with ``__drop``, the positions that the row's text loses (null: none)."""
+    keyed = docs.withColumn("__id", null_last(F.col("doc_id").cast("long"))).withColumn(
+        "__tk", F.xxhash64(F.col("text").cast("string")))
+    return keyed.join(drops.select(F.col("id").alias("__id"), F.col("tk").alias("__tk"), F.col("drop").alias("__drop")),
+                      ["__id", "__tk"], "left")
+
+
+def _reassembled(text: Column, drop: Column) -> Column:
+    """The text's lines at all positions but those of ``drop``, in order."""
+    return F.array_join(let(_lines(text), lambda parts: F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), drop), lambda k: F.get(parts, k))), "\n")
 
 
 def clean(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> DataFrame:
@@ -55,10 +72,9 @@ def clean(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> DataFrame:
 
     A text that keeps all its lines stays as it is (null too)."""
     scratch = Scratch(docs.sparkSession, "lines")
-    drops = repeated_lines(docs, scratch, min_chars, min_docs).select(F.col("id").alias("__id"), F.col("drop").alias("__drop"))
-    d = docs.withColumn("__id", null_last(F.col("doc_id").cast("long"))).join(drops, "__id", "left")
-    kept = F.array_join(F.filter(_lines(F.col("text")), lambda x: ~F.array_contains(F.col("__drop"), _digest(x))), "\n")
-    d = d.withColumn("text", F.when(F.col("__drop").isNull(), F.col("text")).otherwise(kept))
+    d = _with_drops(docs, repeated_lines(docs, scratch, min_chars, min_docs))
+    d = d.withColumn("text", F.when(F.col("__drop").isNull(), F.col("text")).otherwise(
+        _reassembled(F.col("text"), F.col("__drop"))))
     if "n_chars" in docs.columns:
         d = d.withColumn("n_chars", F.when(F.col("__drop").isNull(), F.col("n_chars")).otherwise(
             F.length("text").cast(docs.schema["n_chars"].dataType)))
@@ -72,12 +88,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> Data
     hold it, except from the smallest ``doc_id`` of them.
     """
     scratch = Scratch(docs.sparkSession, "lines")
-    drops = repeated_lines(docs, scratch, min_chars, min_docs).withColumnRenamed("id", "__id")
-    d = documents(docs).withColumn("__id", null_last("doc_id")).join(drops, "__id", "left")
-    parts = _lines(F.col("text"))
-    kept = F.when(F.col("drop").isNull(), parts).otherwise(
-        F.filter(parts, lambda x: ~F.array_contains(F.col("drop"), _digest(x))))
-    d = d.withColumn("__kept", kept)
-    return d.select("doc_id", F.size(parts).cast("long").alias("n_lines"),
-                    (F.size(parts) - F.size("__kept")).cast("long").alias("n_dropped"),
-                    F.array_join("__kept", "\n").alias("text"))
+    d = _with_drops(documents(docs), repeated_lines(docs, scratch, min_chars, min_docs))
+    text = F.coalesce("text", F.lit(""))
+    return d.select("doc_id", F.size(_lines(text)).cast("long").alias("n_lines"),
+                    F.coalesce(F.size("__drop"), F.lit(0)).cast("long").alias("n_dropped"),
+                    F.when(F.col("__drop").isNull(), text).otherwise(_reassembled(text, F.col("__drop"))).alias("text"))
