@@ -14,6 +14,7 @@ own; an empty table gives an empty result; only ``doc_id`` and ``text`` are read
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -158,6 +159,21 @@ def regions(words: list[bytes]) -> list[tuple[int, int]]:
     return [(a, z) for a, z in out]
 
 
+def outermost(hits: list[tuple[int, int, Rule]]) -> list[tuple[int, int, Rule]]:
+    """Hits that no hit before them contains: by priority, then the longer, then the earlier one.
+
+    A hit that is suppressed lies inside an accepted one, so the accepted ones alone need looking at: by their start,
+    of which only those within the longest hit's length can contain a hit."""
+    longest = max((z - a for a, z, _ in hits), default=0)
+    reached: dict[int, int] = {}
+    out = []
+    for a, z, r in sorted(hits, key=lambda h: (-h[2].priority, h[0] - h[1], h[0], h[2].name)):
+        if not any(reached.get(x, -1) >= z for x in range(z - longest, a + 1)):
+            reached[a] = max(reached.get(a, z), z)
+            out.append((a, z, r))
+    return sorted(out, key=lambda h: (h[0], h[1], h[2].name))
+
+
 def detect(words: list[bytes]) -> tuple[list[tuple[int, int, Rule]], list[tuple[int, str]]]:
     """Accepted detections (first word, word after the last, rule) by position, and all base places (word, label)."""
     ordered, base = _prepared()
@@ -165,25 +181,21 @@ def detect(words: list[bytes]) -> tuple[list[tuple[int, int, Rule]], list[tuple[
     places: list[tuple[int, str]] = []
     for a, z in regions(words):
         text = b" ".join(words[a:z])
+        blanks = np.flatnonzero(np.frombuffer(text, np.uint8) == 0x20).tolist()
         seen: dict[bytes, bool] = {}
 
-        def at(m: re.Match, a: int = a, text: bytes = text) -> int:
-            return a + text.count(b" ", 0, m.start())
+        def at(place: int, a: int = a, blanks: list[int] = blanks) -> int:
+            return a + bisect_left(blanks, place)
 
         for pattern, label in base:
-            places += [(at(m), label) for m in pattern.finditer(text)]
+            places += [(at(m.start()), label) for m in pattern.finditer(text)]
         for r in ordered:
             for k in r.keywords:
                 if k not in seen:
                     seen[k] = k in text
             if any(seen[k] for k in r.keywords):
-                hits += [(at(m), at(m) + m.group().count(b" ") + 1, r) for m in r.pattern.finditer(text)]
-    hits.sort(key=lambda h: (-h[2].priority, h[0] - h[1], h[0], h[2].name))
-    taken: list[tuple[int, int, Rule]] = []
-    for a, z, r in hits:
-        if not any(x <= a and z <= y for x, y, _ in taken):
-            taken.append((a, z, r))
-    return sorted(taken, key=lambda h: (h[0], h[1], h[2].name)), sorted(places)
+                hits += [(at(m.start()), at(m.end()) + 1, r) for m in r.pattern.finditer(text)]
+    return outermost(hits), sorted(places)
 
 
 _SCHEMA = ("doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
