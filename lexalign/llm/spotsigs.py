@@ -1,9 +1,9 @@
 """SpotSigs document fingerprints.
 
 A spot signature is a chain of content words after a common word (the anchor): in "the quick brown fox" the anchor
-"the" gives "the:quick:brown".  A text's fingerprint is the set of its signatures, written as sorted 24-bit hashes in
-base64, four characters each.  Documents are compared by the Jaccard similarity of the sets of whole 32-bit signatures.  The join partitions the sets by length, so that only
-lengths whose ratio allows the threshold meet, indexes the rarest signatures of each set, and prunes before it counts.
+"the" gives "the:quick:brown".  A text's fingerprint is the set of its signatures, written as sorted 32-bit hashes in
+base64.  Documents are compared by the Jaccard similarity of these sets.  The join partitions the sets by length, so that
+only lengths whose ratio allows the threshold meet, indexes the rarest signatures of each set, and prunes before it counts.
 
 Texts whose words hold no anchor followed by a whole chain use their words as signatures, so short texts can be
 compared too.
@@ -75,14 +75,9 @@ def text_signatures(texts: list[bytes]) -> list[np.ndarray]:
     return out
 
 
-def short(sig: np.ndarray) -> np.ndarray:
-    """The 24 leading bits of the signatures, distinct and sorted: what a written fingerprint holds."""
-    return np.unique(sig >> np.uint32(8))
-
-
 def fingerprint(sig: np.ndarray) -> str:
-    """Three bytes for each short signature, in order, as base64."""
-    return base64.b64encode(sig.astype(">u4").view(np.uint8).reshape(-1, 4)[:, 1:].tobytes()).decode()
+    """Four bytes for each signature, in order, as base64."""
+    return base64.b64encode(sig.astype(">u4").tobytes()).decode()
 
 
 def likeness(a: np.ndarray, b: np.ndarray, least: float = 0.0) -> float:
@@ -156,8 +151,8 @@ def _emit(pairs: list[tuple]) -> Iterator[pa.RecordBatch]:
         [t.encode() for t in texts], edited, [o.encode() for o in others]))
     yield pa.RecordBatch.from_arrays(
         [pa.array([x[2] for x, _ in pairs], pa.int64()), pa.array([len(t) for t in texts], pa.int64()),
-         pa.array([hashlib.sha256(e).hexdigest() for e in edited]), pa.array([fingerprint(short(s)) for s in own]),
-         pa.array([fingerprint(short(s)) for s in changed]),
+         pa.array([hashlib.sha256(e).hexdigest() for e in edited]), pa.array([fingerprint(s) for s in own]),
+         pa.array([fingerprint(s) for s in changed]),
          pa.array([likeness(a, b) for a, b in zip(own, changed, strict=True)], pa.float64()),
          pa.array([likeness(a, b) for a, b in zip(own, after, strict=True)], pa.float64()),
          pa.array([len(s) for s in own], pa.int64())],

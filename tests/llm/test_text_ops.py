@@ -1,5 +1,6 @@
 """Word scanning, line dedup, decontamination, license rules and fingerprints against plain Python."""
 
+import base64
 import hashlib
 import re
 from collections import Counter, defaultdict
@@ -47,6 +48,16 @@ def _ids(data):
     return [(1 << 62 if i is None else i, t or "") for i, t in data]
 
 
+def test_line_dedup_of_long_and_repeated_rows(spark):
+    many = [f"line number {k} of a long text" for k in range(20_000)]
+    data = [(1, "\n".join(many)), (2, "\n".join(["own first line", *many, "own last line"])),
+            (2, "\n".join(many[5:7] + ["another text of two"])), (2, "\n".join(many[5:7] + ["another text of two"])), (None, many[9] + "\n")]
+    got = sorted(((r.doc_id or 0), r.n_lines, r.n_dropped, r.text) for r in LD.dedup_lines(frame(spark, data)).collect())
+    assert got == sorted([(1, 20_000, 0, data[0][1]), (2, 20_002, 20_000, "own first line\nown last line"),
+                          (2, 3, 2, "another text of two"), (2, 3, 2, "another text of two"), (0, 2, 1, "")])
+    assert sorted(r.text for r in LD.clean(frame(spark, data)).collect()) == sorted(x[3] for x in got)
+
+
 def test_line_dedup(spark):
     def key(x):
         return lower(x.strip(" \t\n\x0b\x0c\r"))
@@ -132,6 +143,27 @@ def test_license_rules_suppress_what_they_contain():
     assert found("nothing of that kind") == []
 
 
+def test_license_suppression_is_its_definition():
+    rng = np.random.default_rng(7)
+    some = LS.rules()[::20]
+    for _ in range(200):
+        starts = rng.integers(0, 30, rng.integers(0, 25))
+        hits = [(int(a), int(a + rng.integers(1, 9)), some[rng.integers(len(some))]) for a in starts]
+        want = []
+        for a, z, r in sorted(hits, key=lambda h: (-h[2].priority, h[0] - h[1], h[0], h[2].name)):
+            if not any(x <= a and z <= y for x, y, _ in want):
+                want.append((a, z, r))
+        assert LS.outermost(hits) == sorted(want, key=lambda h: (h[0], h[1], h[2].name))
+
+
+def test_license_detections_of_a_long_text():
+    one = b"licensed under the apache license version 2 0 or the mit license".split()
+    found, places = LS.detect(one * 4000)
+    assert Counter(r.label for _, _, r in found) == {"apache-2.0": 4000, "mit": 4000}
+    assert len(places) == 8000 and places[-1] == (len(one) * 4000 - 2, "mit")
+    assert [(a, z) for a, z, _ in found[:2]] == [(a, z) for a, z, _ in LS.detect(one)[0]]
+
+
 def _written_out(parsed):
     """Texts of a parsed pattern: every alternative, optional parts with and without, classes by their first member."""
     out = [""]
@@ -177,13 +209,15 @@ def test_spotsigs_next_document(spark):
 
 
 def test_spotsigs_likeness_is_that_of_whole_signatures(spark):
-    a, b = (" ".join(f"the {x}{k} {x}{k}z" for k in range(6000)) for x in "pq")  # by 24 bits about two meet by chance
+    a, b = (" ".join(f"the {x}{k} {x}{k}z" for k in range(6000)) for x in "pq")
     whole = [set(s.tolist()) for s in SP.text_signatures([a.encode(), b.encode()])]
-    cut = [{x >> 8 for x in s} for s in whole]
-    assert cut[0] & cut[1] and len(cut[0]) < len(whole[0])
     got = {r.doc_id: r for r in SP.compare_next(frame(spark, [(2, a), (1, b)])).collect()}
     assert got[2].near_next == len(whole[0] & whole[1]) / len(whole[0] | whole[1])
     assert got[2].set_length == len(whole[0])
+    written = {i: set(np.frombuffer(base64.b64decode(r.fingerprint), ">u4").tolist()) for i, r in got.items()}
+    assert written == {2: whole[0], 1: whole[1]}
+    changed = set(np.frombuffer(base64.b64decode(got[2].edited_fingerprint), ">u4").tolist())
+    assert got[2].near_edited == len(whole[0] & changed) / len(whole[0] | changed) > 0.3
 
 
 def test_spotsigs_join_is_the_brute_force_join(spark):
