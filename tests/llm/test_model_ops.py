@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
@@ -136,6 +137,21 @@ def test_clause_patterns():
     assert TX.clause_patterns([0, target, no]) == []
 
 
+def test_clause_patterns_are_their_definition():
+    rng = np.random.default_rng(3)
+    for _ in range(500):
+        c = rng.choice(6, rng.integers(0, 25), p=[0.4, 0.15, 0.1, 0.1, 0.15, 0.1]).tolist()
+        want = []
+        for i, x in enumerate(c):
+            if x not in (TX.INSULT, TX.THREAT):
+                continue
+            # a cause counts while its scope is not used up; reported speech holds for the rest of the clause
+            no = TX.NEGATION in c[max(0, i - TX.SCOPE + 1):i]
+            target = TX.TARGET in c[max(0, i - TX.SCOPE + 1):i + TX.SCOPE]
+            want.append((8 if x == TX.THREAT else 0) + 4 * target + 2 * (TX.REPORT in c[:i]) + no)
+        assert TX.clause_patterns(c) == want
+
+
 def test_toxicity_learns_markers_and_keeps_clean_texts(spark):
     docs, labels = [], []
     for k in range(400):
@@ -230,3 +246,47 @@ def test_pipeline_stages_keep_rows_and_columns(spark):
         assert out.columns == docs.columns and 0 < out.count() <= docs.count()
         assert stage(spark, docs.limit(0), SF_SMALL).count() == 0
     assert [name for name, _ in P.STAGES] == ["toxicity", "line_dedup", "near_dedup", "decontamination", "packing"]
+
+
+def test_pipeline_is_the_chain_of_its_definitions(spark, tmp_path):
+    import corpus_pipeline as P
+
+    alnum, mark = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "a line that several documents have in common"
+    base, passage = prose(21, 120), prose(22, 14)
+    near = " ".join(["other", *base.split()[1:]])
+    docs = [(1, base), (2, near), (3, prose(23, 60) + " " + passage + " " + prose(24, 40)), (4, f"{mark}\n{prose(25, 50)}"),
+            (5, f"{prose(26, 50)}\n {mark.upper()} \n{prose(27, 20)}"), (6, None), (7, ""), (8, "two words"), (9, "Two words"),
+            (10, "you are an idiot"), (11, f"{mark}\n{base}"), (12, prose(28, 4000)), (13, "you are an idiot, said nobody"), (14, mark)]
+    items = [("7", passage), ("8", None), ("9", "too rare to occur")]
+    spark.createDataFrame([(i, t, len(t or "")) for i, t in docs], "doc_id long, text string, n_chars long").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+
+    left = {i: t or "" for i, t in docs if i not in (10, 13)}  # by the fixed weights, as there are no labels
+    keys: dict[str, set] = {}
+    for i, t in left.items():
+        for x in t.split("\n"):
+            keys.setdefault(lower(x.strip()), set()).add(i)
+    left = {i: "\n".join(x for x in t.split("\n") if len(lower(x.strip())) < 10 or i == min(keys[lower(x.strip())]))
+            for i, t in left.items()}
+    sets = {}
+    for i, t in left.items():
+        w = re.findall(alnum, lower(t))
+        sets[i] = {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    root = {i: i for i in left}
+    for _ in left:
+        for a in left:
+            for b in left:
+                if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    root[b] = min(root[a], root[b])
+    left = {i: t for i, t in left.items() if root[i] == i}
+    grams = {" ".join(w[k:k + 10]) for _, t in items for w in [re.findall(alnum, lower(t))] for k in range(max(1, len(w) - 9)) if w}
+    left = {i: t for i, t in left.items() if not any(f" {g} " in f" {' '.join(re.findall(alnum, lower(t)))} " for g in grams)}
+
+    tokenizer = bpe.Encoder(tokenizer_spec()).tok
+    want = {i: len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for i, t in left.items()}
+    got: dict[int, int] = {}
+    for r in P.run(spark, str(tmp_path)).collect():
+        got[r.doc_id] = got.get(r.doc_id, 0) + r.length
+    assert got == want and 2 not in got and 3 not in got and 9 not in got and {1, 4, 5, 8, 12} <= set(got)
