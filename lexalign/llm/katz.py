@@ -8,7 +8,8 @@ table partitioned by history.  Without it only listed words are: those with at l
 tokens (and two of them), at most ``HISTORIES`` whatever the corpus, so their table may go to every task.
 
 Tokens are dealt by word, compactly: a partition holds all tokens of its words, counts them, and scores them where
-they are counted.  Listed words are dealt by (word, history); pairs with at least ``1 / HOT_PAIRS`` of
+they are counted.  Listed words are dealt by (word, history), or by a history that is not listed alone, which is rare
+and so written once for all tokens after it; pairs with at least ``1 / HOT_PAIRS`` of
 all tokens are counted beforehand and scored in place, so no partition gets a fixed share of all tokens.
 Good-Turing discounts and alphas need counts of all partitions, so a partition returns, for each document, how many of
 its tokens have which small count and which histories back off, and for each history the sums that its alpha needs.
@@ -38,7 +39,7 @@ HOT_PAIRS = 4096
 #: counts up to this are discounted
 K = 5
 #: tokens that a task deals out at a time
-FLUSH = 800_000
+FLUSH = 2_000_000
 #: tokens that are scored at a time
 STEP = 200_000
 END = W.U64(0xE4D0F7E47E7EE4D1)
@@ -233,6 +234,33 @@ def _doc_rows(key: np.ndarray, part: int, tokens: np.ndarray, sums: _Sums, doc:
 #: texts of a batch that are looked at together, however wide the batch is
 AT_ONCE = 16_000
 
+#: what a partition gets of some texts: their keys and whether they are held out; tokens by word (words, their numbers of
+#: tokens, listed histories, places of the texts, histories that are not listed); tokens by history (histories, their
+#: numbers of tokens, listed words, places of the texts)
+_BLOB = (np.int64, np.uint8, W.U64, np.uint32, np.uint16, np.uint16, W.U64, W.U64, np.uint32, np.uint16, np.uint16)
+
+
+def _pack(*cols: np.ndarray) -> bytes:
+    raw = b"".join(x.astype(k, copy=False).tobytes() for x, k in zip(cols, _BLOB, strict=True))
+    head = np.array([len(raw), *map(len, cols)], np.int64)
+    return head.tobytes() + pa.Codec("zstd").compress(raw, asbytes=True)
+
+
+def _unpack(blob: pa.Buffer) -> list[np.ndarray]:
+    head = np.frombuffer(blob, np.int64, len(_BLOB) + 1).tolist()
+    raw = pa.Codec("zstd").decompress(blob.slice(8 * len(head)), head[0])
+    out, at = [], 0
+    for kind, n in zip(_BLOB, head[1:], strict=True):
+        out.append(np.frombuffer(raw, kind, n, at))
+        at += out[-1].nbytes
+    return out
+
+
+def _groups(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of the runs of ``x`` and their lengths."""
+    new = np.flatnonzero(np.concatenate([np.ones(min(1, len(x)), bool), x[1:] != x[:-1]]))
+    return x[new], np.diff(np.append(new, len(x)))
+
 
 def _deal(batches: Iterator[pa.RecordBatch], model: Model, parts: int) -> Iterator[pa.RecordBatch]:
     """Deals tokens to partitions; part -1 rows carry the scores of hot pairs and the token numbers."""
@@ -240,15 +268,21 @@ def _deal(batches: Iterator[pa.RecordBatch], model: Model, parts: int) -> Iterat
     held: list[tuple] = []
     size = docs = 0
 
+    def rows_of(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()),
+                                           pa.array([r[2] for r in rows], pa.binary())], ["part", "place", "blob"])
+
     def flush() -> Iterator[pa.RecordBatch]:
-        key, out = np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held])
-        doc, h, hist, prev = (np.concatenate([x[k] for x in held]) for k in (2, 3, 4, 5))
-        word = model.index.find(h)
-        number = _pair(word, hist)
+        key, out, doc, h, hist = (np.concatenate([x[k] for x in held]) for k in range(5))
+        held.clear()
+        prev = np.concatenate([h[:1], h[:-1]])
+        word = model.index.find(h).astype(np.int32)
+        number = _pair(word.astype(np.int64), hist.astype(np.int64))
         pair = np.minimum(np.searchsorted(hot, number), max(len(hot) - 1, 0))
         place = (hot[pair] == number) if len(hot) else np.zeros(len(h), bool)
         sums = _Sums(len(key))
         sums.add(doc[place], model.count[word[place] + 2], model.hot_counts[pair[place]], hist[place] > 0, h[place] != END, model)
+        del number, pair
         tokens = np.bincount(doc, minlength=len(key))
         none = np.empty(0, np.int64)
         ipc = pa.BufferOutputStream()
@@ -257,72 +291,73 @@ def _deal(batches: Iterator[pa.RecordBatch], model: Model, parts: int) -> Iterat
         first = _doc_rows(key, -1, tokens, sums, none, none, np.arange(len(key)))
         with pa.ipc.new_stream(ipc, first.schema) as writer:
             writer.write_batch(first)
-        rows = [(int(key[0] % parts), 1, ipc.getvalue().to_pybytes())]
+        yield rows_of([(int(key[0] % parts), 1, ipc.getvalue().to_pybytes())])
         rest = ~place
         doc, h, hist, prev, word = doc[rest], h[rest], hist[rest], prev[rest], word[rest]
-        other = np.where((hist == 0) & model.every, prev, hist.astype(W.U64))
-        deal = W.mix(h + np.where(word >= 0, other, W.U64(0))) % W.U64(parts)
-        order = np.lexsort((h, deal))
-        doc, h, hist, prev, deal = doc[order], h[order], hist[order], prev[order], deal[order]
+        rare = (hist == 0) & model.every
+        after = rare & (word >= 0)  # dealt by history
+        lead = np.where(after, prev, h)
+        deal = W.mix(lead + np.where((word >= 0) & ~after, hist.astype(W.U64), W.U64(0))) % W.U64(parts)
+        order = np.lexsort((lead, after, deal))
+        doc, lead, hist, prev, word, rare, after, deal = (x[order] for x in (doc, lead, hist, prev, word, rare, after, deal))
         cut = np.searchsorted(deal, np.arange(parts + 1, dtype=W.U64))
+        rows: list[tuple[int, int, bytes]] = []
         for p in range(parts):
             a, z = int(cut[p]), int(cut[p + 1])
             if a == z:
                 continue
             mine, back = np.unique(doc[a:z], return_inverse=True)
-            new = np.flatnonzero(np.concatenate([[True], h[a + 1 : z] != h[a : z - 1]]))
-            rare = prev[a:z][(hist[a:z] == 0) & model.every]
-            head = np.array([len(mine), len(new), z - a, len(rare)], np.int64)
-            blob = b"".join(x.tobytes() for x in (
-                head, key[mine], out[mine].astype(np.uint8), h[a:z][new], np.diff(np.append(new, z - a)).astype(np.uint32),
-                hist[a:z].astype(np.uint16), back.astype(np.uint16), rare))
-            rows.append((p, 0, blob))
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()),
-                                          pa.array([r[2] for r in rows], pa.binary())], ["part", "place", "blob"])
+            m = a + int(np.searchsorted(after[a:z], True))
+            rows.append((p, 0, _pack(key[mine], out[mine], *_groups(lead[a:m]), hist[a:m], back[: m - a], prev[a:m][rare[a:m]],
+                                     *_groups(lead[m:z]), word[m:z] + 2, back[m - a :])))
+            if len(rows) == 16:
+                yield rows_of(rows)
+                rows = []
+        if rows:
+            yield rows_of(rows)
 
     for b in (b.slice(k, AT_ONCE) for b in batches for k in range(0, b.num_rows, AT_ONCE)):
         keys, outs = b.column("key").to_numpy(), b.column("held").to_numpy(zero_copy_only=False)
         for s in W.slices(b.column("text")):
             h, bounds = _tokens(s)
-            doc = np.repeat(np.arange(docs, docs + len(s), dtype=np.int32), np.diff(bounds))
+            doc = np.repeat(np.arange(docs, docs + len(s), dtype=np.uint16), np.diff(bounds))
             held.append((keys[s.first : s.first + len(s)], outs[s.first : s.first + len(s)], doc, h,
-                         _history(h, bounds, model.index).astype(np.int32), np.concatenate([h[:1], h[:-1]])))
+                         _history(h, bounds, model.index).astype(np.uint16)))
             size, docs = size + len(h), docs + len(s)
             if size >= FLUSH or docs >= (1 << 16) - AT_ONCE:  # documents have 16-bit numbers
                 yield from flush()
-                held, size, docs = [], 0, 0
+                size = docs = 0
     if held:
         yield from flush()
 
 
-def _read(blob: pa.Buffer) -> tuple[np.ndarray, ...]:
-    n, m, t, r = np.frombuffer(blob, np.int64, 4).tolist()
-    out, at = [], 32
-    for kind, k in ((np.int64, n), (np.uint8, n), (W.U64, m), (np.uint32, m), (np.uint16, t), (np.uint16, t), (W.U64, r)):
-        out.append(np.frombuffer(blob, kind, k, at))
-        at += out[-1].nbytes
-    return tuple(out)
-
-
 def _score_part(part: int, blobs: list[pa.Buffer], model: Model) -> Iterator[pa.RecordBatch]:
     """Counts and scores all tokens of one partition."""
-    got = [_read(x) for x in blobs]
+    got = [_unpack(x) for x in blobs]
     first = np.cumsum([0] + [len(g[0]) for g in got])
-    key, out = np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got]) > 0
-    word, many = np.concatenate([g[2] for g in got]), np.concatenate([g[3] for g in got])
-    history = np.concatenate([g[4] for g in got]).astype(np.int32)
+
+    def column(k: int) -> np.ndarray:
+        return np.concatenate([g[k] for g in got])
+
+    key, out = column(0), column(1) > 0
+    word, lead, history = column(2), column(7), column(4).astype(np.int32)
+    doc = np.concatenate([g[k] + np.int32(first[i]) for k in (5, 10) for i, g in enumerate(got)])
     if model.every:  # histories that are not listed get numbers of this partition
-        rare, number = np.unique(np.concatenate([g[6] for g in got]), return_inverse=True)
-        history[history == 0] = len(model.names) + number
+        rare, number = np.unique(np.concatenate([column(6), lead]), return_inverse=True)
+        number = (len(model.names) + number).astype(np.int32)
+        n = len(number) - len(lead)
+        history[history == 0] = number[:n]
+        history = np.concatenate([history, np.repeat(number[n:], column(8))])
         names = np.concatenate([model.names, rare])
         del rare, number
     else:
         names = model.names
-    doc = np.concatenate([g[5] + np.int32(first[i]) for i, g in enumerate(got)])
-    del got
+    listed = column(9)  # words of the tokens dealt by history
+    kinds = np.unique(np.concatenate([word, model.names[np.unique(listed)]]))
+    kind = np.concatenate([np.repeat(np.searchsorted(kinds, word).astype(np.int32), column(3)),
+                           np.searchsorted(kinds, model.names).astype(np.int32)[listed]])
+    del got, word, lead, listed
     train = ~out[doc]
-    kinds, kind = np.unique(word, return_inverse=True)
-    kind = np.repeat(kind.astype(np.int32), many)
     c = np.bincount(kind[train], minlength=len(kinds))
     listed = model.index.find(kinds)
     c[listed >= 0] = model.count[listed[listed >= 0] + 2]  # these words are dealt over several partitions
