@@ -13,6 +13,9 @@ and so written once for all tokens after it; pairs with at least ``1 / HOT_PAIRS
 all tokens are counted beforehand and scored in place, so no partition gets a fixed share of all tokens.
 Good-Turing discounts and alphas need counts of all partitions, so a partition returns, for each document, how many of
 its tokens have which small count and which histories back off, and for each history the sums that its alpha needs.
+Documents travel in groups (those that a task dealt together), so what comes back is one packed row for each group and
+partition, not one for each document; a group's rows then meet and are added up.  A group is named by its documents, so
+``docs`` must come in the same order when a task runs again, as files do; a group that lacks rows fails the query.
 What a score takes from its history's count is added where that word's own count is known: with the word before.
 Histories that back off are joined with the table of alphas (listed ones in the task).
 
@@ -23,6 +26,7 @@ same probability; only ``doc_id`` and ``text`` are read.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -39,7 +43,9 @@ HOT_PAIRS = 4096
 #: counts up to this are discounted
 K = 5
 #: tokens that a task deals out at a time
-FLUSH = 2_000_000
+FLUSH = 1_500_000
+#: training tokens of a partition, about
+PART = 1_500_000
 #: tokens that are scored at a time
 STEP = 200_000
 END = W.U64(0xE4D0F7E47E7EE4D1)
@@ -184,13 +190,10 @@ def hot_pairs(train: DataFrame, model: Model) -> DataFrame:
     return map_texts(train, work, "pair long, c long").groupBy("pair").agg(F.sum("c").alias("c"))
 
 
-_DOC = "key long, part int, n_tokens long, n_known long, base double, raw double, " + ", ".join(
-    f"r{r} int" for r in range(1, K + 1)) + ", unseen binary"
 _CTX = "history long, mass long, prob double, " + ", ".join(f"t{r} long" for r in range(1, K + 2))
-_DOC_NAMES = [x.split()[0] for x in _DOC.split(", ")]
 _CTX_NAMES = [x.split()[0] for x in _CTX.split(", ")]
-_OUT = f"{_DOC}, {_CTX}"
-_PART = "part int, place int, blob binary"
+_OUT = f"source long, blob binary, {_CTX}"
+_PART = "part int, place int, source long, blob binary"
 
 
 class _Sums:
@@ -216,46 +219,51 @@ class _Sums:
             self.small[r - 1] += np.bincount(doc[seen & (pair == r)], minlength=n)
         return history & ~seen
 
+    def columns(self, at: slice = slice(None)) -> list[np.ndarray]:
+        return [self.known[at], self.base[at], self.raw[at], self.small[:, at].ravel()]
 
-def _doc_rows(key: np.ndarray, part: int, tokens: np.ndarray, sums: _Sums, doc: np.ndarray, back: np.ndarray,
-              keep: np.ndarray) -> pa.RecordBatch:
-    """Rows of the documents ``keep``; ``doc``/``back``: documents and histories of the tokens that back off."""
-    order = np.argsort(doc, kind="stable")
-    raw, at = back[order].astype("<u8"), np.searchsorted(doc[order], np.arange(len(key) + 1))
-    unseen = [raw[at[i] : at[i + 1]].tobytes() if at[i] < at[i + 1] else None for i in keep.tolist()]
-    m = len(keep)
-    cols = [pa.array(key[keep]), pa.array(np.full(m, part, np.int32)), pa.array(tokens[keep].astype(np.int64)),
-            pa.array(sums.known[keep]), pa.array(sums.base[keep]), pa.array(sums.raw[keep])]
-    cols += [pa.array(sums.small[r][keep].astype(np.int32)) for r in range(K)] + [pa.array(unseen, pa.binary())]
-    types = [pa.int64(), pa.int64(), pa.float64()] + [pa.int64()] * (K + 1)
-    return pa.RecordBatch.from_arrays(cols + [pa.nulls(m, t) for t in types], _DOC_NAMES + _CTX_NAMES)
-
-
-#: texts of a batch that are looked at together, however wide the batch is
-AT_ONCE = 16_000
 
-#: what a partition gets of some texts: their keys and whether they are held out; tokens by word (words, their numbers of
-#: tokens, listed histories, places of the texts, histories that are not listed); tokens by history (histories, their
-#: numbers of tokens, listed words, places of the texts)
-_BLOB = (np.int64, np.uint8, W.U64, np.uint32, np.uint16, np.uint16, W.U64, W.U64, np.uint32, np.uint16, np.uint16)
+#: tokens by text of a group: places and held-out marks of the texts; tokens by word (words, their numbers of tokens, listed
+#: histories, places of the texts, histories that are not listed); tokens by history (histories, their numbers of tokens,
+#: listed words, places of the texts)
+_DEALT = (np.uint16, np.uint8, W.U64, np.uint32, np.uint16, np.uint16, W.U64, W.U64, np.uint32, np.uint16, np.uint16)
+#: sums by text: places of the texts; keys, numbers of tokens and the number of rows dealt (once a group); the sums; the
+#: histories to back off from, listed and not, and how many each text has of both
+_SUMS = (np.uint16, np.int64, np.uint32, np.int64, np.uint32, np.float64, np.float64, np.uint32, np.uint32, np.uint16, np.uint32, W.U64)
+#: the same with discounts and listed alphas in the score
+_DONE = (np.uint16, np.int64, np.uint32, np.int64, np.uint32, np.float64, np.float64)
 
 
-def _pack(*cols: np.ndarray) -> bytes:
-    raw = b"".join(x.astype(k, copy=False).tobytes() for x, k in zip(cols, _BLOB, strict=True))
-    head = np.array([len(raw), *map(len, cols)], np.int64)
-    return head.tobytes() + pa.Codec("zstd").compress(raw, asbytes=True)
+def _pack(kinds: tuple, *cols: np.ndarray) -> bytes:
+    raw = b"".join(x.astype(k, copy=False).tobytes() for x, k in zip(cols, kinds, strict=True))
+    return np.array([len(raw), *map(len, cols)], np.int64).tobytes() + pa.Codec("zstd").compress(raw, asbytes=True)
 
 
-def _unpack(blob: pa.Buffer) -> list[np.ndarray]:
-    head = np.frombuffer(blob, np.int64, len(_BLOB) + 1).tolist()
+def _unpack(kinds: tuple, blob: pa.Buffer) -> list[np.ndarray]:
+    head = np.frombuffer(blob, np.int64, len(kinds) + 1).tolist()
     raw = pa.Codec("zstd").decompress(blob.slice(8 * len(head)), head[0])
     out, at = [], 0
-    for kind, n in zip(_BLOB, head[1:], strict=True):
+    for kind, n in zip(kinds, head[1:], strict=True):
         out.append(np.frombuffer(raw, kind, n, at))
         at += out[-1].nbytes
     return out
 
 
+def _by_text(doc: np.ndarray, values: np.ndarray, a: int, z: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many values each of the texts ``[a, z)`` has, and the values in their order; ``doc`` is sorted."""
+    at = np.searchsorted(doc, np.arange(a, z + 1))
+    return np.diff(at), values[at[0] : at[-1]]
+
+
+def _packed_rows(source: list[int], blobs: list[bytes]) -> pa.RecordBatch:
+    cols = [pa.array(source, pa.int64()), pa.array(blobs, pa.binary())]
+    types = [pa.int64(), pa.int64(), pa.float64()] + [pa.int64()] * (K + 1)
+    return pa.RecordBatch.from_arrays(cols + [pa.nulls(len(blobs), t) for t in types], ["source", "blob", *_CTX_NAMES])
+
+
+#: texts of a batch that are looked at together, however wide the batch is
+AT_ONCE = 16_000
+
 def _groups(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Values of the runs of ``x`` and their lengths."""
     new = np.flatnonzero(np.concatenate([np.ones(min(1, len(x)), bool), x[1:] != x[:-1]]))
@@ -268,9 +276,10 @@ def _deal(batches: Iterator[pa.RecordBatch], model: Model, parts: int) -> Iterat
     held: list[tuple] = []
     size = docs = 0
 
-    def rows_of(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()),
-                                           pa.array([r[2] for r in rows], pa.binary())], ["part", "place", "blob"])
+    def rows_of(source: int, rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()),
+             pa.array([source] * len(rows), pa.int64()), pa.array([r[2] for r in rows], pa.binary())], ["part", "place", "source", "blob"])
 
     def flush() -> Iterator[pa.RecordBatch]:
         key, out, doc, h, hist = (np.concatenate([x[k] for x in held]) for k in range(5))
@@ -284,14 +293,9 @@ def _deal(batches: Iterator[pa.RecordBatch], model: Model, parts: int) -> Iterat
         sums.add(doc[place], model.count[word[place] + 2], model.hot_counts[pair[place]], hist[place] > 0, h[place] != END, model)
         del number, pair
         tokens = np.bincount(doc, minlength=len(key))
-        none = np.empty(0, np.int64)
-        ipc = pa.BufferOutputStream()
         if model.count[START]:
             sums.raw += model.log_history(model.count[START])
-        first = _doc_rows(key, -1, tokens, sums, none, none, np.arange(len(key)))
-        with pa.ipc.new_stream(ipc, first.schema) as writer:
-            writer.write_batch(first)
-        yield rows_of([(int(key[0] % parts), 1, ipc.getvalue().to_pybytes())])
+        source = int.from_bytes(hashlib.blake2b(key.tobytes(), digest_size=8).digest(), "little", signed=True)
         rest = ~place
         doc, h, hist, prev, word = doc[rest], h[rest], hist[rest], prev[rest], word[rest]
         rare = (hist == 0) & model.every
@@ -301,20 +305,22 @@ def _deal(batches: Iterator[pa.RecordBatch], model: Model, parts: int) -> Iterat
         order = np.lexsort((lead, after, deal))
         doc, lead, hist, prev, word, rare, after, deal = (x[order] for x in (doc, lead, hist, prev, word, rare, after, deal))
         cut = np.searchsorted(deal, np.arange(parts + 1, dtype=W.U64))
-        rows: list[tuple[int, int, bytes]] = []
+        dealt = len(np.unique(deal))
+        none = np.empty(0, np.int64)
+        rows = [(source % parts, 1, _pack(_SUMS, np.arange(len(key)), key, tokens, np.array([dealt]), *sums.columns(), *[none] * 4))]
         for p in range(parts):
             a, z = int(cut[p]), int(cut[p + 1])
             if a == z:
                 continue
             mine, back = np.unique(doc[a:z], return_inverse=True)
             m = a + int(np.searchsorted(after[a:z], True))
-            rows.append((p, 0, _pack(key[mine], out[mine], *_groups(lead[a:m]), hist[a:m], back[: m - a], prev[a:m][rare[a:m]],
+            rows.append((p, 0, _pack(_DEALT, mine, out[mine], *_groups(lead[a:m]), hist[a:m], back[: m - a], prev[a:m][rare[a:m]],
                                      *_groups(lead[m:z]), word[m:z] + 2, back[m - a :])))
             if len(rows) == 16:
-                yield rows_of(rows)
+                yield rows_of(source, rows)
                 rows = []
         if rows:
-            yield rows_of(rows)
+            yield rows_of(source, rows)
 
     for b in (b.slice(k, AT_ONCE) for b in batches for k in range(0, b.num_rows, AT_ONCE)):
         keys, outs = b.column("key").to_numpy(), b.column("held").to_numpy(zero_copy_only=False)
@@ -331,15 +337,15 @@ def _deal(batches: Iterator[pa.RecordBatch], model: Model, parts: int) -> Iterat
         yield from flush()
 
 
-def _score_part(part: int, blobs: list[pa.Buffer], model: Model) -> Iterator[pa.RecordBatch]:
+def _score_part(sources: list[int], blobs: list[pa.Buffer], model: Model) -> Iterator[pa.RecordBatch]:
     """Counts and scores all tokens of one partition."""
-    got = [_unpack(x) for x in blobs]
+    got = [_unpack(_DEALT, x) for x in blobs]
     first = np.cumsum([0] + [len(g[0]) for g in got])
 
     def column(k: int) -> np.ndarray:
         return np.concatenate([g[k] for g in got])
 
-    key, out = column(0), column(1) > 0
+    mine, out = column(0), column(1) > 0
     word, lead, history = column(2), column(7), column(4).astype(np.int32)
     doc = np.concatenate([g[k] + np.int32(first[i]) for k in (5, 10) for i, g in enumerate(got)])
     if model.every:  # histories that are not listed get numbers of this partition
@@ -365,12 +371,19 @@ def _score_part(part: int, blobs: list[pa.Buffer], model: Model) -> Iterator[pa.
     pairs, pair = np.unique(kind.astype(np.int64) * len(names) + history, return_inverse=True)
     pair = pair.astype(np.int32)
     n = np.bincount(pair[train], minlength=len(pairs))
-    sums = _Sums(len(key))
+    sums = _Sums(len(mine))
     back = np.zeros(len(doc), bool)
     for a in range(0, len(doc), STEP):
         at = slice(a, a + STEP)
         back[at] = sums.add(doc[at], c[kind[at]], n[pair[at]], history[at] > 0, leads[kind[at]], model)
-    yield _doc_rows(key, part, np.zeros(len(key), np.int64), sums, doc[back], names[history[back]], np.arange(len(key)))
+    back = np.flatnonzero(back)
+    back = back[np.argsort(doc[back], kind="stable")]
+    text, off, few = doc[back], history[back], history[back] < len(model.names)
+    none, packed = np.empty(0, np.int64), []
+    for a, z in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        packed.append(_pack(_SUMS, mine[a:z], none, none, none, *sums.columns(slice(a, z)), *_by_text(text[few], off[few], a, z),
+                            *_by_text(text[~few], names[off[~few]], a, z)))
+    yield _packed_rows(sources, packed)
     seen = (n > 0) & (pairs % len(names) > 0)
     h, n, p = pairs[seen] % len(names), n[seen], 10 ** model.log_p(c[pairs[seen] // len(names)])
     yield _history_rows(names, h, n, p)
@@ -382,25 +395,26 @@ def _history_rows(names: np.ndarray, h: np.ndarray, n: np.ndarray, p: np.ndarray
     cols = [pa.array(W.signed(names[hs])), pa.array(np.bincount(at, np.where(n > K, n, 0), len(hs)).astype(np.int64)),
             pa.array(np.bincount(at, p, len(hs)))]
     cols += [pa.array(np.bincount(at[n == r], minlength=len(hs)).astype(np.int64)) for r in range(1, K + 2)]
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64()] + [pa.int32()] * K + [pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.nulls(len(hs), t) for t in types] + cols, _DOC_NAMES + _CTX_NAMES)
+    return pa.RecordBatch.from_arrays([pa.nulls(len(hs), pa.int64()), pa.nulls(len(hs), pa.binary()), *cols], ["source", "blob", *_CTX_NAMES])
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    now, blobs = None, []
+    now, sources, blobs = None, [], []
     for b in batches:
         cells = (x.as_buffer() for x in b.column("blob"))  # views of the batch, not copies
-        for part, place, blob in zip(b.column("part").to_pylist(), b.column("place").to_pylist(), cells, strict=True):
+        for part, place, source, blob in zip(b.column("part").to_pylist(), b.column("place").to_pylist(),
+                                             b.column("source").to_pylist(), cells, strict=True):
             if place:
-                yield from pa.ipc.open_stream(blob)
+                yield _packed_rows([source], [blob.to_pybytes()])
                 continue
             if part != now and blobs:
-                yield from _score_part(now, blobs, model)
-                blobs = []
+                yield from _score_part(sources, blobs, model)
+                sources, blobs = [], []
             now = part
+            sources.append(source)
             blobs.append(blob)
     if blobs:
-        yield from _score_part(now, blobs, model)
+        yield from _score_part(sources, blobs, model)
 
 
 def histories(out: DataFrame, model: Model, scratch: Scratch) -> tuple[DataFrame, list[float]]:
@@ -423,38 +437,63 @@ def histories(out: DataFrame, model: Model, scratch: Scratch) -> tuple[DataFrame
     table = sums.select("history", "prob", c.alias("c"), kept.alias("kept")).select("history", "c", alpha.alias("log_alpha"))
     table = table.withColumn("back", F.col("log_alpha") - F.log10(own))
     table = table.repartition(max(1, partitions(spark)), "history").sortWithinPartitions("history")
-    return scratch.save(table, "histories"), d
+    table = scratch.save(table, "histories")
+    scratch.drop("contexts")
+    return table, d
 
 
-def _finish(b: pa.RecordBatch, index: _Index, back: np.ndarray, d: list[float]) -> Iterator[pa.RecordBatch]:
-    """Adds the discounts and the backoff weights of listed histories to a partition's sums."""
-    score = b.column("raw").to_numpy().copy()
-    for r in range(1, K + 1):
-        score += b.column(f"r{r}").to_numpy() * math.log10(d[r - 1])
-    at, raw, sizes = _unseen(b)
-    if len(at):
-        k = index.find(raw)
-        score[at] += np.add.reduceat(np.where(k >= 0, np.append(back, 0.0)[k], 0.0), np.cumsum(sizes) - sizes)
-    rows = (b.column("part").to_numpy() < 0).astype(np.int64)
-    yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(rows), b.column("n_tokens"), b.column("n_known"),
-                                      b.column("base"), pa.array(score)],
-                                     ["key", "rows", "n_tokens", "n_known", "base", "score"])
+def _uid(source: int, doc: np.ndarray) -> np.ndarray:
+    """Number of a text of a group."""
+    return W.signed(W.mix(np.array([source], np.int64).view(W.U64) + W.mix(doc.astype(W.U64))))
 
 
-def _unseen(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows that hold histories to back off from, all these histories, and how many each row has."""
-    blobs = b.column("unseen")
-    at = np.flatnonzero(blobs.is_valid().to_numpy(zero_copy_only=False))
-    raw = blobs.take(pa.array(at)).to_pylist()
-    return at, np.frombuffer(b"".join(raw), W.U64), np.array([len(x) // 8 for x in raw], np.int64)
+def _finish(b: pa.RecordBatch, back: np.ndarray, d: list[float]) -> Iterator[pa.RecordBatch]:
+    """Adds the discounts and the backoff weights of listed histories to a partition's sums."""
+    blobs = []
+    for x in b.column("blob"):
+        doc, key, tokens, dealt, known, base, raw, small, listed, number, _, _ = _unpack(_SUMS, x.as_buffer())
+        score = raw + np.log10(d) @ small.reshape(K, len(doc))
+        if len(number):
+            score += np.bincount(np.repeat(np.arange(len(doc)), listed), back[number], len(doc))
+        blobs.append(_pack(_DONE, doc, key, tokens, dealt, known, base, score))
+    yield pa.RecordBatch.from_arrays([b.column("source"), pa.array(blobs, pa.binary())], ["source", "blob"])
+
+
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds up each group's rows; they come sorted by group."""
+
+    def group(source: int, got: list[list[np.ndarray]]) -> pa.RecordBatch:
+        whole = [g for g in got if len(g[3])]
+        if len(got) != sum(1 + int(g[3][0]) for g in whole):  # equal groups have one name: all of their rows are here
+            raise ValueError("texts came in another order when a task ran again: write them to a table first")
+        n = len(whole[0][1])
+        known, base, score = np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
+        for g in got:  # a text has one place in each of them
+            known[g[0]] += g[4]
+            base[g[0]] += g[5]
+            score[g[0]] += g[6]
+        tokens = np.sum([g[2].astype(np.int64) for g in whole], axis=0)
+        cols = [_uid(source, np.arange(n)), whole[0][1], np.full(n, len(whole), np.int64), tokens, known, base, score]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["uid", "key", "rows", "n_tokens", "n_known", "base", "score"])
+
+    now, got = None, []
+    for b in batches:
+        for source, blob in zip(b.column("source").to_pylist(), b.column("blob"), strict=True):
+            if source != now and got:
+                yield group(now, got)
+                got = []
+            now = source
+            got.append(_unpack(_DONE, blob.as_buffer()))
+    if got:
+        yield group(now, got)
 
 
-def _rest(b: pa.RecordBatch, index: _Index) -> Iterator[pa.RecordBatch]:
-    """``key, history`` of the tokens that back off from a history outside ``index``."""
-    at, raw, sizes = _unseen(b)
-    ok = index.find(raw) < 0
-    key = np.repeat(b.column("key").to_numpy()[at], sizes)
-    yield pa.RecordBatch.from_arrays([pa.array(key[ok]), pa.array(W.signed(raw[ok]))], ["key", "history"])
+def _rest(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """``uid, history`` of the tokens that back off from a history that is not listed."""
+    for source, x in zip(b.column("source").to_pylist(), b.column("blob"), strict=True):
+        got = _unpack(_SUMS, x.as_buffer())
+        if len(got[11]):
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(_uid(source, got[0]), got[10])), pa.array(W.signed(got[11]))], ["uid", "history"])
 
 
 def train(docs: DataFrame, scratch: Scratch, every: bool = False) -> Model:
@@ -484,26 +523,28 @@ def score(docs: DataFrame, held: Column, every: bool = False) -> DataFrame:
     rows = documents(docs).withColumn("held", held).withColumn("key", F.xxhash64("doc_id", "text"))
     model = train(rows.where(~F.col("held")).select("text"), scratch, every)
     sent = spark.sparkContext.broadcast(model)  # at most HISTORIES words and HOT_PAIRS pairs
-    parts = 2 * max(1, partitions(spark))
+    n = max(1, partitions(spark))
+    parts = max(1, -(-model.total // PART))
     dealt = rows.select("key", "held", "text").mapInArrow(lambda bs: _deal(bs, sent.value, parts), _PART)
     dealt = dealt.repartition(parts, "part").sortWithinPartitions("part", "place")
     out = scratch.save(dealt.mapInArrow(lambda bs: _score(bs, sent.value), _OUT), "sums")
     table, d = histories(out, model, scratch)
-    often = table.where(F.col("c") * HISTORIES >= max(model.total, 1)).collect()  # at most HISTORIES rows
-    often.sort(key=lambda r: r.history % (1 << 64))
-    sent_index = spark.sparkContext.broadcast(_Index(np.array([r.history for r in often], np.int64).view(W.U64)))
-    sent_back = spark.sparkContext.broadcast(np.array([r.back for r in often], np.float64))
-    done = map_texts(out.where("key is not null").select(*_DOC_NAMES),
-                     lambda b: _finish(b, sent_index.value, sent_back.value, d),
-                     "key long, rows long, n_tokens long, n_known long, base double, score double")
-    rest = map_texts(out.where("unseen is not null").select("key", "unseen"), lambda b: _rest(b, sent_index.value),
-                     "key long, history long")
-    none = F.lit(0).cast("long")
-    rest = rest.join(table, "history").select("key", none.alias("rows"), none.alias("n_tokens"), none.alias("n_known"),
-                                              F.lit(0.0).alias("base"), F.col("back").alias("score"))
-    done = done.unionByName(rest)
-    # equal rows add up to a multiple of one row's sums
-    one = done.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("rows", "n_tokens", "n_known", "base", "score")]).select(
+    begin = int(BEGIN.view(np.int64))
+    often = table.where((F.col("c") * HISTORIES >= model.total) | (F.col("history") == begin)).collect()  # at most HISTORIES + 1 rows
+    weight = {r.history: r.back for r in often}
+    sent_back = spark.sparkContext.broadcast(np.array([weight.get(x, 0.0) for x in W.signed(model.names).tolist()]))
+    packed = out.where("source is not null").select("source", "blob")
+    done = map_texts(packed, lambda b: _finish(b, sent_back.value, d), "source long, blob binary")
+    done = done.repartition(n, "source").sortWithinPartitions("source").mapInArrow(
+        _gather, "uid long, key long, rows long, n_tokens long, n_known long, base double, score double")
+    rest = map_texts(packed, _rest, "uid long, history long").join(table.select("history", "back"), "history")
+    rest = rest.groupBy("uid").agg(F.sum("back").alias("score"))
+    sums = ("rows", "n_tokens", "n_known", "base", "score")
+    # groups of equal documents share their uids: their sums are multiples of one group's
+    done = done.groupBy("uid", "key").agg(*[F.sum(c).alias(c) for c in sums]).join(rest.withColumnRenamed("score", "more"), "uid", "left")
+    done = done.withColumn("score", F.col("score") + F.coalesce("more", F.lit(0.0)))
+    # and so are those of equal rows
+    one = done.groupBy("key").agg(*[F.sum(c).alias(c) for c in sums]).select(
         "key", (F.col("n_tokens") / F.col("rows")).cast("long").alias("n_tokens"),
         (F.col("n_known") / F.col("rows")).cast("long").alias("n_known"),
         (F.col("base") / F.col("rows")).alias("base_score"), (F.col("score") / F.col("rows")).alias("score"))
