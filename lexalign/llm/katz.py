@@ -43,7 +43,7 @@ HOT_PAIRS = 4096
 #: counts up to this are discounted
 K = 5
 #: tokens that a task deals out at a time
-FLUSH = 1_500_000
+FLUSH = 1_000_000
 #: training tokens of a partition, about
 PART = 1_500_000
 #: tokens that are scored at a time
@@ -301,10 +301,15 @@ def _deal(batches: Iterator[pa.RecordBatch], model: Model, parts: int) -> Iterat
         rare = (hist == 0) & model.every
         after = rare & (word >= 0)  # dealt by history
         lead = np.where(after, prev, h)
-        deal = W.mix(lead + np.where((word >= 0) & ~after, hist.astype(W.U64), W.U64(0))) % W.U64(parts)
+        del h, place, rest
+        deal = (W.mix(lead + np.where((word >= 0) & ~after, hist.astype(W.U64), W.U64(0))) % W.U64(parts)).astype(np.int32)
         order = np.lexsort((lead, after, deal))
-        doc, lead, hist, prev, word, rare, after, deal = (x[order] for x in (doc, lead, hist, prev, word, rare, after, deal))
-        cut = np.searchsorted(deal, np.arange(parts + 1, dtype=W.U64))
+        cols = [doc, lead, hist, prev, word, rare, after, deal]
+        del doc, lead, hist, prev, word, rare, after, deal
+        for k, x in enumerate(cols):  # one at a time: a task's memory holds few copies
+            cols[k] = x[order]
+        doc, lead, hist, prev, word, rare, after, deal = cols
+        cut = np.searchsorted(deal, np.arange(parts + 1))
         dealt = len(np.unique(deal))
         none = np.empty(0, np.int64)
         rows = [(source % parts, 1, _pack(_SUMS, np.arange(len(key)), key, tokens, np.array([dealt]), *sums.columns(), *[none] * 4))]
