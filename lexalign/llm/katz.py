@@ -531,7 +531,7 @@ def score(docs: DataFrame, held: Column, every: bool = False) -> DataFrame:
     n = max(1, partitions(spark))
     parts = max(1, -(-model.total // PART))
     dealt = rows.select("key", "held", "text").mapInArrow(lambda bs: _deal(bs, sent.value, parts), _PART)
-    dealt = dealt.repartition(parts, "part").sortWithinPartitions("part", "place")
+    dealt = dealt.repartitionById(parts, "part").sortWithinPartitions("part", "place")  # one part a task
     out = scratch.save(dealt.mapInArrow(lambda bs: _score(bs, sent.value), _OUT), "sums")
     table, d = histories(out, model, scratch)
     begin = int(BEGIN.view(np.int64))
