@@ -18,6 +18,8 @@ from . import words as W
 TABLE = 400_000
 #: words that go to the tokenizer as one text, and what stands between them
 TOGETHER, MARK = 256, "0"
+#: texts that the tokenizer gets at a time: what it returns takes far more memory than the ids
+AT_ONCE = 16
 
 _BLANK, _LETTER, _DIGIT, _OTHER, _ODD = range(5)
 _KIND = np.full(256, _ODD, np.uint8)
@@ -47,8 +49,9 @@ class Encoder:
         self.begin = np.empty(1 << 16, np.int64)
         self.size = np.empty(1 << 16, np.int64)
 
-    def _encoded(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for k in range(0, len(texts), AT_ONCE)
+                for e in self.tok.encode_batch_fast(texts[k : k + AT_ONCE], add_special_tokens=False)]
 
     def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts in a row, how many each text has, and the order of the texts in that row.
@@ -63,7 +66,6 @@ class Encoder:
         joined = [f" {MARK} ".join([texts[i] for i in g]) for g in groups]
         rest, kept = np.flatnonzero(~plain).tolist(), []
         for g, ids in zip(groups, self._encoded(joined), strict=True):
-            ids = np.array(ids, np.uint32)
             cut = np.flatnonzero(ids == self.mark)
             if len(cut) + 1 != len(g):  # a word that becomes a digit after all
                 rest += g
@@ -72,7 +74,7 @@ class Encoder:
             size[g] = np.diff(np.concatenate([[-1], cut, [len(ids)]])) - 1
             parts[g[0]] = np.delete(ids, cut)  # the ids of the whole group, at its first word
         for i, ids in zip(rest, self._encoded([texts[i] for i in rest]), strict=True):
-            size[i], parts[i] = len(ids), np.array(ids, np.uint32)
+            size[i], parts[i] = len(ids), ids
         order = kept + rest
         flat = np.concatenate([x for x in parts[order] if x is not None] or [np.empty(0, np.uint32)])
         return flat, size, np.array(order, np.int64)
