@@ -128,6 +128,22 @@ def test_katz_deals_wide_batches(spark):
     assert len(want) == n and got == want
 
 
+def test_katz_groups_lack_no_rows():
+    none, two = np.empty(0), np.arange(2)
+    whole = KZ._pack(KZ._DONE, two, np.array([5, 6]), np.array([3, 4]), np.array([1]), two, np.array([0.5, 1]), np.array([-1, -2.0]))
+    part = KZ._pack(KZ._DONE, two[1:], none, none, none, two[1:], np.array([2.0]), np.array([-4.0]))
+
+    def gather(*blobs):
+        b = pa.RecordBatch.from_arrays([pa.array([7] * len(blobs), pa.int64()), pa.array(blobs, pa.binary())], ["source", "blob"])
+        return [tuple(r.values())[1:] for x in KZ._gather(iter([b])) for r in x.to_pylist()]
+
+    assert gather(part, whole) == [(5, 1, 3, 0, 0.5, -1.0), (6, 1, 4, 2, 3.0, -6.0)]
+    assert gather(whole, part, whole, part) == [(5, 2, 6, 0, 1.0, -2.0), (6, 2, 8, 4, 6.0, -12.0)]  # two equal groups
+    for blobs in ([whole], [part], [whole, part, part]):
+        with pytest.raises(ValueError):
+            gather(*blobs)
+
+
 def test_clause_patterns():
     insult, target, no, said = TX.INSULT, TX.TARGET, TX.NEGATION, TX.REPORT
     assert TX.clause_patterns([insult]) == [0]
