@@ -7,10 +7,11 @@ with the cells nearest to it only:
 1. **Centroids**: spherical k-means per group over a sample of at most ``SAMPLE`` vectors (those of smallest hash, so
    the same rows give the same centroids).  A group of ``n`` vectors gets about ``sqrt(n)`` cells, at most
    ``SAMPLE / 8``.  The sample only places centroids; every vector is indexed.
-2. **Cells**: vectors are packed into blocks and each block meets the group's centroids in one Arrow task (one matrix
-   product).  A target vector lands in its nearest cell, a source vector is sent to its ``probes`` nearest ones.
-3. **Search**: the block grid of the exact join, with the cell as one more group key.  Cells of any size are split into
-   blocks, and the cosines of all that met are exact.  The best of all probed cells are merged per source row.
+2. **Cells**: blocks of vectors meet the group's centroids in one Arrow task (one matrix product).  A target vector lands
+   in its nearest cell, a source vector gets the list of its ``probes`` nearest ones.  Neither is copied per cell.
+3. **Search**: the stripes of the exact join.  A task multiplies each cell of its target stripe with the source rows of
+   its source stripe that name the cell, and keeps the best of all cells per source row, so what is shuffled does not grow
+   with the probes.  The cosines of all that met are exact.  Cells of any size are spread over the stripes.
 
 ``probes`` trades work for recall (``probes = cells`` is the exact join); without it ``probes_for(cells)`` is used.  A row
 meets about ``n * probes / cells`` others instead of ``n``.  Repeated ids, ties, zero and non-finite vectors behave as in
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexalign.operators.knn import (DEFAULT_BLOCK_ROWS, DEFAULT_CSLS_KNN, DEFAULT_K, METHODS, TILE, _arrow_types, _Grid,
-                                    _group_columns, _lists, _prepare, _unpack)
+                                    _lists, _prepare)
 from lexalign.session import checkpoint_dir
 
 SAMPLE = 8192
@@ -66,49 +67,50 @@ def centroids(vecs: DataFrame, keys, cells: int | None = None, sample: int = SAM
     keys = list(keys)
     most = max(1, sample // 8)
     want = F.least(F.lit(most), F.ceil(F.sqrt(F.count(F.lit(1)))) if cells is None else F.lit(cells)).cast("int")
-    sizes = vecs.groupBy(*keys).agg(want.alias("cells"))
+    # twice the sample has hashes below this share of their range, so only those are sorted
+    share = F.least(F.lit(1.0), F.lit(2.0 * sample + 256) / F.count(F.lit(1)))
+    sizes = vecs.groupBy(*keys).agg(want.alias("cells"), ((share - 0.5) * F.lit(2.0 ** 64)).alias("_most"))
     w = Window.partitionBy(*keys).orderBy("_h", "id")
-    few = (vecs.withColumn("_h", F.xxhash64("id", "u")).withColumn("_rn", F.row_number().over(w))
-           .where(F.col("_rn") <= sample).join(sizes, keys).select(*keys, "cells", "_rn", "u"))
+    few = (vecs.withColumn("_h", F.xxhash64("id", "u")).join(sizes, keys).where(F.col("_h") <= F.col("_most"))
+           .withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= sample).select(*keys, "cells", "_rn", "u"))
     types = _arrow_types(vecs, keys)
     schema = ", ".join(f"`{k}` {vecs.schema[k].dataType.simpleString()}" for k in keys) + ", cells int, centroids array<double>"
     train = _train(keys, types)
     return few.groupBy(*keys).applyInArrow(lambda t: train(t.sort_by("_rn")), schema)
 
 
-def _assign_fn(keys, key_types, probes, home: bool):
-    """Blocks of vectors beside their group's centroids -> ``(keys, row, id, u, cells)``, nearest cell first."""
-
-    def run(batches):
-        for batch in batches:
-            cols = {n: batch.column(n) for n in batch.schema.names}
-            for i in range(batch.num_rows):
-                ids, x = _unpack(cols["rows"][i])
-                c = np.asarray(cols["centroids"][i].values).reshape(-1, x.shape[1])
-                n = 1 if home else min(len(c), probes or probes_for(len(c)))
-                blk = cols["blk"][i].as_py()
-                for a in range(0, len(x), TILE):
-                    near = np.argsort(-np.round(x[a:a + TILE] @ c.T, 10), axis=1, kind="stable")[:, :n].astype(np.int32)
-                    rows = pa.StructArray.from_arrays([pa.array(np.full(len(near), blk, np.int64)), pa.array(np.arange(a, a + len(near), dtype=np.int32)),
-                                                       ids.slice(a, len(near))], names=["blk", "pos", "id"])
-                    yield pa.RecordBatch.from_arrays(
-                        _group_columns(cols, keys, key_types, i, len(near)) + [rows, _lists(x[a:a + TILE], pa.array), _lists(near, pa.array)],
-                        names=[*keys, "row", "u", "near"])
+def _assign_fn(keys, schema: pa.Schema, probes, home: bool):
+    """A block of vectors and its group's centroids -> the block with ``near``, nearest cell first."""
+
+    def run(vecs: pa.Table, table: pa.Table) -> pa.Table:
+        if not vecs.num_rows or not table.num_rows:
+            return schema.empty_table()
+        u = vecs.column("u").combine_chunks()
+        x = u.flatten().to_numpy(zero_copy_only=False).reshape(len(u), -1)
+        c = table.column("centroids").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, x.shape[1])
+        n = 1 if home else min(len(c), probes or probes_for(len(c)))
+        near = [np.argsort(-np.round(x[a:a + TILE] @ c.T, 10), axis=1, kind="stable")[:, :n].astype(np.int32) for a in range(0, len(x), TILE)]
+        return vecs.select([f.name for f in schema if f.name != "near"]).append_column("near", _lists(np.vstack(near), pa.array)).cast(schema)
 
     return run
 
 
 def _assigned(vecs: DataFrame, table: DataFrame, keys, probes, home: bool, block_rows: int) -> DataFrame:
-    """Every vector with its cells: blocks are the unit, so a hot group is spread over its blocks."""
+    """Every vector ``(keys, row, id, u)`` with ``near``, its cells: blocks are the unit, so a hot group is spread over its blocks."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+
+    at = [*keys, "blk"]
     blocks = vecs.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(float(block_rows))).cast("int").alias("nb"))
-    packed = (vecs.join(blocks, keys).withColumn("blk", F.pmod(F.xxhash64("id", "u"), F.col("nb")))
-              .groupBy(*keys, "blk").agg(F.sort_array(F.collect_list(F.struct("id", "u"))).alias("rows")))
-    beside = table.join(blocks, keys).select(*keys, "centroids", F.explode(F.sequence(F.lit(0), F.col("nb") - 1).cast("array<long>")).alias("blk"))
-    types = _arrow_types(vecs, keys)
-    schema = (", ".join(f"`{k}` {vecs.schema[k].dataType.simpleString()}" for k in keys)
-              + f", row struct<blk: long, pos: int, id: {vecs.schema['id'].dataType.simpleString()}>, u array<double>, near array<int>")
-    near = packed.join(beside, [*keys, "blk"]).mapInArrow(_assign_fn(keys, types, probes, home), schema)
-    return near.select(*keys, "row", "u", F.explode("near").alias("cell"))
+    rows = vecs.join(blocks, keys).withColumn("blk", F.pmod(F.xxhash64("row"), F.col("nb")).cast("int")).drop("nb")
+    beside = table.join(blocks, keys).select(*[F.col(c).alias(c) for c in (*keys, "centroids")], F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("blk"))
+    types = StructType([*[vecs.schema[c] for c in (*keys, "row", "id", "u")], StructField("near", ArrayType(IntegerType()))])
+    run = _assign_fn(keys, to_arrow_schema(types), probes, home)
+    return rows.groupBy(*at).cogroup(beside.groupBy(*at)).applyInArrow(run, types)
+
+
+def _numbered(df: DataFrame, keys, id_col: str, vec_col: str) -> DataFrame:
+    return _prepare(df, keys, id_col, vec_col).withColumn("row", F.monotonically_increasing_id()).checkpoint()
 
 
 class VectorIndex:
@@ -120,19 +122,17 @@ class VectorIndex:
             raise ValueError("cells, sample and block_rows must be positive")
         checkpoint_dir(tgt.sparkSession)
         self.keys, self.block_rows = list(keys), block_rows
-        t = _prepare(tgt, self.keys, id_col, vec_col)
+        t = _numbered(tgt, self.keys, id_col, vec_col)
         self.centroids = centroids(t, self.keys, cells, sample).checkpoint()
         self.cells = _assigned(t, self.centroids, self.keys, None, True, block_rows).select(
-            *self.keys, "cell", F.col("row.id").alias("id"), "u").checkpoint()
+            *self.keys, "row", "id", "u", F.col("near")[0].alias("cell")).checkpoint()
 
     def search(self, src: DataFrame, k: int, probes: int | None = None, id_col: str = "sent_id", vec_col: str = "vec") -> DataFrame:
         """``(keys, row, src_id, best)``: the ``k`` best targets in the probed cells of every source row, best first."""
-        s = _prepare(src, self.keys, id_col, vec_col)
-        asked = _assigned(s, self.centroids, self.keys, probes, False, self.block_rows)
-        grid = _Grid(asked, self.cells.select(*self.keys, "cell", F.col("id").alias("row"), "u"), [*self.keys, "cell"], "row", "u", self.block_rows)
-        part = grid.best(k).select(*self.keys, F.col("id").alias("row"), "best")
-        merged = F.slice(F.sort_array(F.flatten(F.collect_list("best"))), 1, k)
-        return part.groupBy(*self.keys, "row").agg(merged.alias("best")).select(*self.keys, "row", F.col("row.id").alias("src_id"), "best")
+        s = _numbered(src, self.keys, id_col, vec_col)
+        asked = _assigned(s, self.centroids, self.keys, probes, False, self.block_rows).checkpoint()
+        best = _Grid(asked, self.cells, self.keys, self.block_rows).best(k)
+        return best.select(*self.keys, "row", F.col("id").alias("src_id"), "best")
 
 
 def mine_indexed(src: DataFrame, tgt: DataFrame, keys=("lang_pair", "model", "split"), k: int = DEFAULT_K, method: str = "cosine",
