@@ -50,11 +50,8 @@ def label_with_teacher(parallel: DataFrame, teacher: "callable", anchor_col: str
 
 def training_rows(labelled: DataFrame, keys=(), cols=("english", "non_english"), label_col: str = "label"):
     """``(keys, text, label)`` — every text column paired with the row's label."""
-    parts = [labelled.select(*keys, F.col(c).alias("text"), label_col) for c in cols]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    # one pass: a union of the columns would work the labels out once per column
+    return labelled.select(*keys, F.explode(F.array(*[F.col(c) for c in cols])).alias("text"), label_col)
 
 
 def mse_eval(pairs: DataFrame, keys, teacher_col: str = "teacher", student_col: str = "student") -> DataFrame:

@@ -5,8 +5,8 @@
   ``dim`` buckets by the first 16 bits of their MD5, counted and L2-normalised.  It
   stands in for transformer encoders, which cannot be installed here.
 * ``encode`` (X1/X2) runs any user-supplied batch encoder over a DataFrame with
-  ``mapInPandas``: the encoder is built once per Python worker and called on Arrow
-  batches, never per row.  A language-code column (X2) is passed through per batch.
+  ``mapInArrow``: the encoder is built once per Python worker and called on parts of Arrow
+  batches, never per row; only the texts of one part are Python strings at a time.  A language-code column (X2) is passed through per batch.
 * ``mean_pool`` (A1) averages token vectors per sentence with ``Summarizer`` (a partial
   aggregate), dropping the first and last token (special tokens) first; sentences left
   without tokens are dropped (P10) and can be listed with ``empty_sentences``.
@@ -15,7 +15,6 @@
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Callable
 
 import pandas as pd
@@ -82,31 +81,32 @@ def encode(df: DataFrame, text_col: str, encoder_factory: Callable, dim: int, ou
         import types
 
         import numpy as np
+        import pyarrow as pa
 
         # one encoder per Python worker process, kept across tasks
         store = sys.modules.setdefault("_lexalign_encoders", types.ModuleType("_lexalign_encoders"))
         if not hasattr(store, key):
             setattr(store, key, encoder_factory())
         enc = getattr(store, key)
-        for pdf in batches:
+        for batch in batches:
+            n, texts = batch.num_rows, batch.column(text_col)
             if lang_col is None:
-                groups = [(None, np.arange(len(pdf)))]
+                groups = [(None, np.arange(n))]
             else:  # by place; rows without a code are encoded with None
-                codes, names = pd.factorize(pdf[lang_col])
+                codes, names = pd.factorize(batch.column(lang_col).to_pandas())
                 groups = [(None if c < 0 else names[c], np.flatnonzero(codes == c)) for c in np.unique(codes)]
-            out = [None] * len(pdf)
-            texts = pdf[text_col].tolist()
+            out = np.empty((n, dim), kind)
             for lang, at in groups:
                 for s in range(0, len(at), batch_size):
                     part = at[s:s + batch_size]
-                    m = np.asarray(enc([texts[p] for p in part], lang), dtype=kind)
+                    m = np.asarray(enc(texts.take(pa.array(part)).to_pylist(), lang), dtype=kind)
                     if m.ndim != 2 or m.shape[1] != dim:
                         raise ValueError(f"encoder returned shape {m.shape}, expected (*, {dim})")
-                    for r, p in enumerate(part):
-                        out[p] = m[r].tolist()
-            yield pdf.assign(**{out_col: out})
+                    out[part] = m
+            vecs = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * dim), pa.array(out.reshape(-1)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, vecs], names=[*batch.schema.names, out_col])
 
-    return df.mapInPandas(run, out_schema)
+    return df.mapInArrow(run, out_schema)
 
 
 def check_dims(vecs: DataFrame, dims: DataFrame, vec_col: str = "vec", model_col: str = "model", on_bad: str = "flag") -> DataFrame:
@@ -183,26 +183,74 @@ def long_form(df: DataFrame, keys, vec_col: str = "vec", digits: int | None = 6,
     return out
 
 
+#: characters whose n-grams are counted at a time, and n-grams whose hashes a worker keeps
+CHARS = 1 << 19
+KNOWN = 1 << 18
+_HASHES: dict[str, int] = {}
+
+
+def _hashes(grams) -> list[int]:
+    """The first two MD5 bytes of every n-gram; a worker keeps what it has hashed."""
+    if len(_HASHES) > KNOWN:
+        _HASHES.clear()
+    for g in grams:
+        if g not in _HASHES:
+            _HASHES[g] = int.from_bytes(hashlib.md5(g.encode("utf-8")).digest()[:2], "big")
+    return [_HASHES[g] for g in grams]
+
+
+def _ngram_counts(texts, dim: int, n: int):
+    """``(texts, dim)`` counts of buckets, for texts of at least ``n`` characters."""
+    import numpy as np
+
+    joined = "".join(texts)
+    code = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+    row = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    m = len(code) - n + 1
+    at = np.flatnonzero(row[:m] == row[n - 1:])  # n-grams lie in one text
+    seen = np.zeros(int(code.max()) + 1, bool)
+    seen[code] = True
+    letter, letters = (np.cumsum(seen) - 1)[code], int(seen.sum())
+    gram, size = letter[at], letters
+    for k in range(1, n):
+        if size * letters >= 1 << 62:
+            gram = np.unique(gram, return_inverse=True)[1]
+            size = int(gram.max()) + 1
+        gram, size = gram * letters + letter[at + k], size * letters
+    if size <= 8 * CHARS:
+        place = np.full(size, -1, np.int32)
+        place[gram] = at
+        known = np.flatnonzero(place >= 0)
+        first, number = place[known], place
+        number[known] = np.arange(len(known))
+        gram = number[gram]
+    else:
+        _, first, gram = np.unique(gram, return_index=True, return_inverse=True)
+        first = at[first]
+    bucket = np.array(_hashes([joined[p:p + n] for p in first.tolist()]), np.int64) % dim
+    return np.bincount(row[at] * dim + bucket[gram], minlength=len(texts) * dim).reshape(-1, dim)
+
+
 def hashed_ngram_batch(texts, dim: int = DEFAULT_DIM, n: int = DEFAULT_N):
     """X4 on a batch of Python strings -> list of unit vectors (None where no n-gram exists).
 
-    Same definition as ``hashed_ngram_vector``: bucket = first two MD5 bytes mod ``dim``.  A gram is hashed once a
-    batch and counted once a text."""
+    Same definition as ``hashed_ngram_vector``: bucket = first two MD5 bytes mod ``dim``.  N-grams of about ``CHARS``
+    characters are numbered and counted together."""
     import numpy as np
 
-    bucket: dict[str, int] = {}
-    out = []
-    for t in texts:
+    out = [None] * len(texts)
+    some, size = [], 0
+    for i, t in enumerate(texts):
         t = (t or "").lower()
-        if len(t) < n:
-            out.append(None)
-            continue
-        counts = Counter(map("".join, zip(*(t[k:] for k in range(n)))))
-        for g in counts.keys() - bucket.keys():
-            bucket[g] = int.from_bytes(hashlib.md5(g.encode("utf-8")).digest()[:2], "big") % dim
-        v = np.bincount(np.fromiter((bucket[g] for g in counts), np.int64, len(counts)),
-                        np.fromiter(counts.values(), float, len(counts)), dim)
-        out.append(v / np.sqrt(v @ v))
+        if len(t) >= n:
+            some.append((i, t))
+            size += len(t)
+        if some and (size >= CHARS or i + 1 == len(texts)):
+            counts = _ngram_counts([t for _, t in some], dim, n).astype(float)
+            counts /= np.sqrt((counts * counts).sum(axis=1, keepdims=True))
+            for (k, _), v in zip(some, counts):
+                out[k] = v
+            some, size = [], 0
     return out
 
 
