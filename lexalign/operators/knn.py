@@ -131,6 +131,15 @@ def _cosines(S: np.ndarray, T: np.ndarray, row: np.ndarray, col: np.ndarray) ->
     return out
 
 
+def _places(mask: np.ndarray) -> np.ndarray:
+    """Where ``mask`` (few of it true) is true, in its flat order: eight places are looked at together."""
+    flat = mask.reshape(-1)
+    if len(flat) % 8:
+        return np.flatnonzero(flat)
+    at = (np.flatnonzero(flat.view(np.uint64)) * 8)[:, None] + np.arange(8)
+    return at[flat[at]]
+
+
 def _multiply(S: np.ndarray, T: np.ndarray, k: int, sides: str, width: int, means: np.ndarray | None = None):
     """``(side, start, best)`` over all pairs: source rows by cosine, or ``2 cos - means`` of the target; target rows by cosine."""
     slack = _slack(S.shape[1] + 1, 1.0 if means is None else 3.0)
@@ -148,7 +157,7 @@ def _multiply(S: np.ndarray, T: np.ndarray, k: int, sides: str, width: int, mean
                 if side not in sides:
                     continue
                 least = best.floor(slice(None), C if side == "s" else C.T, slack)
-                row, col = np.divmod(np.flatnonzero(C >= (least[:, None] if side == "s" else least)), C.shape[1])
+                row, col = np.divmod(_places(C >= (least[:, None] if side == "s" else least)), C.shape[1])
                 if not len(row):
                     continue
                 if len(row) * 16 > C.size:  # many equal ones: one product is less work
@@ -184,7 +193,7 @@ def _probe(S: np.ndarray, T: np.ndarray, k: int, near: pa.Array, cell: np.ndarra
             for b in range(0, len(who), step):
                 rows = who[b:b + step]
                 C = S32[rows] @ block
-                row, col = np.divmod(np.flatnonzero(C >= best.floor(rows, C, slack)[:, None]), len(cols))
+                row, col = np.divmod(_places(C >= best.floor(rows, C, slack)[:, None]), len(cols))
                 if len(row):
                     row, col = rows[row], cols[col]
                     cos = _cosines(S, T, row, col)
