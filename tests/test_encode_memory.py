@@ -19,7 +19,7 @@ def test_a_batch_of_texts_never_is_python_strings_as_a_whole(spark):
             return np.full((len(texts), 1), float(tracemalloc.get_traced_memory()[1]))
         return run
 
-    df = spark.range(2000).coalesce(1).select("id", F.rpad(F.lit(""), 20_000, "x").alias("t"))
+    df = spark.range(2000).coalesce(1).select("id", F.rpad(F.col("id").cast("string"), 20_000, "x").alias("t"))
     most = E.encode(df, "t", factory, 1, batch_size=10, element="double").agg(F.max(F.col("vec")[0])).first()[0]
     assert most < 60e6
 
