@@ -1,6 +1,7 @@
 """Near-dedup, suffix dedup and components against brute force on full sets and all windows."""
 
 import hashlib
+import os
 import random
 import re
 from collections import Counter
@@ -145,3 +146,36 @@ def test_repeated_bytes(spark, together):
     assert Counter(map(tuple, out.collect())) == want
     if together == 2:
         assert SD.remove_repeats(frame(spark, []), size=size).count() == 0
+
+
+def _spans(data, size):
+    """Brute force: for each text of one row, the set of bytes that go."""
+    raw = {t.encode() for t in data}
+    seen = Counter(b[k:k + size] for b in raw for k in range(len(b) - size + 1))
+    out = {}
+    for b in raw:
+        gone = {x for k in range(len(b) - size + 1) if seen[b[k:k + size]] > 1 for x in range(k, k + size)}
+        if gone:
+            out[len(b), hashlib.sha256(bytes(b[x] for x in sorted(gone))).hexdigest()] = len(gone)
+    return out
+
+
+@pytest.mark.parametrize("hot", [80, 240])
+def test_repeated_bytes_of_large_heads(spark, hot):
+    """400 bytes; near copies whose heads are cut over several parts: what is written has fewer rows than contexts."""
+    data = _family(41, hot, 2) + _family(42, 6, 3) + [prose(43, 40) + t for t in _family(41, 6, 1)]
+    scratch = Scratch(spark, "t")
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(data)], "doc_id long, text string")
+    keys = spark.createDataFrame([(t, len(t.encode())) for t in data], "text string, n int").selectExpr("xxhash64(text) tk", "n", "text")
+    got = {}
+    for x in SD.repeated_spans(docs, scratch, 400, 2, 30).join(keys, ["tk", "n"]).collect():
+        b = x.text.encode()
+        gone = {y for s in x.spans for y in range(s.start, s.end)}
+        if gone:
+            got[len(b), hashlib.sha256(bytes(b[y] for y in sorted(gone))).hexdigest()] = len(gone)
+    assert got == _spans(data, 400)
+    contexts = scratch.load("contexts").where("deals > 1").distinct().count()
+    assert contexts > hot
+    for name in os.listdir(scratch.path.removeprefix("file:")):
+        if name not in ("contexts", "met", "want", "suffixes", "copies"):
+            assert scratch.load(name).count() <= contexts
