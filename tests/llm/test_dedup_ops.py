@@ -8,12 +8,13 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lexalign.llm import near_dedup as ND
 from lexalign.llm import suffix_dedup as SD
 from lexalign.llm import words as W
 from lexalign.llm.components import components
-from lexalign.llm.tables import Scratch, maybe_in
+from lexalign.llm.tables import Scratch, maybe_in, salted_join
 
 from hostile import frame, lower, prose, rows
 
@@ -127,6 +128,19 @@ def test_bitmap_filter_loses_nothing(spark):
     assert some.join(keys, "k").count() == keys.count() and some.count() < 800
 
 
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_salted_join_broadcasts_no_exploded_table(spark, how):
+    scratch = Scratch(spark, "t")
+    rows = scratch.save(spark.range(3000).selectExpr("id", "if(id % 50 = 0, null, id % 700) as k"), f"rows_{how}")
+    some = scratch.save(spark.range(600).selectExpr("id as k", "id * 3 as v"), f"groups_{how}")
+    for groups in (some, some.groupBy("k").agg(F.max("v").alias("v"))):  # sized by its files, and by what was shuffled
+        out = salted_join(rows, groups, ["k"], "id", how=how)
+        want = Counter((i % 700 if i % 50 else None, i, i % 700 * 3 if i % 50 and i % 700 < 600 else None) for i in range(3000))
+        got = Counter(map(tuple, out.select("k", "id", "v").collect()))
+        assert got == (want if how == "left" else Counter({x: n for x, n in want.items() if x[2] is not None}))
+        assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()  # as it ran
+
+
 @pytest.mark.parametrize("together", [2, 2000])
 def test_repeated_bytes(spark, together):
     size = 120
